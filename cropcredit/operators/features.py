@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cropcredit.operators import feature_rules as R
 from cropcredit.operators.recode import Recode, to_column
-from cropcredit.session import sized_broadcast
+from cropcredit.session import is_small, sized_broadcast
 
 OP = ("ref_bacen", "nu_ordem")
 BORROWER = ("ref_bacen", "mutuario")
@@ -135,13 +135,17 @@ def _attach(base: DataFrame, features, domains: dict, source_col=F.col) -> DataF
         mapped = rows.select(
             F.col("_code").alias(f"_k{i}"), *[_value_expr(f).alias(f"_f_{f.name}") for f in fs]
         )
-        # one row per code (duplicate codes: min, NULLs skipped - like "any value")
-        mapped = mapped.where(F.col(f"_k{i}").isNotNull()).groupBy(f"_k{i}").agg(
-            *[F.min(f"_f_{f.name}").alias(f"_f_{f.name}") for f in fs]
-        )
-        base = base.join(
-            sized_broadcast(mapped), _code_key(source_col(code), int_code) == F.col(f"_k{i}"), "left"
-        )
+        # one row per code (duplicate codes: min, NULLs skipped - like "any value").
+        # A small map is reduced inside a single task (it is broadcast next anyway),
+        # which saves a shuffle; a large one is aggregated and shuffle-joined.
+        mapped = mapped.where(F.col(f"_k{i}").isNotNull())
+        small = is_small(mapped)
+        if small:
+            mapped = mapped.coalesce(1)
+        mapped = mapped.groupBy(f"_k{i}").agg(*[F.min(f"_f_{f.name}").alias(f"_f_{f.name}") for f in fs])
+        if small:
+            mapped = F.broadcast(mapped)
+        base = base.join(mapped, _code_key(source_col(code), int_code) == F.col(f"_k{i}"), "left")
     for f in features:
         if f.domain:
             out_cols.append(F.col(f"_f_{f.name}").alias(f.name))

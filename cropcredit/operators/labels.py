@@ -106,8 +106,9 @@ def operation_labels(
     fb = flagged_balances(saldos, default_codes(situacao, situations))
     op = ops if ops is not None else operations(operacao)
     op = op.select("ref_bacen", "nu_ordem", "DT_EMISSAO", *carry)
-    j = fb.join(op, ["ref_bacen", "nu_ordem"], "inner")
-    delta = month_delta("DT_EMISSAO", "ANO_BASE", "MES_BASE")
+    j = fb.join(op, ["ref_bacen", "nu_ordem"], "inner").withColumn(
+        "_delta", month_delta("DT_EMISSAO", "ANO_BASE", "MES_BASE"))
+    delta = F.col("_delta")
     in_h = delta.between(0, horizon)
     in_n = delta.between(0, n_deltas)
     return j.groupBy("ref_bacen", "nu_ordem").agg(

@@ -31,7 +31,7 @@ ord AS (
   LEFT JOIN nation ON c_nationkey = n_nationkey
 ),
 operacao_basica AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS "#REF_BACEN", CAST(l_linenumber AS VARCHAR) AS NU_ORDEM,
+  SELECT l_orderkey AS "#REF_BACEN", l_linenumber AS NU_ORDEM,
          CAST(n_regionkey AS VARCHAR) AS CD_CATEG_EMITENTE, CAST(c_nationkey AS VARCHAR) AS CD_INST_CREDITO,
          CAST(c_nationkey AS VARCHAR) AS CD_FONTE_RECURSO, n_name AS CD_ESTADO,
          CAST(c_nationkey AS VARCHAR) AS CD_TIPO_SEGURO, CAST(partkey AS VARCHAR) AS CD_EMPREENDIMENTO,
@@ -43,13 +43,13 @@ operacao_basica AS (
   FROM op_lines JOIN ord ON l_orderkey = o_orderkey
 ),
 saldos AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS "#REF_BACEN", CAST(l_linenumber AS VARCHAR) AS NU_ORDEM,
+  SELECT l_orderkey AS "#REF_BACEN", l_linenumber AS NU_ORDEM,
          CAST(year(l_shipdate) AS VARCHAR) AS ANO_BASE, CAST(month(l_shipdate) AS VARCHAR) AS MES_BASE,
          l_returnflag AS CD_SITUACAO_OPERACAO
   FROM lineitem
 ),
 mutuarios AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS REF_BACEN, CAST(l_suppkey AS VARCHAR) AS CD_CPF_CNPJ,
+  SELECT l_orderkey AS REF_BACEN, l_suppkey AS CD_CPF_CNPJ,
          CAST(s_nationkey AS VARCHAR) AS CD_TIPO_BENEFICIARIO
   FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
 ),

@@ -29,6 +29,11 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # No broadcast from static estimates (they under-count derived aggregates);
+        # explicit size-checked hints (sized_broadcast) cover the small domains and AQE
+        # converts a join only from measured shuffle sizes.
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(8 * 1024 * 1024),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # cp1252 bronze files (see sources.raw) need the legacy charset switch.
         "spark.sql.legacy.javaCharsets": "true",
@@ -70,6 +75,10 @@ def plan_size_bytes(df: DataFrame) -> int:
         return BROADCAST_LIMIT_BYTES + 1
 
 
+def is_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
+    return plan_size_bytes(df) <= limit_bytes
+
+
 def sized_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Broadcast-hint ``df`` only when its estimated size is under ``limit_bytes``.
 
