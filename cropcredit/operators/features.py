@@ -172,6 +172,8 @@ def borrower_features(mutuarios: DataFrame, domains: dict, only=None) -> DataFra
     pairs = base.select(
         F.col("REF_BACEN").alias("ref_bacen"), F.col("CD_CPF_CNPJ").alias("mutuario"), *cols
     )
+    if not fs:
+        return pairs.dropDuplicates(["ref_bacen", "mutuario"])
     return pairs.groupBy("ref_bacen", "mutuario").agg(*[F.min(f.name).alias(f.name) for f in fs])
 
 

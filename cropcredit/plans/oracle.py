@@ -244,4 +244,186 @@ SELECT saf.safra, {avgs}
 FROM vintage v LEFT JOIN saf USING (ref_bacen, nu_ordem)
 WHERE saf.safra IS NOT NULL
 GROUP BY saf.safra"""
+    q.update(model_queries())
+    return q
+
+
+# --- scoring, metrics, validation (naive segment-rate model on uf) -------------------
+
+_UF = next(f for f in FE.FEATURES if f.name == "uf")
+SCORING_BASE = f"""
+{_feature_sql(_UF).strip()},
+sb AS (
+  SELECT t.ref_bacen, t.nu_ordem, t.mutuario, t.target_18m, g.uf, saf.safra
+  FROM target t
+  LEFT JOIN (SELECT ref_bacen, nu_ordem, MIN(uf) AS uf FROM feat_uf GROUP BY ref_bacen, nu_ordem) g
+    USING (ref_bacen, nu_ordem)
+  LEFT JOIN saf USING (ref_bacen, nu_ordem)
+)
+"""
+
+IN_SAMPLE = """
+rates AS (SELECT COALESCE(uf, 'NA') AS seg, AVG(CAST(target_18m AS DOUBLE)) AS rate FROM sb GROUP BY 1),
+gmean AS (SELECT AVG(CAST(target_18m AS DOUBLE)) AS g FROM sb),
+scored AS (
+  SELECT sb.ref_bacen, sb.nu_ordem, sb.mutuario, sb.target_18m AS y, COALESCE(r.rate, gmean.g) AS p
+  FROM sb LEFT JOIN rates r ON COALESCE(sb.uf, 'NA') = r.seg CROSS JOIN gmean
+)
+"""
+
+SCORE_DIST = """
+cnt AS (
+  SELECT p AS score, SUM(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, SUM(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS neg
+  FROM scored WHERE p IS NOT NULL GROUP BY p
+),
+cum AS (
+  SELECT *, SUM(pos) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum_pos,
+            SUM(neg) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum_neg
+  FROM cnt
+),
+tot AS (SELECT CAST(SUM(pos) AS BIGINT) AS P, CAST(SUM(neg) AS BIGINT) AS N FROM cnt),
+srt AS (SELECT p, y, row_number() OVER (ORDER BY p) - 1 AS r FROM scored WHERE p IS NOT NULL),
+cntn AS (SELECT COUNT(*) AS n FROM srt)
+"""
+
+
+def _quantile_cte(name: str, steps: int) -> str:
+    return f"""
+{name} AS (
+  SELECT q.k, a.p AS lo_s, b.p AS hi_s, a.p + (b.p - a.p) * (q.rem / {float(steps)}) AS v
+  FROM (SELECT k, ((n - 1) * k) // {steps} AS lo, ((n - 1) * k) % {steps} AS rem
+        FROM range(0, {steps + 1}) t(k), cntn) q
+  JOIN srt a ON a.r = q.lo
+  JOIN srt b ON b.r = q.lo + CASE WHEN q.rem > 0 THEN 1 ELSE 0 END
+)"""
+
+
+def _r(expr: str, name: str) -> str:
+    return f"round({expr}, 9) AS {name}"
+
+
+FOLDS = """
+grp AS (
+  SELECT mutuario, COUNT(*) AS n, ('0x' || substr(md5('42|' || CAST(mutuario AS VARCHAR)), 1, 8))::BIGINT AS h
+  FROM sb GROUP BY mutuario
+),
+ranked AS (SELECT mutuario, h, row_number() OVER (ORDER BY n DESC, h, mutuario) - 1 AS r FROM grp),
+folds AS (
+  SELECT mutuario,
+         CAST(CASE WHEN r < 100 THEN CASE WHEN (r // 5) % 2 = 0 THEN r % 5 ELSE 4 - r % 5 END
+                   ELSE h % 5 END AS INTEGER) AS fold
+  FROM ranked
+),
+fb AS (SELECT sb.*, folds.fold FROM sb JOIN folds USING (mutuario)),
+frates AS (
+  SELECT f.k AS fold, COALESCE(t.uf, 'NA') AS seg, AVG(CAST(t.target_18m AS DOUBLE)) AS rate
+  FROM range(0, 5) f(k) JOIN fb t ON t.fold <> f.k GROUP BY 1, 2
+),
+fglob AS (
+  SELECT f.k AS fold, AVG(CAST(t.target_18m AS DOUBLE)) AS g FROM range(0, 5) f(k) JOIN fb t ON t.fold <> f.k GROUP BY 1
+),
+oof AS (
+  SELECT fb.ref_bacen, fb.nu_ordem, fb.mutuario, fb.fold, fb.target_18m AS y, COALESCE(r.rate, g.g) AS p
+  FROM fb LEFT JOIN frates r ON r.fold = fb.fold AND r.seg = COALESCE(fb.uf, 'NA')
+  JOIN fglob g ON g.fold = fb.fold
+)
+"""
+
+
+def _grouped_core(src: str, key: str) -> str:
+    return f"""
+gcnt AS (
+  SELECT {key} AS g, p AS score, SUM(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos,
+         SUM(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS neg
+  FROM {src} WHERE p IS NOT NULL GROUP BY 1, 2
+),
+gcum AS (
+  SELECT *, SUM(pos) OVER (PARTITION BY g ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum_pos,
+            SUM(neg) OVER (PARTITION BY g ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum_neg,
+            SUM(pos) OVER (PARTITION BY g) AS P, SUM(neg) OVER (PARTITION BY g) AS N
+  FROM gcnt
+),
+gm AS (
+  SELECT g, CASE WHEN MIN(P) > 0 AND MIN(N) > 0
+                 THEN SUM(pos * (cum_neg - neg + neg * 0.5)) / (MIN(P) * MIN(N)) END AS auroc,
+         MAX(ABS(cum_pos / GREATEST(P, 1) - cum_neg / GREATEST(N, 1))) AS ks,
+         SUM(pos * pow(score - 1.0, 2) + neg * pow(score, 2)) / GREATEST(MIN(P) + MIN(N), 1) AS brier,
+         CAST(MIN(P) + MIN(N) AS BIGINT) AS n, CAST(MIN(P) AS BIGINT) AS n_pos
+  FROM gcum GROUP BY g
+)"""
+
+
+TEMPORAL = """
+yb AS (SELECT * FROM sb WHERE safra IS NOT NULL),
+years AS (
+  SELECT safra, COUNT(*) AS n, COUNT(DISTINCT target_18m) AS cls, row_number() OVER (ORDER BY safra) AS rn
+  FROM yb GROUP BY safra
+),
+tests AS (SELECT safra FROM years WHERE rn > 1 AND n >= 50 AND cls >= 2),
+trates AS (
+  SELECT t.safra AS test, COALESCE(y.uf, 'NA') AS seg, AVG(CAST(y.target_18m AS DOUBLE)) AS rate
+  FROM tests t JOIN yb y ON y.safra < t.safra GROUP BY 1, 2
+),
+tglob AS (SELECT t.safra AS test, AVG(CAST(y.target_18m AS DOUBLE)) AS g FROM tests t JOIN yb y ON y.safra < t.safra GROUP BY 1),
+tscored AS (
+  SELECT y.safra, y.target_18m AS y, COALESCE(r.rate, g.g) AS p
+  FROM yb y JOIN tests t ON y.safra = t.safra
+  LEFT JOIN trates r ON r.test = y.safra AND r.seg = COALESCE(y.uf, 'NA')
+  JOIN tglob g ON g.test = y.safra
+)
+"""
+
+
+def model_queries() -> dict[str, str]:
+    base = [SILVER, LABEL_BASE, TARGET, CROP, SCORING_BASE]
+    q = {}
+    q["model_naive_scores"] = _with(*base, IN_SAMPLE) + (
+        "\nSELECT ref_bacen, nu_ordem, mutuario, y, round(p, 9) AS p FROM scored")
+    q["metrics_core"] = _with(*base, IN_SAMPLE, SCORE_DIST) + f"""
+SELECT {_r("CASE WHEN P > 0 AND N > 0 THEN SUM(pos * (cum_neg - neg + neg * 0.5)) / (P * N) END", "auroc")},
+       {_r("MAX(ABS(cum_pos / GREATEST(P, 1) - cum_neg / GREATEST(N, 1)))", "ks")},
+       {_r("SUM(pos * pow(score - 1.0, 2) + neg * pow(score, 2)) / GREATEST(P + N, 1)", "brier")},
+       CAST(P + N AS BIGINT) AS n, CAST(P AS BIGINT) AS n_pos
+FROM cum, tot GROUP BY P, N"""
+    q["metrics_calibration"] = _with(*base, IN_SAMPLE, SCORE_DIST, _quantile_cte("edges", 10)) + f"""
+SELECT bin, {_r("AVG(p)", "mean_pred")}, {_r("AVG(CAST(y AS DOUBLE))", "frac_pos")}
+FROM (SELECT s.p, s.y, CAST((SELECT COUNT(*) FROM edges WHERE k BETWEEN 1 AND 9 AND v < s.p) AS INTEGER) AS bin
+      FROM scored s WHERE s.p IS NOT NULL) x
+GROUP BY bin"""
+    q["metrics_roc"] = _with(*base, IN_SAMPLE, SCORE_DIST) + f"""
+, pts AS (
+  SELECT score, N - cum_neg + neg AS fps, P - cum_pos + pos AS tps FROM cum, tot
+  UNION ALL SELECT CAST('infinity' AS DOUBLE), 0, 0
+),
+grid AS (SELECT k FROM range(0, 101) t(k)),
+lft AS (SELECT g.k, arg_min(p.fps, p.score) AS lf, arg_min(p.tps, p.score) AS lt
+        FROM grid g JOIN pts p ON p.fps * 100 <= g.k * (SELECT N FROM tot) GROUP BY g.k),
+rgt AS (SELECT g.k, arg_max(p.fps, p.score) AS rf, arg_max(p.tps, p.score) AS rt
+        FROM grid g JOIN pts p ON p.fps * 100 > g.k * (SELECT N FROM tot) GROUP BY g.k)
+SELECT CAST(grid.k AS INTEGER) AS k, {_r("grid.k / 100.0", "fpr")},
+       {_r("CASE WHEN rf IS NULL THEN lt / P ELSE lt / P + (rt / P - lt / P) * (grid.k / 100.0 - lf / N) / (rf / N - lf / N) END", "tpr")}
+FROM grid LEFT JOIN lft USING (k) LEFT JOIN rgt USING (k), tot"""
+    q["metrics_ks_curve"] = _with(*base, IN_SAMPLE, SCORE_DIST, _quantile_cte("kq", 100)) + f"""
+SELECT CAST(k AS INTEGER) AS k, {_r("v", "score")},
+       {_r("(SELECT COUNT(*) FROM scored s WHERE s.y = 1 AND s.p <= kq.v) / GREATEST(P, 1)", "cdf_pos")},
+       {_r("(SELECT COUNT(*) FROM scored s WHERE s.y <> 1 AND s.p <= kq.v) / GREATEST(N, 1)", "cdf_neg")}
+FROM kq, tot"""
+    q["validation_folds"] = _with(*base, FOLDS) + "\nSELECT mutuario, fold FROM folds"
+    q["validation_naive_oof"] = _with(*base, FOLDS) + (
+        "\nSELECT ref_bacen, nu_ordem, mutuario, fold, y, round(p, 9) AS p FROM oof")
+    q["validation_naive_kfold"] = _with(*base, FOLDS, _grouped_core("oof", "fold")) + f"""
+, leaks AS (
+  SELECT f.fold, COUNT(*) AS leak FROM (SELECT mutuario FROM oof GROUP BY mutuario HAVING COUNT(DISTINCT fold) > 1) m
+  JOIN (SELECT DISTINCT mutuario, fold FROM oof) f USING (mutuario) GROUP BY f.fold
+)
+SELECT CAST(gm.g + 1 AS INTEGER) AS fold, {_r("auroc", "auroc")}, {_r("ks", "ks")}, {_r("brier", "brier")}, n, n_pos,
+       CAST(COALESCE(leaks.leak, 0) AS BIGINT) AS leak_mutuario
+FROM gm LEFT JOIN leaks ON leaks.fold = gm.g"""
+    q["validation_naive_temporal"] = _with(*base, TEMPORAL, _grouped_core("tscored", "safra")) + f"""
+SELECT CAST(y.safra AS INTEGER) AS safra,
+       CAST((SELECT SUM(n) FROM years p WHERE p.safra < y.safra) AS BIGINT) AS n_train,
+       CAST(y.n AS BIGINT) AS n_test,
+       {_r("(SELECT AVG(CAST(s.y AS DOUBLE)) FROM tscored s WHERE s.safra = y.safra)", "rate_test")},
+       {_r("gm.auroc", "auroc")}, {_r("gm.ks", "ks")}, {_r("gm.brier", "brier")}
+FROM years y JOIN gm ON gm.g = y.safra"""
     return q

@@ -117,3 +117,13 @@ class Portfolio:
         cols = L.vintage_columns("first_default", self.n_deltas)
         return fo.select("safra", *cols).groupBy("safra").agg(
             *[F.avg(F.col(f"`{d}`")).alias(str(d)) for d in range(self.n_deltas + 1)])
+
+
+def scoring_base(silver, segment: str = "uf", horizon: int = HORIZON,
+                 cutoff_month: int = CROP_YEAR_CUTOFF_MONTH) -> DataFrame:
+    """(keys, target, segment feature, safra) - the modelling table restricted to the
+    naive model's segment, with the crop year of the operation."""
+    p = Portfolio(silver, horizon=horizon, features=[segment])
+    base = p.modelling_base()
+    saf = B.crop_year_map(silver["operacao_basica"], cutoff_month, value_col=None)
+    return base.join(saf, ["ref_bacen", "nu_ordem"], "left")

@@ -12,7 +12,11 @@ from cropcredit.functions.columns import crop_year_label
 from cropcredit.operators import business as B
 from cropcredit.operators import features as FE
 from cropcredit.operators import labels as L
-from cropcredit.plans.portfolio import Portfolio
+from cropcredit.operators import metrics as ME
+from cropcredit.operators import validation as V
+from cropcredit.plans import modelling as MP
+from cropcredit.plans.portfolio import Portfolio, scoring_base
+from cropcredit.session import ensure_checkpoint_dir
 from cropcredit.sources.driver_tables import silver_tables
 
 
@@ -87,6 +91,58 @@ def q_vintage_curve(spark, sf):
     return portfolio(spark, sf).vintage_curve()
 
 
+def _base(spark, sf):
+    """Scoring base, materialised once in the shared checkpoint folder: the model
+    jobs below run several actions over it (fits, bucket totals, per-fold scoring)."""
+    ensure_checkpoint_dir(spark)
+    return scoring_base(_silver(spark, sf)).checkpoint(eager=True)
+
+
+def q_naive_scores(spark, sf):
+    return MP.rounded(MP.naive_in_sample(_base(spark, sf)), {"p"})
+
+
+def _in_sample(spark, sf):
+    s = MP.naive_in_sample(_base(spark, sf))
+    return s, ME.score_distribution(s)
+
+
+def q_metrics_core(spark, sf):
+    s, d = _in_sample(spark, sf)
+    return MP.rounded(ME.core_metrics(s, dist=d), {"auroc", "ks", "brier"})
+
+
+def q_metrics_calibration(spark, sf):
+    s, d = _in_sample(spark, sf)
+    return MP.rounded(ME.calibration(s, dist=d), {"mean_pred", "frac_pos"})
+
+
+def q_metrics_roc(spark, sf):
+    s, d = _in_sample(spark, sf)
+    return MP.rounded(ME.roc_points(s, dist=d), {"fpr", "tpr"})
+
+
+def q_metrics_ks_curve(spark, sf):
+    s, d = _in_sample(spark, sf)
+    return MP.rounded(ME.ks_curve(s, dist=d), {"score", "cdf_pos", "cdf_neg"})
+
+
+def q_folds(spark, sf):
+    return V.assign_folds(_base(spark, sf), "mutuario", "target_18m", 5, 42)
+
+
+def q_naive_oof(spark, sf):
+    return MP.rounded(MP.naive_oof(_base(spark, sf)), {"p"})
+
+
+def q_naive_kfold(spark, sf):
+    return MP.naive_kfold_metrics(_base(spark, sf))
+
+
+def q_naive_temporal(spark, sf):
+    return MP.naive_temporal_metrics(_base(spark, sf))
+
+
 def queries() -> dict:
     q = {
         "labels_default_codes": q_default_codes,
@@ -106,6 +162,15 @@ def queries() -> dict:
         "business_top_categories": q_top_categories,
         "business_display": q_display,
         "business_vintage_curve": q_vintage_curve,
+        "model_naive_scores": q_naive_scores,
+        "metrics_core": q_metrics_core,
+        "metrics_calibration": q_metrics_calibration,
+        "metrics_roc": q_metrics_roc,
+        "metrics_ks_curve": q_metrics_ks_curve,
+        "validation_folds": q_folds,
+        "validation_naive_oof": q_naive_oof,
+        "validation_naive_kfold": q_naive_kfold,
+        "validation_naive_temporal": q_naive_temporal,
     })
     return q
 
