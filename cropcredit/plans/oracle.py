@@ -209,6 +209,40 @@ AGGS = "aggs AS (\n" + "\nUNION ALL\n".join(
 ) + "\n)"
 
 
+RAW_OPS = """
+raw_ops AS (
+  SELECT CAST("#REF_BACEN" AS VARCHAR) AS "#REF_BACEN", CAST(NU_ORDEM AS VARCHAR) AS NU_ORDEM,
+    CASE ("#REF_BACEN" + NU_ORDEM) % 5
+      WHEN 0 THEN CAST(day(DT_EMISSAO) AS VARCHAR) || '/' || CAST(month(DT_EMISSAO) AS VARCHAR) || '/' || CAST(year(DT_EMISSAO) AS VARCHAR)
+      WHEN 1 THEN lpad(CAST(day(DT_EMISSAO) AS VARCHAR), 2, '0') || '/' || lpad(CAST(month(DT_EMISSAO) AS VARCHAR), 2, '0') || '/' || CAST(year(DT_EMISSAO) AS VARCHAR)
+      WHEN 2 THEN '  "' || lpad(CAST(day(DT_EMISSAO) AS VARCHAR), 2, '0') || '/' || lpad(CAST(month(DT_EMISSAO) AS VARCHAR), 2, '0') || '/' || CAST(year(DT_EMISSAO) AS VARCHAR) || '" '
+      WHEN 3 THEN '31/02/' || CAST(year(DT_EMISSAO) AS VARCHAR)
+      ELSE lpad(CAST(day(DT_EMISSAO) AS VARCHAR), 2, '0') || '/' || lpad(CAST(month(DT_EMISSAO) AS VARCHAR), 2, '0') || '/' || CAST(year(DT_EMISSAO) AS VARCHAR) || ' 00:00:00'
+    END AS DT_EMISSAO,
+    CASE ("#REF_BACEN" + NU_ORDEM) % 5
+      WHEN 0 THEN CASE WHEN ip >= 1000
+                       THEN CAST(ip // 1000 AS VARCHAR) || '.' || lpad(CAST(ip % 1000 AS VARCHAR), 3, '0') || ',' || fp
+                       ELSE CAST(ip AS VARCHAR) || ',' || fp END
+      WHEN 1 THEN CAST(ip AS VARCHAR) || ',' || fp
+      WHEN 2 THEN ' "' || CAST(ip AS VARCHAR) || ',' || fp || '"  '
+      WHEN 3 THEN ''
+      ELSE CAST(ip AS VARCHAR) || 'd'
+    END AS VL_PARC_CREDITO,
+    CASE ("#REF_BACEN" + NU_ORDEM) % 6
+      WHEN 0 THEN CD_ESTADO
+      WHEN 1 THEN '  ' || CD_ESTADO || '  '
+      WHEN 2 THEN '"' || CD_ESTADO || '"'
+      WHEN 3 THEN '""'
+      WHEN 4 THEN chr(160) || CD_ESTADO || chr(160)
+      ELSE chr(9) || CD_ESTADO
+    END AS CD_ESTADO
+  FROM (SELECT *, CAST(round(VL_PARC_CREDITO * 100) AS BIGINT) // 100 AS ip,
+               lpad(CAST(CAST(round(VL_PARC_CREDITO * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0') AS fp
+        FROM operacao_basica) o
+)
+"""
+
+
 def queries() -> dict[str, str]:
     q = {}
     q["labels_default_codes"] = _with(SILVER, LABEL_BASE) + "\nSELECT DISTINCT cod FROM def_codes"
@@ -245,6 +279,14 @@ FROM vintage v LEFT JOIN saf USING (ref_bacen, nu_ordem)
 WHERE saf.safra IS NOT NULL
 GROUP BY saf.safra"""
     q.update(model_queries())
+    q["cleaning_typed_operations"] = _with(SILVER, RAW_OPS) + """
+SELECT nullif(trim(trim(trim("#REF_BACEN"), '"')), '') AS "#REF_BACEN",
+       nullif(trim(trim(trim(NU_ORDEM), '"')), '') AS NU_ORDEM,
+       CAST(try_strptime(nullif(trim(trim(trim(DT_EMISSAO), '"')), ''), '%d/%m/%Y') AS DATE) AS DT_EMISSAO,
+       try_cast(replace(replace(nullif(trim(trim(trim(VL_PARC_CREDITO), '"')), ''), '.', ''), ',', '.') AS DOUBLE)
+         AS VL_PARC_CREDITO,
+       nullif(trim(trim(trim(CD_ESTADO), '"')), '') AS CD_ESTADO
+FROM raw_ops"""
     return q
 
 

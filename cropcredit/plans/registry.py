@@ -143,6 +143,12 @@ def q_naive_temporal(spark, sf):
     return MP.naive_temporal_metrics(_base(spark, sf))
 
 
+def q_cleaning(spark, sf):
+    from cropcredit.plans.cleaning import typed_operations
+
+    return typed_operations(_silver(spark, sf)["operacao_basica"])
+
+
 def queries() -> dict:
     q = {
         "labels_default_codes": q_default_codes,
@@ -171,6 +177,7 @@ def queries() -> dict:
         "validation_naive_oof": q_naive_oof,
         "validation_naive_kfold": q_naive_kfold,
         "validation_naive_temporal": q_naive_temporal,
+        "cleaning_typed_operations": q_cleaning,
     })
     return q
 
