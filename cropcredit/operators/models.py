@@ -65,15 +65,30 @@ class Preprocessor:
     scales: dict = field(default_factory=dict)
 
     def fit(self, train: DataFrame) -> "Preprocessor":
-        for c in self.cat_cols:
-            col = F.coalesce(F.col(c).cast("string"), F.lit("NA"))
-            freq = train.groupBy(col.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-            n_values = freq.count()
-            has_infreq = n_values > self.max_categories
-            keep_n = self.max_categories - 1 if has_infreq else n_values
-            # stable ascending-frequency order marks the smallest (ties: earlier value) infrequent
-            top = freq.orderBy(F.col("n").desc(), F.col("v").desc()).limit(keep_n).collect()
-            self.categories[c] = (sorted(r["v"] for r in top), has_infreq)
+        if self.cat_cols:
+            # one job for every categorical column: (column, value) frequencies, ranked per
+            # column; only the top max_categories-1 per column (+ distinct counts) return.
+            from pyspark.sql import Window as W
+
+            pairs = F.array(*[
+                F.struct(F.lit(c).alias("col"), F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias("v"))
+                for c in self.cat_cols
+            ])
+            freq = train.select(F.inline(pairs)).groupBy("col", "v").agg(F.count(F.lit(1)).alias("n"))
+            w = W.partitionBy("col").orderBy(F.col("n").desc(), F.col("v").desc())
+            ranked = freq.select("col", "v", F.row_number().over(w).alias("rk"),
+                                 F.count(F.lit(1)).over(W.partitionBy("col")).alias("nv"))
+            rows = ranked.where(F.col("rk") <= self.max_categories).collect()
+            by_col: dict = {c: [] for c in self.cat_cols}
+            n_values = {c: 0 for c in self.cat_cols}
+            for r in rows:
+                by_col[r["col"]].append((r["rk"], r["v"]))
+                n_values[r["col"]] = r["nv"]
+            for c in self.cat_cols:
+                has_infreq = n_values[c] > self.max_categories
+                keep_n = self.max_categories - 1 if has_infreq else n_values[c]
+                kept = [v for rk, v in sorted(by_col[c]) if rk <= keep_n]
+                self.categories[c] = (sorted(kept), has_infreq)
         for c in self.num_cols:
             med = exact_quantiles(train.where(F.col(c).isNotNull()), c, 2).where("k = 1").first()
             self.medians[c] = float(med["value"]) if med and med["value"] is not None else 0.0

@@ -127,3 +127,10 @@ def scoring_base(silver, segment: str = "uf", horizon: int = HORIZON,
     base = p.modelling_base()
     saf = B.crop_year_map(silver["operacao_basica"], cutoff_month, value_col=None)
     return base.join(saf, ["ref_bacen", "nu_ordem"], "left")
+
+
+def training_base(silver, horizon: int = HORIZON, cutoff_month: int = CROP_YEAR_CUTOFF_MONTH) -> DataFrame:
+    """Modelling table with every feature and the operation's crop year."""
+    base = Portfolio(silver, horizon=horizon).modelling_base()
+    saf = B.crop_year_map(silver["operacao_basica"], cutoff_month, value_col=None)
+    return base.join(saf, ["ref_bacen", "nu_ordem"], "left")
