@@ -149,6 +149,37 @@ def q_cleaning(spark, sf):
     return typed_operations(_silver(spark, sf)["operacao_basica"])
 
 
+def q_logistic_scores(spark, sf):
+    """Balanced logistic regression fitted on the whole modelling table (in-sample
+    scores). Iterative optimiser: no SQL oracle."""
+    from cropcredit.config import ModelingOptions
+    from cropcredit.operators.models import Preprocessor, fit_logistic, predict_proba
+    from cropcredit.plans.portfolio import training_base
+    from cropcredit.plans.training import load_base
+
+    ensure_checkpoint_dir(spark)
+    opts = ModelingOptions()
+    df, cat, num = load_base(training_base(_silver(spark, sf)), opts)
+    df = df.checkpoint()
+    prep = Preprocessor(cat, num, opts.max_categories).fit(df)
+    model = fit_logistic(df, "target_18m", prep)
+    out = predict_proba(model, prep, df)
+    return MP.rounded(out.select("ref_bacen", "nu_ordem", "mutuario", F.col("target_18m").alias("y"), "p"), {"p"})
+
+
+def q_dashboard_ks_location(spark, sf):
+    """KS location per model of a naive k-fold run record built from the data."""
+    from cropcredit.config import ModelingOptions
+    from cropcredit.operators.dashboard import ks_location
+    from cropcredit.plans.training import train_kfold
+    from cropcredit.sources.runs import records_frame
+
+    from cropcredit.plans.portfolio import training_base
+
+    rec = train_kfold(training_base(_silver(spark, sf)), ModelingOptions(), models=("naive",))
+    return ks_location(records_frame(spark, [rec])).drop("run_id")
+
+
 def queries() -> dict:
     q = {
         "labels_default_codes": q_default_codes,
@@ -178,6 +209,8 @@ def queries() -> dict:
         "validation_naive_kfold": q_naive_kfold,
         "validation_naive_temporal": q_naive_temporal,
         "cleaning_typed_operations": q_cleaning,
+        "model_logistic_scores": q_logistic_scores,
+        "dashboard_ks_location": q_dashboard_ks_location,
     })
     return q
 
