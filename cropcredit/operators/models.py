@@ -29,13 +29,17 @@ def _segment_key(cols):
 
 @dataclass
 class NaiveSegmentRate:
+    """Mean label per segment (NULL segment -> "NA"); unseen segments get the global
+    mean. Fitting is lazy: the rates are an aggregation (one row per segment) and the
+    global mean a scalar subquery, both evaluated inside the scoring job."""
+
     segment_cols: list
     rates: DataFrame | None = None
-    global_rate: float = 0.0
+    global_rate: object = None  # Column (scalar subquery)
 
     def fit(self, train: DataFrame, label: str) -> "NaiveSegmentRate":
         keyed = train.select(*_segment_key(self.segment_cols), F.col(label).cast("double").alias("_y"))
-        self.global_rate = float(train.agg(F.avg(F.col(label).cast("double"))).first()[0] or 0.0)
+        self.global_rate = keyed.agg(F.coalesce(F.avg("_y"), F.lit(0.0))).scalar()
         self.rates = keyed.groupBy(*[f"_seg{i}" for i in range(len(self.segment_cols))]).agg(
             F.avg("_y").alias("_rate"))
         return self
@@ -44,7 +48,7 @@ class NaiveSegmentRate:
         keys = [f"_seg{i}" for i in range(len(self.segment_cols))]
         x = df.select("*", *_segment_key(self.segment_cols))
         j = x.join(sized_broadcast(self.rates), keys, "left")
-        return j.withColumn(out, F.coalesce(F.col("_rate"), F.lit(self.global_rate))).drop("_rate", *keys)
+        return j.withColumn(out, F.coalesce(F.col("_rate"), self.global_rate)).drop("_rate", *keys)
 
 
 # --- P1-P5: preprocessing ----------------------------------------------------------------

@@ -29,11 +29,35 @@ def rounded(df: DataFrame, cols) -> DataFrame:
     return df.select(*[F.round(F.col(c), ROUND).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def _seg(col: str):
+    return F.coalesce(F.col(col).cast("string"), F.lit("NA"))
+
+
 def naive_oof(base: DataFrame, opts: ModelingOptions = ModelingOptions()) -> DataFrame:
+    """Out-of-fold naive scores without refitting per fold: one aggregation gives
+    (fold, segment) sums; a fold's training rate is the total minus its own share,
+    (S_seg - S_fold,seg) / (N_seg - N_fold,seg), the global rate likewise for segments
+    absent from training. Equal to fitting the segment means on the other folds."""
     label = target_name(opts.horizon)
     folds = V.assign_folds(base, GROUP, label, opts.n_splits, opts.random_state)
-    oof = V.kfold_scores(base, folds, GROUP, label, opts.n_splits, naive_fit_predict(opts.naive_segment, label))
-    return oof.select("ref_bacen", "nu_ordem", "mutuario", "fold", F.col(label).alias("y"), "p")
+    d = base.join(folds, GROUP, "inner").withColumn("_seg", _seg(opts.naive_segment))
+    y = F.col(label).cast("double")
+    st = d.groupBy("fold", "_seg").agg(F.sum(y).alias("s"), F.count(F.lit(1)).alias("n"))  # k x segments
+    from pyspark.sql import Window as W
+
+    seg_all, all_ = W.partitionBy("_seg"), W.partitionBy()
+    fold_all = W.partitionBy("fold")
+    st = st.select(
+        "fold", "_seg",
+        (F.sum("s").over(seg_all) - F.col("s")).alias("ts"), (F.sum("n").over(seg_all) - F.col("n")).alias("tn"),
+        (F.sum("s").over(all_) - F.sum("s").over(fold_all)).alias("gs"),
+        (F.sum("n").over(all_) - F.sum("n").over(fold_all)).alias("gn"),
+    )
+    rate = F.when(F.col("tn") > 0, F.col("ts") / F.col("tn")).otherwise(
+        F.when(F.col("gn") > 0, F.col("gs") / F.col("gn")).otherwise(F.lit(0.0)))
+    rates = st.select("fold", "_seg", rate.alias("p"))
+    out = d.join(F.broadcast(rates), ["fold", "_seg"], "left")
+    return out.select("ref_bacen", "nu_ordem", "mutuario", "fold", F.col(label).alias("y"), "p")
 
 
 def fold_leaks(folds_of_rows: DataFrame) -> DataFrame:
@@ -68,12 +92,26 @@ def naive_temporal_metrics(base: DataFrame, opts: ModelingOptions = ModelingOpti
     if not tests:
         return spark.createDataFrame([], "safra int, n_train long, n_test long, rate_test double, "
                                          "auroc double, ks double, brier double")
-    fp = naive_fit_predict(opts.naive_segment, label)
-    parts = [fp(d.where(F.col("safra") < t), d.where(F.col("safra") == t)).select(
-        "safra", F.col(label).alias("y"), "p") for t in tests]
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
+    # training rates of year t = running (segment) sums over all earlier years: one
+    # aggregation to (year, segment) and windows over that small table, no refits
+    from pyspark.sql import Window as W
+
+    d = d.withColumn("_seg", _seg(opts.naive_segment))
+    y = F.col(label).cast("double")
+    ys = d.groupBy("safra", "_seg").agg(F.sum(y).alias("s"), F.count(F.lit(1)).alias("n"))
+    yt = d.groupBy("safra").agg(F.sum(y).alias("s"), F.count(F.lit(1)).alias("n"))
+    before = W.orderBy("safra").rowsBetween(W.unboundedPreceding, -1)
+    glob = yt.select("safra", F.sum("s").over(before).alias("gs"), F.sum("n").over(before).alias("gn"))
+    # every (year, segment) met in a test year is a row of ys; summing the earlier rows
+    # of its segment gives the training sums (years without the segment add nothing)
+    prior = W.partitionBy("_seg").orderBy("safra").rowsBetween(W.unboundedPreceding, -1)
+    g = ys.select("safra", "_seg", F.coalesce(F.sum("s").over(prior), F.lit(0.0)).alias("ts"),
+                  F.coalesce(F.sum("n").over(prior), F.lit(0)).alias("tn"))
+    g = g.join(glob, "safra")
+    rate = F.when(F.col("tn") > 0, F.col("ts") / F.col("tn")).otherwise(F.col("gs") / F.col("gn"))
+    rates = g.where(F.col("safra").isin(tests)).select("safra", "_seg", rate.alias("p"))
+    scored = d.where(F.col("safra").isin(tests)).join(F.broadcast(rates), ["safra", "_seg"], "left").select(
+        "safra", F.col(label).alias("y"), "p")
     m = ME.core_metrics(scored, by="safra")
     info = spark.createDataFrame(
         [(int(t), int(sum(by[y]["n"] for y in years if y < t)), int(by[t]["n"])) for t in tests],

@@ -92,10 +92,10 @@ def q_vintage_curve(spark, sf):
 
 
 def _base(spark, sf):
-    """Scoring base, materialised once in the shared checkpoint folder: the model
-    jobs below run several actions over it (fits, bucket totals, per-fold scoring)."""
-    ensure_checkpoint_dir(spark)
-    return scoring_base(_silver(spark, sf)).checkpoint(eager=True)
+    """Scoring base (keys, label, segment, crop year). The naive-model plans below are
+    lazy single-pass aggregations over it; the metric jobs persist their per-score
+    counts, so the base is not materialised separately."""
+    return scoring_base(_silver(spark, sf))
 
 
 def q_naive_scores(spark, sf):
@@ -103,7 +103,9 @@ def q_naive_scores(spark, sf):
 
 
 def _in_sample(spark, sf):
-    s = MP.naive_in_sample(_base(spark, sf))
+    # the scoring base feeds the segment rates, the global rate and the scored rows:
+    # keep it once (recomputable from lineage if an executor is lost)
+    s = MP.naive_in_sample(_base(spark, sf).persist())
     return s, ME.score_distribution(s)
 
 

@@ -155,12 +155,39 @@ def code_domain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     raise KeyError(name)
 
 
+# The large silver tables are written once per application (medallion layout: gold
+# jobs read silver parquet); small code domains stay views over the driver tables.
+MATERIALIZED = ("operacao_basica", "saldos", "mutuarios")
+_WRITTEN: dict = {}
+
+
+def _silver_root(spark: SparkSession, sf_dir: str) -> str:
+    import hashlib
+
+    from cropcredit.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    tag = hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    return f"{base}/silver/{spark.sparkContext.applicationId}/{tag}"
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Write the view once to the shared checkpoint folder as parquet, read it back."""
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), name)
+    if key not in _WRITTEN:
+        path = f"{_silver_root(spark, sf_dir)}/{name}.parquet"
+        build(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _WRITTEN[key] = spark.read.parquet(path)
+    return _WRITTEN[key]
+
+
 class SilverViews(Mapping):
-    """Silver views by table name, each built on first access (building a PySpark
-    plan costs analyzer round-trips, so unused views are never built)."""
+    """Silver tables by name, each built on first access (building a PySpark plan
+    costs analyzer round-trips, so unused views are never built). With ``materialize``
+    the large ones are written once and read back as parquet."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
         self._built: dict = {}
         self._makers = {
             "operacao_basica": operacao_basica,
@@ -174,7 +201,11 @@ class SilverViews(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = self._makers[name](self.spark, self.sf_dir)
+            maker = self._makers[name]
+            if self.materialize and name in MATERIALIZED:
+                self._built[name] = materialized(self.spark, self.sf_dir, name, maker)
+            else:
+                self._built[name] = maker(self.spark, self.sf_dir)
         return self._built[name]
 
     def __iter__(self):
@@ -184,6 +215,6 @@ class SilverViews(Mapping):
         return len(self._makers)
 
 
-def silver_tables(spark: SparkSession, sf_dir: str) -> SilverViews:
-    """All silver views the gold jobs read, keyed by their silver table name."""
-    return SilverViews(spark, sf_dir)
+def silver_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> SilverViews:
+    """All silver tables the gold jobs read, keyed by their silver table name."""
+    return SilverViews(spark, sf_dir, materialize)
