@@ -197,3 +197,16 @@ def feature_table(name: str, target: DataFrame, operacao: DataFrame, mutuarios:
         d = _domain_rows(domains, f)
         j = j.join(sized_broadcast(d), _code_key(F.col(f.code), f.int_code) == F.col("_code"), "inner")
     return j.select("ref_bacen", "nu_ordem", "mutuario", _value_expr(f).alias(f.name))
+
+
+def municipio_feature(target: DataFrame, complemento: DataFrame, municipios: DataFrame,
+                      target_col: str = "target_18m") -> DataFrame:
+    """Exploratory feature outside the registry: municipality name of the operation
+    through the renegotiation complement (both joins inner, value passed through).
+    Output: ref_bacen, nu_ordem, <target>, municipio."""
+    comp = complemento.select(
+        F.col("`#REF_BACEN`").alias("ref_bacen"), F.col("NU_ORDEM").alias("nu_ordem"),
+        F.col("CD_IBGE_MUNICIPIO").alias("_cod"))
+    muni = municipios.select(F.col("COD_MUNICIPIO_IBGE").alias("_cod"), F.col("NOME_MUNICIPIO").alias("municipio"))
+    j = target.select("ref_bacen", "nu_ordem", target_col).join(comp, ["ref_bacen", "nu_ordem"], "inner")
+    return j.join(sized_broadcast(muni), "_cod", "inner").select("ref_bacen", "nu_ordem", target_col, "municipio")

@@ -1,0 +1 @@
+"""Incremental (file-arrival) bronze -> silver loading with Structured Streaming."""

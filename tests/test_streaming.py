@@ -1,0 +1,25 @@
+import os
+
+from cropcredit.streaming.incremental import load_new_files
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write(text)
+
+
+def test_incremental_load(spark, tmpdir_path):
+    bronze = os.path.join(tmpdir_path, "bronze", "saldos")
+    silver = os.path.join(tmpdir_path, "silver", "saldos.parquet")
+    ckpt = os.path.join(tmpdir_path, "ckpt", "saldos")
+    cols = ["#REF_BACEN", "NU_ORDEM", "DT_BASE", "VL_SALDO"]
+    _write(f"{bronze}/ingest_month=2024-01/a.csv", "#REF_BACEN;NU_ORDEM;DT_BASE;VL_SALDO\nR1;1;1/1/2024;10,5\n")
+    n1 = load_new_files(spark, bronze, silver, ckpt, cols, delimiter=";", silver_cfg={"decimal_separator": ","})
+    _write(f"{bronze}/ingest_month=2024-02/a.csv", "#REF_BACEN;NU_ORDEM;DT_BASE;VL_SALDO\nR1;1;1/2/2024;\"  7 \"\n")
+    n2 = load_new_files(spark, bronze, silver, ckpt, cols, delimiter=";", silver_cfg={"decimal_separator": ","})
+    n3 = load_new_files(spark, bronze, silver, ckpt, cols, delimiter=";", silver_cfg={"decimal_separator": ","})
+    assert (n1, n2, n3) == (1, 1, 0)
+    rows = sorted(spark.read.parquet(silver).collect(), key=lambda r: str(r.DT_BASE))
+    assert [r.VL_SALDO for r in rows] == [10.5, 7.0]
+    assert str(rows[1].DT_BASE) == "2024-02-01" and rows[1]._source_object.endswith("a.csv")
