@@ -91,10 +91,10 @@ def select_features(only=None, warn=print) -> list[Feature]:
     return out
 
 
-def _value_expr(f: Feature, col=F.col):
+def _value_expr(f: Feature):
     if f.recode is not None:
-        return to_column(f.recode, col)
-    return col(f.value)
+        return to_column(f.recode)
+    return F.col(f.value)
 
 
 def _code_key(c, int_code: bool):
@@ -150,7 +150,7 @@ def _attach(base: DataFrame, features, domains: dict, source_col=F.col) -> DataF
         if f.domain:
             out_cols.append(F.col(f"_f_{f.name}").alias(f.name))
         else:
-            out_cols.append(_value_expr(f, source_col).alias(f.name))
+            out_cols.append(_value_expr(f).alias(f.name))
     return base, out_cols
 
 

@@ -68,8 +68,20 @@ def _predicate(clauses, col) -> Column:
     return reduce(lambda a, b: a | b, ors)
 
 
-def to_column(recode: Recode, col=F.col) -> Column:
-    """Compile to a Spark Column; ``col`` maps a rule column name to a Column."""
+def _spark_lit(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def to_column(recode: Recode, col=None) -> Column:
+    """Compile to a Spark Column. By default the rules are rendered as one SQL CASE
+    expression (one parser call instead of one JVM round-trip per literal); ``col``
+    maps rule column names to Columns for the Column-API build."""
+    if col is None:
+        return F.expr(to_sql(recode, lambda c: f"`{c}`", lit=_spark_lit))
+    return _to_column_api(recode, col)
+
+
+def _to_column_api(recode: Recode, col) -> Column:
     branches = []
     if recode.null_guard:
         branches.append((col(recode.null_guard).isNull(), F.lit(None).cast("string")))
@@ -88,8 +100,9 @@ def _sql_lit(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
-def to_sql(recode: Recode, qualify) -> str:
-    """Render as an ANSI ``CASE`` expression (used by the SQL oracle)."""
+def to_sql(recode: Recode, qualify, lit=_sql_lit) -> str:
+    """Render as a ``CASE`` expression (ANSI quoting by default, as the SQL oracle uses)."""
+    _sql_lit = lit  # noqa: N806 - literal renderer for this dialect
 
     def val(v):
         return qualify(v.column) if isinstance(v, Keep) else _sql_lit(v)
@@ -110,6 +123,8 @@ def to_sql(recode: Recode, qualify) -> str:
                     ands.append(f"{qualify(c)} IN ({lst})")
             ors.append("(" + " AND ".join(ands) + ")")
         parts.append(f"WHEN {' OR '.join(ors)} THEN {val(result)}")
+    if not recode.rules and recode.default is None:
+        parts.append("WHEN false THEN NULL")
     if recode.default is not None:
         parts.append(f"ELSE {val(recode.default)}")
     parts.append("END")
