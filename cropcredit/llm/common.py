@@ -72,15 +72,10 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges``: columns a, b (any orderable type). Returns node, root (smallest node reachable)
     for every node that has an edge to another node. Each star step is a map-side combined
-    ``min`` and a join, so a hub's edges never meet in one task; rounds are cut by reliable
-    checkpoints. No edges: an empty table."""
-    ensure_checkpoint_dir(edges.sparkSession)
-    e = (
-        edges.where("a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct()
-        .checkpoint()
-    )
+    ``min`` and a join, so a hub's edges never meet in one task; each round is written to the
+    shared folder. No edges: an empty table."""
+    e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    e = materialize(e.distinct(), "edges")
     before = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -91,7 +86,7 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        e = small.checkpoint()
+        e = materialize(small, "edges")
         s = e.agg(F.count("*").alias("n"), F.countDistinct("u").alias("k"),
                   F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         now = (s.n, s.k, s.h)
@@ -127,3 +122,10 @@ def block_units(members: DataFrame, bucket: list[str], block: int) -> DataFrame:
 
 def persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    while name.lower() in [c.lower() for c in df.columns]:
+        name += "_"
+    return name

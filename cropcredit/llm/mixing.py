@@ -76,7 +76,7 @@ def _wants(rows: DataFrame, most: int) -> DataFrame:
     """Adds _base (certain copies), _p (inclusion probability) and _q (rank) to rows that have
     _size, _h and the columns of the source (source_size, target, _mean, _lean)."""
     rho = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    delta = (_long(F) - F.col("_lean")) / 1000
+    delta = (_long() - F.col("_lean")) / 1000
     c = F.greatest(F.lit(0.0), F.least(F.lit(float(most)), rho + F.least(rho, most - rho) * delta))
     rows = rows.withColumn("_c", F.when(F.col("_size") > 0, c).otherwise(rho))
     rows = rows.withColumn("_base", F.floor("_c")).withColumn("_p", F.col("_c") - F.col("_base"))
@@ -85,9 +85,9 @@ def _wants(rows: DataFrame, most: int) -> DataFrame:
     return rows.withColumn("_q", F.when((F.col("_p") > 0) & (F.col("_size") > 0), q)).drop("_c")
 
 
-def _long(f):
+def _long():
     """How long a document is against its source's mean, 0 to 999."""
-    return f.floor(1000 * f.col("_size") / (f.col("_size") + f.col("_mean")))
+    return F.floor(1000 * F.col("_size") / (F.col("_size") + F.col("_mean")))
 
 
 def _bucket():
@@ -100,26 +100,27 @@ def plan(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """One row per source: what ``decide`` needs to settle each document by itself. ``sizes`` has
     source, _size and _h and should be materialised."""
     per = source_targets(sizes, weights, most)
-    per = per.withColumn("_mean", F.floor(F.col("source_size") / F.col("n"))).checkpoint()
+    per = materialize(per.withColumn("_mean", F.floor(F.col("source_size") / F.col("n"))), "sources")
     lean = _with_source(sizes.where("_size > 0"), per).groupBy("source").agg(
-        F.sum(_long(F) * F.col("_size")).alias("_lean"))
-    per = _with_source(per, lean.checkpoint()).withColumn(
-        "_lean", F.coalesce(F.col("_lean") / F.col("source_size"), F.lit(0.0))).checkpoint()
+        F.sum(_long() * F.col("_size")).alias("_lean"))
+    per = materialize(_with_source(per, materialize(lean, "lean")).withColumn(
+        "_lean", F.coalesce(F.col("_lean") / F.col("source_size"), F.lit(0.0))), "sources")
     wants = _wants(_with_source(sizes.where("_size > 0"), per), most)
     rest = wants.groupBy("source").agg(
         F.sum(F.col("_base") * F.col("_size")).alias("_sure"), F.sum(F.floor(F.col("_p") * 1000000)).alias("_ps"))
-    per = _with_source(per, rest.checkpoint())
+    per = _with_source(per, materialize(rest, "rest"))
     share = F.col("_ps") / F.col("n") / 1000000
     per = (per.withColumn("_rest", F.col("target") - F.coalesce("_sure", F.lit(0)))
            .withColumn("_share", F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.coalesce(share, F.lit(0.5)))))
-           .withColumn("_buckets", 1 + F.floor(F.col("n") / BUCKET_ROWS)).drop("_sure", "_ps").checkpoint())
+           .withColumn("_buckets", 1 + F.floor(F.col("n") / BUCKET_ROWS)).drop("_sure", "_ps"))
+    per = materialize(per, "sources")
     ranked = _wants(_with_source(sizes.where("_size > 0"), per), most).where("_q is not null").withColumn("_b", _bucket())
     sums = ranked.groupBy("source", "_b").agg(F.sum("_size").alias("_words"), F.first("_rest").alias("_rest"))
     before = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_done", F.coalesce(F.sum("_words").over(before), F.lit(0)))
     cross = sums.where("_done < _rest").groupBy("source").agg(
-        F.max("_b").alias("_cut_b"), F.max_by("_done", "_b").alias("_cut_done")).checkpoint()
-    per = _with_source(per, cross).checkpoint()
+        F.max("_b").alias("_cut_b"), F.max_by("_done", "_b").alias("_cut_done"))
+    per = materialize(_with_source(per, materialize(cross, "cross")), "sources")
     # the bucket of the cut alone, peers (equal rank and digest) together
     last = _wants(_with_source(sizes.where("_size > 0"), per), most).where("_q is not null")
     last = last.where(_bucket() == F.col("_cut_b")).groupBy("source", "_q", "_h").agg(
@@ -128,7 +129,7 @@ def plan(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     last = last.withColumn("_cum", cum).withColumn("_was", F.col("_cum") - F.col("_words"))
     take = (F.col("_was") < F.col("_rest")) & ((F.col("_cum") <= F.col("_rest")) | (F.col("_cum") - F.col("_rest") <= F.col("_rest") - F.col("_was")))
     cut = last.where(take).groupBy("source").agg(F.max(F.struct("_q", "_h")).alias("_cut"))
-    return _with_source(per, cut.checkpoint()).checkpoint()
+    return materialize(_with_source(per, materialize(cut, "cut")), "sources")
 
 
 def decide(rows: DataFrame, per: DataFrame, most: int = MOST) -> DataFrame:

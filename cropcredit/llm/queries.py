@@ -3,15 +3,24 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from cropcredit.llm import mixing, packing, token_files
+from cropcredit.llm import langid, mixing, ngram_join, packing, quality, token_files
 from cropcredit.llm.common import read_table, shared_dir
 
 
+def _remainder(n):
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
 def op2_mixing(spark, sf_dir):
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op4_token_files(spark, sf_dir, end_id=1, vocab=49_408):
     path = token_files.new_path(shared_dir(spark))
     token_files.write_ids(read_table(spark, sf_dir, "documents"), path,
@@ -19,14 +28,82 @@ def op4_token_files(spark, sf_dir, end_id=1, vocab=49_408):
     return token_files.read_documents(spark, path, vocab)
 
 
+def op5_quality(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False))
+    return quality.score(docs, model, "score").select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
+
+
+def op6_langid(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.train(docs)
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    return langid.label(docs.select("doc_id", "text"), model, "lang_pred", "score").select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
+#: Exact n-gram sets and similarities; components by recursion over the links.
+NGRAM_JOIN_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+c AS (SELECT doc_id, ws, CASE WHEN len(ws) = 0 THEN 'e' || doc_id ELSE md5(array_to_string(ws, ' ')) END AS k FROM w),
+cls AS (SELECT k, min(doc_id) AS class_id, count(*) AS copies, any_value(ws) AS ws FROM c GROUP BY k),
+g AS (SELECT DISTINCT class_id, copies, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+  ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) END) AS s FROM cls),
+sz AS (SELECT class_id, count(*) AS n FROM g GROUP BY 1),
+rare AS (SELECT s FROM g GROUP BY s HAVING count(*) > 1),
+p AS (SELECT a.class_id AS x, b.class_id AS y, any_value(b.copies) AS cy, count(*) AS i
+  FROM (SELECT g.* FROM g SEMI JOIN rare USING (s)) a JOIN (SELECT g.* FROM g SEMI JOIN rare USING (s)) b
+    ON a.s = b.s AND a.class_id <> b.class_id GROUP BY 1, 2),
+l AS (SELECT x, y, cy FROM p JOIN sz a ON a.class_id = x JOIN sz b ON b.class_id = y WHERE i >= 0.8 * (a.n + b.n - i) - 1e-9),
+reach AS (SELECT class_id AS x, class_id AS y FROM cls UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x),
+grp AS (SELECT x, min(y) AS group_id FROM reach GROUP BY 1),
+gain AS (SELECT x, sum(cy) AS gain FROM l GROUP BY 1)
+SELECT c.doc_id, cls.class_id, CAST(cls.copies - 1 + coalesce(gain, 0) AS BIGINT) AS n_links, grp.group_id, c.doc_id = grp.group_id AS kept
+FROM c JOIN cls USING (k) JOIN grp ON grp.x = cls.class_id LEFT JOIN gain ON gain.x = cls.class_id
+"""
+
+
+#: The same mixture with whole sorts in place of buckets. u/(1-u)*(1-p)/p ranks; peers are decided alike.
+MIXING_SQL = """
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '-') || '|' || coalesce(text, '')), 1, 13) AS BIGINT) AS h
+  FROM documents),
+s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n FROM d GROUP BY source),
+s1 AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s0),
+s2 AS (SELECT *, 3 * source_size / weight AS ratio FROM s1),
+s3 AS (SELECT *, (sum(source_size) OVER () - coalesce(3 * sum(source_size) OVER (ORDER BY ratio, source NULLS LAST
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM s2),
+s4 AS (SELECT source, source_size, n, CASE WHEN ratio < (SELECT arg_min(lev, ratio) FROM s3 WHERE lev <= ratio)
+    THEN CAST(3 * source_size AS DOUBLE) ELSE (SELECT arg_min(lev, ratio) FROM s3 WHERE lev <= ratio) * weight END AS target,
+  floor(source_size / n) AS mean FROM s3),
+r AS (SELECT d.*, s4.source_size, s4.target, s4.mean, floor(1000 * size / (size + mean)) AS long
+  FROM d JOIN s4 ON d.source IS NOT DISTINCT FROM s4.source),
+l AS (SELECT *, sum(CASE WHEN size > 0 THEN CAST(long AS BIGINT) * size ELSE 0 END) OVER (PARTITION BY source) / source_size AS lean,
+  target / source_size AS rho FROM r),
+c AS (SELECT *, CASE WHEN size > 0 THEN greatest(0.0, least(3.0, rho + least(rho, 3 - rho) * ((long - lean) / 1000))) ELSE rho END AS c FROM l),
+p AS (SELECT *, floor(c) AS base, c - floor(c) AS p FROM c),
+q AS (SELECT *, CASE WHEN p > 0 AND size > 0 THEN ((h + 0.5) / 4503599627370496.0) / (1 - (h + 0.5) / 4503599627370496.0) * ((1 - p) / p) END AS q,
+  target - sum(base * size) OVER (PARTITION BY source) AS rest FROM p),
+m AS (SELECT *, sum(CASE WHEN q IS NOT NULL THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY q NULLS LAST, h RANGE UNBOUNDED PRECEDING) AS cum,
+  sum(CASE WHEN q IS NOT NULL THEN size ELSE 0 END) OVER (PARTITION BY source, q, h) AS peers FROM q),
+f AS (SELECT *, CAST(base + CASE WHEN q IS NOT NULL AND cum - peers < rest AND (cum <= rest OR cum - rest <= rest - (cum - peers)) THEN 1 ELSE 0 END AS BIGINT) AS copies FROM m)
+SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken FROM f
+"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_mixing, op4_token_files, op10_packing)}
+    return {f.__name__: f for f in (op2_mixing, op3_ngram_join, op4_token_files, op5_quality, op6_langid, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_mixing": MIXING_SQL, "op3_ngram_join": NGRAM_JOIN_SQL}
