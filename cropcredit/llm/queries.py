@@ -5,14 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from cropcredit.llm import langid, mixing, ngram_join, packing, quality, token_files
-from cropcredit.llm.common import read_table, shared_dir
+from cropcredit.llm import chat, langid, mixing, ngram_join, packing, pivot_index, quality, spotsigs, token_files, url_templates
+from cropcredit.llm.common import materialize, read_table, shared_dir
 
 
 def _remainder(n):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def op1_url_templates(spark, sf_dir):
+    return url_templates.judge(read_table(spark, sf_dir, "pages"), RULES)
+
+
 def op2_mixing(spark, sf_dir):
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -44,6 +51,29 @@ def op6_langid(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+def op7_chat(spark, sf_dir):
+    c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], "conv_id long, turn long, role string, text string")
+    tree = materialize(chat.linear_tree(c.unionByName(extra)), "tree")
+    back = chat.parsed(materialize(chat.formatted(tree), "formatted"))
+    flat = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss_texts", "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(flat, 256).alias("turns_sha256"),
+                       F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op8_pivot_index(spark, sf_dir):
+    return pivot_index.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+def op9_spotsigs(spark, sf_dir):
+    return spotsigs.neighbours(read_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
@@ -101,9 +131,78 @@ SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken
 """
 
 
+CHAT_SQL = """
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+e AS (SELECT *, replace(replace(role, '\\', '\\\\'), '<|', '<\\|') AS er, replace(replace(text, '\\', '\\\\'), '<|', '<\\|') AS et FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS LAST, role, text), '')) AS loss_sha256,
+  CAST(sum(length(er) + length(et) + 8 + 8 + 7) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+#: All pairs within a label, by cosine in double precision.
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x),
+c AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+n AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN c ON c.x = vec_id LEFT JOIN n ON n.x = vec_id
+"""
+
+
+def _url_sql(rules=RULES, levels=url_templates.LEVELS) -> str:
+    """The template tree, one pair of common tables per level."""
+    cases = {"rule": [], "verdict": []}
+    for text, verdict in sorted(rules, key=lambda r: -len(r[0])):
+        host, slash, path = text.partition("/")
+        fits = f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{slash + path}')"
+        cases["rule"].append(f"WHEN {fits} THEN '{text}'")
+        cases["verdict"].append(f"WHEN {fits} THEN '{verdict}'")
+    u = url_templates
+    sql = f"""
+WITH a AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+b AS (SELECT page_id, coalesce(rest, '') AS rest, regexp_extract(coalesce(rest, ''), '^[^/?#]*') AS raw FROM a),
+h AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM b),
+r AS (SELECT *, CASE {' '.join(cases['rule'])} END AS rule, CASE {' '.join(cases['verdict'])} END AS decided,
+  list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: replace(x, '*', '%2A')) AS s FROM h),
+p0 AS (SELECT * EXCLUDE (s), CASE WHEN len(s) > {levels} THEN list_append(s[1:{levels - 1}], '**') ELSE s END AS s, '' AS template FROM r)"""
+    for k in range(levels):
+        sql += f""",
+k{k} AS (SELECT host, template, s[{k + 1}] AS t, count(*) AS n FROM p{k} WHERE s[{k + 1}] IS NOT NULL GROUP BY ALL),
+f{k} AS (SELECT * FROM (SELECT *, sum(n) OVER w AS pages, count(*) OVER w AS kinds FROM k{k} WINDOW w AS (PARTITION BY host, template))
+  WHERE n * {u.LITERALS} >= pages AND NOT (kinds > 2 AND kinds * 2 > pages) AND t <> '**'),
+p{k + 1} AS (SELECT p.* EXCLUDE (template), p.template || CASE WHEN s[{k + 1}] IS NULL THEN '' WHEN s[{k + 1}] = '**' THEN '/**'
+  WHEN f.t IS NOT NULL THEN '/' || f.t ELSE '/*' END AS template
+  FROM p{k} p LEFT JOIN f{k} f ON f.host = p.host AND f.template = p.template AND f.t = p.s[{k + 1}])"""
+    return sql + f""",
+t AS (SELECT host, template, count(*) FILTER (decided = 'allow') AS pos, count(*) FILTER (decided = 'block') AS neg FROM p{levels} GROUP BY ALL),
+t2 AS (SELECT *, pos + neg AS n, (pos + 1) / (pos + neg + 2) AS share, regexp_replace(template, '/[^/*][^/]*((/\\*+)*)$', '/<>\\1') AS branch FROM t),
+t3 AS (SELECT *, lag(n) OVER w AS n0, lag(share) OVER w AS s0 FROM t2 WINDOW w AS (PARTITION BY host, branch ORDER BY n > 0, share, template)),
+t4 AS (SELECT *, ((n0 + 2) * s0 + (n + 2) * share) / ((n0 + 2) + (n + 2)) AS b FROM t3),
+t5 AS (SELECT *, CASE WHEN n0 IS NOT NULL AND ((n0 > 0) <> (n > 0) OR abs(s0 - share) / sqrt(b * (1 - b) * (1 / (n0 + 2) + 1 / (n + 2))) >= {u.Z}) THEN 1 ELSE 0 END AS new FROM t4),
+t6 AS (SELECT *, sum(new) OVER (PARTITION BY host, branch ORDER BY n > 0, share, template ROWS UNBOUNDED PRECEDING) AS merged FROM t5),
+t7 AS (SELECT host, template, sum(pos) OVER (PARTITION BY host, branch, merged) AS mpos, sum(n) OVER (PARTITION BY host, branch, merged) AS mn,
+  (sum(pos) OVER (PARTITION BY template) + {u.WEIGHT} * ((sum(pos) OVER () + 1) / (sum(n) OVER () + 2))) / (sum(n) OVER (PARTITION BY template) + {u.WEIGHT}) AS prior FROM t6),
+t8 AS (SELECT host, template, (mpos + {u.WEIGHT} * prior) / (mn + {u.WEIGHT}) AS purity FROM t7)
+SELECT page_id, host, path, rule, coalesce(decided, CASE WHEN purity >= {u.ACCEPT} THEN 'allow' ELSE 'block' END) AS verdict, template, purity
+FROM p{levels} JOIN t8 USING (host, template)
+"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_mixing, op3_ngram_join, op4_token_files, op5_quality, op6_langid, op10_packing)}
+    return {f.__name__: f for f in (op1_url_templates, op2_mixing, op3_ngram_join, op4_token_files, op5_quality, op6_langid,
+                                    op7_chat, op8_pivot_index, op9_spotsigs, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": MIXING_SQL, "op3_ngram_join": NGRAM_JOIN_SQL}
+    return {"op1_url_templates": _url_sql(), "op2_mixing": MIXING_SQL, "op3_ngram_join": NGRAM_JOIN_SQL,
+            "op7_chat": CHAT_SQL, "op8_pivot_index": EMBEDDING_SQL}
