@@ -57,10 +57,9 @@ def paths(tree: DataFrame, best: int = 1) -> DataFrame:
     state = linked.select("conv_id", "node_id", F.when(F.col("_there"), F.col("parent_id")).alias("up"), F.lit(1).cast("long").alias("n"), F.col("score").alias("total"))
     state = materialize(state, "pointers")
     jumps = []
-    while state.where("up is not null").limit(1).count():
+    longest = nodes.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    while (1 << len(jumps)) <= longest and state.where("up is not null").limit(1).count():  # cycles never end by themselves
         jumps.append(state.select("conv_id", "node_id", "up"))
-        if len(jumps) > 62:
-            break  # only a cycle is longer
         above = state.select("conv_id", F.col("node_id").alias("up"), F.col("up").alias("up2"), F.col("n").alias("n2"), F.col("total").alias("total2"))
         j = state.join(above, ["conv_id", "up"], "left")
         state = materialize(j.select("conv_id", "node_id", F.col("up2").alias("up"), (F.col("n") + F.coalesce("n2", F.lit(0))).alias("n"),
@@ -73,9 +72,11 @@ def paths(tree: DataFrame, best: int = 1) -> DataFrame:
     chosen = leaves.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= best)
     on = chosen.select("conv_id", F.col("node_id").alias("leaf_id"), "node_id", F.col("n").alias("position"))
     for k, jump in reversed(list(enumerate(jumps))):
-        up = jump.where("up is not null")
-        more = on.join(up, ["conv_id", "node_id"]).select("conv_id", "leaf_id", F.col("up").alias("node_id"), (F.col("position") - (1 << k)).alias("position"))
-        on = on.unionByName(more)
+        here = F.struct("node_id", "position")
+        there_ = F.struct(F.col("up").alias("node_id"), (F.col("position") - (1 << k)).alias("position"))
+        both = F.array_compact(F.array(here, F.when(F.col("up").isNotNull(), there_)))
+        on = on.join(jump, ["conv_id", "node_id"], "left").select("conv_id", "leaf_id", F.explode(both).alias("x"))
+        on = on.select("conv_id", "leaf_id", "x.node_id", "x.position")
     return on
 
 

@@ -155,8 +155,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = "mix") -
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = "mix") -> DataFrame:
     """The mix itself: every document as often as it is taken, with its columns."""
-    names = docs.columns
-    m = measured(docs, seed)
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")  # no column of the input meets one of ours
+    m = measured(docs.select(row, "doc_id", "source", "text"), seed).select("_row", "source", "_size", "_h")
     sizes = materialize(m.select("source", "_size", "_h"), "sizes")
     d = decide(m, plan(sizes, weights, most), most)
-    return d.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*names)
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return d.where("copies > 0").select("_row", copies.alias("_copy")).select("_row.*")

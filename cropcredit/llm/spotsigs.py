@@ -138,7 +138,7 @@ def in_ranges(docs: DataFrame, ranges: int) -> DataFrame:
     d = _ordered(docs)
     ids = docs.select(F.col("doc_id").cast("double").alias("x"))
     cuts = ids.approxQuantile("x", [k / ranges for k in range(1, ranges)], 0.25 / ranges) if ranges > 1 else []
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    splits = [-math.inf, *(sorted(set(cuts)) or [0.0]), math.inf]
     top = len(splits)  # rows without an id come last
     d = Bucketizer(splits=splits, inputCol="_x", outputCol="_b", handleInvalid="keep").transform(
         d.withColumn("_x", F.col("doc_id").cast("double")))

@@ -20,6 +20,7 @@ repeat a doc_id stand side by side, ordered by text. An empty table has no docum
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -75,7 +76,10 @@ class Shard:
     """One shard's ids and index over a buffer or, by path, a memory map."""
 
     def __init__(self, source, size: int):
-        raw = np.memmap(source, np.uint8, "r") if isinstance(source, str) else np.frombuffer(source, np.uint8)
+        if isinstance(source, str):  # an empty file can't be mapped
+            raw = np.memmap(source, np.uint8, "r") if os.path.getsize(source) else np.zeros(0, np.uint8)
+        else:
+            raw = np.frombuffer(source, np.uint8)
         foot = len(raw) - size - 16
         n_docs, n_ids = (int(x) for x in np.frombuffer(raw[foot: foot + 16].tobytes(), "<u8")) if foot >= 0 else (0, 0)
         self.n_docs, self.n_ids = n_docs, n_ids
