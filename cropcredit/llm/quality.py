@@ -75,14 +75,14 @@ class FactorisationMachine:
         xv = x @ self.v
         return self.w0 + x @ self.w + 0.5 * ((xv * xv).sum(1) - (x * x) @ (self.v * self.v).sum(1))
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs=30, batch=128, rate=0.01, decay=1e-4, seed=7):
-        """Logistic loss."""
+    def fit(self, x: np.ndarray, y: np.ndarray, steps=1500, batch=128, rate=0.02, decay=1e-3, seed=7):
+        """Logistic loss; at least ``steps`` batches."""
         rng = np.random.default_rng(seed)
         pars = [self.w, self.v]
         m = [np.zeros_like(p) for p in pars] + [0.0]
         s = [np.zeros_like(p) for p in pars] + [0.0]
         step = 0
-        for _ in range(epochs):
+        for _ in range(-(-steps * batch // max(len(y), 1)) if len(y) > batch else steps):
             order = rng.permutation(len(y))
             for lo in range(0, len(y), batch):
                 k = order[lo: lo + batch]
