@@ -28,47 +28,94 @@ WINDOW = 48
 HIDDEN = 8
 SAMPLE_PER_LANG = 400
 WINDOWS_PER_DOC = 12
-STEPS = 500
+STEPS = 400
 BATCH = 96
 BLOCK = 1 << 18
 ACCEPT = 0.5
 
 
-def _sigmoid(x):
-    return np.float32(0.5) * np.tanh(np.float32(0.5) * x) + np.float32(0.5)
+def squash(x):
+    """x (27 + x^2) / (27 + 9 x^2) on [-3, 3]: the network's tanh."""
+    x = np.clip(x, -3, 3)
+    s = x * x
+    x *= s + np.float32(27)
+    s *= np.float32(9)
+    s += np.float32(27)
+    x /= s
+    return x
+
+
+def slope(x):
+    """Derivative of ``squash``."""
+    s = np.clip(x, -3, 3) ** 2
+    return ((9 - s) / (3 + s)) ** 2 / 9
+
+
+def gate(x):
+    x = squash(x)
+    x *= np.float32(0.5)
+    x += np.float32(0.5)
+    return x
 
 
 class Gru:
-    """One direction. Gates: update, reset, candidate; the input weights are a table by byte."""
+    """One direction. Update gate, reset gate, candidate: input weights are a table by byte. Each
+    has its own arrays, so all steps work on contiguous memory."""
 
     def __init__(self, hidden: int, rng):
-        self.x = rng.normal(0, 0.3, (256, 3 * hidden)).astype(np.float32)
-        self.u = rng.normal(0, 1 / np.sqrt(hidden), (hidden, 3 * hidden)).astype(np.float32)
+        self.x = [rng.normal(0, 0.3, (256, hidden)).astype(np.float32) for _ in range(3)]
+        self.u = [rng.normal(0, 1 / np.sqrt(hidden), (hidden, hidden)).astype(np.float32) for _ in range(3)]
         self.b = np.zeros(hidden, np.float32)
 
-    def step(self, byte: np.ndarray, h: np.ndarray):
-        n = h.shape[1]
-        a = self.x[byte]
-        u = h @ self.u
-        g = _sigmoid(a[:, : 2 * n] + u[:, : 2 * n])
-        z, r = g[:, :n], g[:, n:]
-        p = u[:, 2 * n:] + self.b
-        c = np.tanh(a[:, 2 * n:] + r * p)
-        return c + z * (h - c), (z, r, p, c)
-
-    def back(self, byte, h, kept, dh, grads):
-        """Adds this step's gradients; returns the gradient of the state before it."""
-        z, r, p, c = kept
-        da = np.concatenate([dh * (h - c) * z * (1 - z), np.zeros_like(z), dh * (1 - z) * (1 - c * c)], 1)
-        n = z.shape[1]
-        dc = da[:, 2 * n:]
-        da[:, n: 2 * n] = dc * p * r * (1 - r)
-        du = da.copy()
-        du[:, 2 * n:] = dc * r
-        np.add.at(grads[0], byte, da)
-        grads[1] += h.T @ du
-        grads[2] += du[:, 2 * n:].sum(0)
-        return dh * z + du @ self.u.T
+    def parameters(self):
+        return [*self.x, *self.u, self.b]
+
+    def step(self, byte: np.ndarray, h: np.ndarray, keep: bool = False):
+        """The next state; with ``keep`` also what ``back`` needs."""
+        az, ar, ac = (x.take(byte, 0, mode="clip") for x in self.x)
+        az += h @ self.u[0]
+        ar += h @ self.u[1]
+        p = h @ self.u[2]
+        p += self.b
+        r = gate(ar)
+        ac += r * p
+        z, c = gate(az), squash(ac)
+        new = h - c
+        new *= z
+        new += c
+        return new, (az, ar, ac, z, r, p, c) if keep else None
+
+    def unroll(self, x: np.ndarray, order):
+        """States (time, n, hidden) and, by time, what ``back`` needs: (state before, az, ar, ac, z, r, p, c)."""
+        t_all, n = x.shape
+        h, hs, ks = np.zeros((n, len(self.b)), self.b.dtype), [None] * t_all, [None] * t_all
+        for t in order:
+            new, own = self.step(x[t], h, keep=True)
+            hs[t], ks[t] = new, (h, *own)
+            h = new
+        return np.stack(hs), [np.stack(k) for k in zip(*ks)]
+
+    def back(self, x: np.ndarray, order, kept, dout: np.ndarray):
+        """Gradients of all parameters, given those of the states (time, n, hidden)."""
+        h, az, ar, ac, z, r, p, c = kept
+        to_z, to_c, to_r = (h - c) * slope(az) * 0.5, (1 - z) * slope(ac), p * slope(ar) * 0.5
+        u = np.concatenate(self.u, 1).T
+        d = np.empty((*z.shape[:2], 3 * z.shape[2]), z.dtype)  # of the gates' u-products
+        dcs = np.empty_like(z)
+        dh, hid = np.zeros_like(h[0]), z.shape[2]
+        for t in order:
+            dh = dh + dout[t]
+            dc = dh * to_c[t]
+            dcs[t] = dc
+            d[t, :, :hid] = dh * to_z[t]
+            d[t, :, hid: 2 * hid] = dc * to_r[t]
+            d[t, :, 2 * hid:] = dc * r[t]
+            dh = dh * z[t] + d[t] @ u
+        byte, flat = x.reshape(-1), d.reshape(-1, 3 * hid)
+        at = [flat[:, :hid], flat[:, hid: 2 * hid], dcs.reshape(-1, hid)]
+        gx = [np.stack([np.bincount(byte, g[:, k], minlength=256) for k in range(hid)], 1).astype(z.dtype) for g in at]
+        gu = h.reshape(-1, hid).T @ flat
+        return [*gx, gu[:, :hid], gu[:, hid: 2 * hid], gu[:, 2 * hid:], flat[:, 2 * hid:].sum(0)]
 
 
 class LanguageModel:
@@ -79,42 +126,39 @@ class LanguageModel:
         self.o = rng.normal(0, 0.3, (2 * hidden, len(langs))).astype(np.float32)
         self.c = np.zeros(len(langs), np.float32)
 
+    def gradients(self, x: np.ndarray, on: np.ndarray, y: np.ndarray):
+        """(loss, gradients of all parameters): mean cross-entropy of the positions that count, by
+        back-propagation through time. x: bytes (time, n); on: (time, n); y: classes (n)."""
+        t_all, n, hid = len(x), x.shape[1], self.hidden
+        ahead, behind = range(t_all), range(t_all - 1, -1, -1)
+        fs, f_kept = self.f.unroll(x, ahead)
+        rs, r_kept = self.r.unroll(x, behind)
+        both = np.concatenate([fs, rs], 2)
+        z = both @ self.o + self.c
+        z -= z.max(2, keepdims=True)
+        p = np.exp(z)
+        p /= p.sum(2, keepdims=True)
+        weight = on.astype(np.float32) / max(on.sum(), 1)
+        loss = -float((np.log(np.maximum(p[:, np.arange(n), y], 1e-30)) * weight).sum())
+        p[:, np.arange(n), y] -= 1
+        dz = p * weight[:, :, None]
+        dboth = dz @ self.o.T
+        return loss, [*self.f.back(x, behind, f_kept, dboth[:, :, :hid]), *self.r.back(x, ahead, r_kept, dboth[:, :, hid:]),
+                      np.tensordot(both, dz, ([0, 1], [0, 1])), dz.sum((0, 1))]
+
+    def parameters(self):
+        return [*self.f.parameters(), *self.r.parameters(), self.o, self.c]
+
     def fit(self, x: np.ndarray, on: np.ndarray, y: np.ndarray, steps=STEPS, batch=BATCH, rate=0.02, seed=3):
         """x: windows of bytes (time, n); on: positions that count (time, n); y: class of each window."""
         rng = np.random.default_rng(seed)
-        pars = [self.f.x, self.f.u, self.f.b, self.r.x, self.r.u, self.r.b, self.o, self.c]
+        pars = self.parameters()
         m, s = [np.zeros_like(p) for p in pars], [np.zeros_like(p) for p in pars]
-        t_all, hid = len(x), self.hidden
         of = [np.flatnonzero(y == k) for k in range(len(self.langs))]
         of = [k for k in of if len(k)]
         for step in range(1, steps + 1):
             k = np.concatenate([rng.choice(o, max(1, batch // len(of))) for o in of])
-            xb, ob, yb = x[:, k], on[:, k].astype(np.float32), y[k]
-            states, kept = [], []
-            for gru, order in ((self.f, range(t_all)), (self.r, range(t_all - 1, -1, -1))):
-                h, hs, ks = np.zeros((len(k), hid), np.float32), [None] * t_all, [None] * t_all
-                for t in order:
-                    new, gates = gru.step(xb[t], h)
-                    ks[t] = (h, gates)
-                    hs[t] = h = new
-                states.append(np.stack(hs))
-                kept.append(ks)
-            both = np.concatenate(states, 2)
-            z = both @ self.o + self.c
-            z -= z.max(2, keepdims=True)
-            p = np.exp(z)
-            p /= p.sum(2, keepdims=True)
-            p[:, np.arange(len(k)), yb] -= 1
-            dz = p * (ob / max(ob.sum(), 1))[:, :, None]
-            grads = [np.zeros_like(q) for q in pars]
-            grads[6] = np.tensordot(both, dz, ([0, 1], [0, 1]))
-            grads[7] = dz.sum((0, 1))
-            dboth = dz @ self.o.T
-            for j, (gru, order) in enumerate(((self.f, range(t_all - 1, -1, -1)), (self.r, range(t_all)))):
-                dh = np.zeros((len(k), hid), np.float32)
-                for t in order:
-                    h, gates = kept[j][t]
-                    dh = gru.back(xb[t], h, gates, dh + dboth[t][:, j * hid: (j + 1) * hid], grads[3 * j: 3 * j + 3])
+            _, grads = self.gradients(x[:, k], on[:, k], y[k])
             norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
             lr = rate * (1 - 0.9 * step / steps) / (1 - 0.9**step)
             for q, g, mm, ss in zip(pars, grads, m, s):
@@ -125,20 +169,24 @@ class LanguageModel:
         return self
 
     def positions(self, x: np.ndarray):
-        """Class probabilities of every position of windows x (time, n): yields (t, probabilities)."""
+        """Class probabilities of every position of windows x (time, n): yields (t, (classes, n))."""
         hid, t_all = self.hidden, len(x)
-        part = np.empty((t_all, x.shape[1], len(self.langs)), np.float32)
+        part = np.empty((t_all, len(self.langs), x.shape[1]), np.float32)
+        front, back = np.ascontiguousarray(self.o[:hid].T), np.ascontiguousarray(self.o[hid:].T)
         h = np.zeros((x.shape[1], hid), np.float32)
         for t in range(t_all):
             h, _ = self.f.step(x[t], h)
-            np.matmul(h, self.o[:hid], out=part[t])
+            np.matmul(front, h.T, out=part[t])
         h = np.zeros((x.shape[1], hid), np.float32)
         for t in range(t_all - 1, -1, -1):
             h, _ = self.r.step(x[t], h)
-            z = part[t] + h @ self.o[hid:] + self.c
-            z -= z.max(1, keepdims=True)
+            z = part[t]
+            z += back @ h.T
+            z += self.c[:, None]
+            z -= z.max(0)
             np.exp(z, out=z)
-            yield t, z / z.sum(1, keepdims=True)
+            z /= z.sum(0)
+            yield t, z
 
     def predict(self, arr: pa.LargeStringArray):
         """(language, score) of each whole text."""
@@ -151,11 +199,11 @@ class LanguageModel:
             for a in range(0, len(starts), BLOCK // WINDOW):  # also bounds the windows of one long text
                 own = text[a: a + BLOCK // WINDOW]
                 x, on = cut(data, offs, own, starts[a: a + BLOCK // WINDOW])
-                sums = np.zeros((len(own), len(self.langs)), np.float32)
+                sums = np.zeros((len(self.langs), len(own)), np.float32)
                 for t, p in self.positions(x):
-                    sums += p * on[t][:, None]
+                    sums += p * on[t]
                 for c in range(len(self.langs)):
-                    pooled[:, c] += np.bincount(own, sums[:, c], minlength=hi - lo)
+                    pooled[:, c] += np.bincount(own, sums[c], minlength=hi - lo)
             total = pooled.sum(1)
             best = pooled.argmax(1)
             alpha = letters(part, data, offs)
