@@ -47,7 +47,7 @@ def piece_starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 class Encoder:
     """Ids of whole texts; ``path`` is a file of the tokenizers library. Known pieces are kept by
-    64-bit hash in sorted arrays (about 25 bytes a piece), over all tasks of a Python worker."""
+    64-bit hash in sorted arrays (about 30 bytes a piece), over all tasks of a Python worker."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -57,20 +57,21 @@ class Encoder:
         self.tok.no_padding()
         self.tok.no_truncation()
         self.tok.encode_special_tokens = True
+        self.kind = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self._clear()
 
     def _clear(self):
         self.key = np.zeros(0, np.uint64)  # sorted hashes of the known pieces
         self.at = np.zeros(0, np.int64)  # piece k: flat[at[k]:at[k] + size[k]]
         self.size = np.zeros(0, np.int32)
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.flat, self.used = np.zeros(1 << 16, self.kind), 0
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
         at, size = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int32)
-        for lo in range(0, len(pieces), 8192):
-            got = [e.ids for e in self.tok.encode_batch_fast(pieces[lo: lo + 8192], add_special_tokens=False)]
+        for lo in range(0, len(pieces), 4096):
+            got = [e.ids for e in self.tok.encode_batch_fast(pieces[lo: lo + 4096], add_special_tokens=False)]
             n = np.fromiter(map(len, got), np.int32, len(got))
-            ids = np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum()))
+            ids = np.fromiter(chain.from_iterable(got), self.kind, int(n.sum()))
             while self.used + len(ids) > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
             self.flat[self.used: self.used + len(ids)] = ids
@@ -105,7 +106,7 @@ class Encoder:
         sizes = self.size[code].astype(np.int64)
         done = np.concatenate([[0], np.cumsum(sizes)])
         take = np.repeat(self.at[code] - done[:-1], sizes) + np.arange(int(done[-1]))
-        return self.flat[take], done[np.searchsorted(starts, offs, "left")]
+        return self.flat[take].astype(np.uint32), done[np.searchsorted(starts, offs, "left")]
 
     def rows(self, col):
         """The ids of each text of an Arrow column, in order."""

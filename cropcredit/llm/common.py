@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
 
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ from cropcredit.session import ensure_checkpoint_dir
 
 #: Largest side that ``join_small`` broadcasts; the rows are counted first.
 BROADCAST_ROWS = 500_000
+#: Largest Arrow batch that goes to a Python worker.
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
 _SHIPPED: set[str] = set()
@@ -37,9 +40,30 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+def release() -> None:
+    """Give freed memory of a Python worker back to the system: workers live on and run many tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``BATCH_BYTES`` (unless the session sets its own limit)
+    and memory given back after each task."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(BATCH_KEY, None) is None:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(run, schema)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -120,10 +144,6 @@ def block_units(members: DataFrame, bucket: list[str], block: int) -> DataFrame:
     )
 
 
-def persist(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     while name.lower() in [c.lower() for c in df.columns]:
