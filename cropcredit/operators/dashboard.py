@@ -28,19 +28,20 @@ def out_of_time(runs: DataFrame, run_id: str, metric: str, models=None) -> DataF
     """crop year x model pivot of one metric for an out-of-time run, with the test size
     and observed rate of each crop year."""
     x = runs_by_validation(runs, "temporal", models).where(F.col("run_id") == run_id)
-    e = x.select(F.col("res.model").alias("model"), F.explode("res.per_safra").alias("e"))
-    e = e.select("model", F.col("e.safra_label").alias("safra"), F.col("e.n_test").alias("n_test"),
+    e = x.select(F.col("res.model").alias("model"), F.posexplode("res.per_safra").alias("at", "e"))
+    e = e.select("model", "at", F.col("e.safra_label").alias("safra"), F.col("e.n_test").alias("n_test"),
                  F.col("e.rate_test").alias("rate_test"), F.col("e.metrics").getItem(metric).alias("value"))
-    piv = e.groupBy("safra").pivot("model").agg(F.last("value"))
-    vol = e.groupBy("safra").agg(F.first("n_test").alias("n_test"), F.first("rate_test").alias("rate_test"))
+    piv = e.groupBy("safra").pivot("model").agg(F.max_by("value", F.col("at")))
+    vol = e.groupBy("safra").agg(F.min_by("n_test", F.struct("model", "at")).alias("n_test"), F.min_by("rate_test", F.struct("model", "at")).alias("rate_test"))
     return piv.join(vol, "safra").orderBy("safra")
 
 
 def ks_location(runs: DataFrame) -> DataFrame:
-    """Per run and model: the stored KS-curve point with the largest class-CDF gap."""
+    """Per run and model: the stored KS-curve point with the largest class-CDF gap
+    (the first of equal ones)."""
     x = runs.select("run_id", F.explode("results").alias("res")).select(
-        "run_id", F.col("res.model").alias("model"), F.explode("res.ks_curve").alias("pt"))
+        "run_id", F.col("res.model").alias("model"), F.posexplode("res.ks_curve").alias("at", "pt"))
     gap = F.abs(F.col("pt.cdf_pos") - F.col("pt.cdf_neg"))
-    return x.groupBy("run_id", "model").agg(F.max_by("pt", gap).alias("pt"), F.max(gap).alias("gap")).select(
+    return x.groupBy("run_id", "model").agg(F.max_by("pt", F.struct(gap, -F.col("at"))).alias("pt"), F.max(gap).alias("gap")).select(
         "run_id", "model", F.col("pt.score").alias("score"), F.col("pt.cdf_pos").alias("cdf_pos"),
         F.col("pt.cdf_neg").alias("cdf_neg"), "gap")

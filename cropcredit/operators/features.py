@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cropcredit.operators import feature_rules as R
 from cropcredit.operators.recode import Recode, to_column
-from cropcredit.session import is_small, sized_broadcast
+from cropcredit.session import sized_broadcast
 
 OP = ("ref_bacen", "nu_ordem")
 BORROWER = ("ref_bacen", "mutuario")
@@ -135,17 +135,10 @@ def _attach(base: DataFrame, features, domains: dict, source_col=F.col) -> DataF
         mapped = rows.select(
             F.col("_code").alias(f"_k{i}"), *[_value_expr(f).alias(f"_f_{f.name}") for f in fs]
         )
-        # one row per code (duplicate codes: min, NULLs skipped - like "any value").
-        # A small map is reduced inside a single task (it is broadcast next anyway),
-        # which saves a shuffle; a large one is aggregated and shuffle-joined.
+        # one row per code (duplicate codes: min, NULLs skipped - like "any value")
         mapped = mapped.where(F.col(f"_k{i}").isNotNull())
-        small = is_small(mapped)
-        if small:
-            mapped = mapped.coalesce(1)
         mapped = mapped.groupBy(f"_k{i}").agg(*[F.min(f"_f_{f.name}").alias(f"_f_{f.name}") for f in fs])
-        if small:
-            mapped = F.broadcast(mapped)
-        base = base.join(mapped, _code_key(source_col(code), int_code) == F.col(f"_k{i}"), "left")
+        base = base.join(sized_broadcast(mapped), _code_key(source_col(code), int_code) == F.col(f"_k{i}"), "left")
     for f in features:
         if f.domain:
             out_cols.append(F.col(f"_f_{f.name}").alias(f.name))
@@ -177,26 +170,32 @@ def borrower_features(mutuarios: DataFrame, domains: dict, only=None) -> DataFra
     return pairs.groupBy("ref_bacen", "mutuario").agg(*[F.min(f.name).alias(f.name) for f in fs])
 
 
-def feature_table(name: str, target: DataFrame, operacao: DataFrame, mutuarios: DataFrame,
+def feature_table(name: str, operations: DataFrame, pairs: DataFrame, operacao: DataFrame, mutuarios: DataFrame,
                   domains: dict) -> DataFrame:
     """One feature at the label grain with the original's semantics: label keys
-    inner-joined to the source row and to the domain code. Output: 3 keys + value."""
+    inner-joined to the source row and to the domain code. Output: 3 keys + value.
+
+    ``operations``: the labels' (ref_bacen, nu_ordem), ``pairs``: their distinct (ref_bacen,
+    mutuario). Operation attributes are attached at that grain; the fan-out comes last."""
     f = BY_NAME[name]
-    keys = target.select("ref_bacen", "nu_ordem", "mutuario")
     if f.keys == OP:
         src = operacao.select(
             F.col("`#REF_BACEN`").alias("ref_bacen"), F.col("NU_ORDEM").alias("nu_ordem"), F.col(f.code)
         )
-        j = keys.join(src, ["ref_bacen", "nu_ordem"], "inner")
+        j = operations.join(src, ["ref_bacen", "nu_ordem"], "inner")
     else:
         src = mutuarios.select(
             F.col("REF_BACEN").alias("ref_bacen"), F.col("CD_CPF_CNPJ").alias("mutuario"), F.col(f.code)
         )
-        j = keys.join(src, ["ref_bacen", "mutuario"], "inner")
+        j = pairs.join(src, ["ref_bacen", "mutuario"], "inner")
     if f.domain:
         d = _domain_rows(domains, f)
         j = j.join(sized_broadcast(d), _code_key(F.col(f.code), f.int_code) == F.col("_code"), "inner")
-    return j.select("ref_bacen", "nu_ordem", "mutuario", _value_expr(f).alias(f.name))
+    if f.keys == OP:
+        j = j.select("ref_bacen", "nu_ordem", _value_expr(f).alias(f.name)).join(pairs, "ref_bacen")
+    else:
+        j = j.select("ref_bacen", "mutuario", _value_expr(f).alias(f.name)).join(operations, "ref_bacen")
+    return j.select("ref_bacen", "nu_ordem", "mutuario", f.name)
 
 
 def municipio_feature(target: DataFrame, complemento: DataFrame, municipios: DataFrame,

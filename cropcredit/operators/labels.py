@@ -82,31 +82,23 @@ def observation_base(saldos, operacao, mutuarios, situacao, situations=DEFAULT_S
     )
 
 
-def operation_labels(
-    saldos: DataFrame,
-    operacao: DataFrame,
-    situacao: DataFrame,
-    horizon: int = HORIZON,
-    n_deltas: int = N_DELTAS,
-    situations: Sequence[str] = DEFAULT_SITUATIONS,
-    carry: Sequence[str] = (),
-    ops: DataFrame | None = None,
-) -> DataFrame:
-    """One row per (ref_bacen, nu_ordem) present in balances joined to operations:
+def monthly_flags(saldos: DataFrame, situacao: DataFrame, situations: Sequence[str] = DEFAULT_SITUATIONS) -> DataFrame:
+    """(ref_bacen, nu_ordem, ANO_BASE, MES_BASE, situacao): the highest flag of each month. Reduced
+    map-side, so an operation with very many balances joins with one row per month."""
+    fb = flagged_balances(saldos, default_codes(situacao, situations))
+    return fb.groupBy("ref_bacen", "nu_ordem", "ANO_BASE", "MES_BASE").agg(F.max("situacao").alias("situacao"))
+
+
+def operation_labels(saldos: DataFrame, operacao: DataFrame, situacao: DataFrame, horizon: int = HORIZON,
+                     n_deltas: int = N_DELTAS, situations: Sequence[str] = DEFAULT_SITUATIONS) -> DataFrame:
+    """One row per (ref_bacen, nu_ordem) present in balances joined to operations, integers only:
 
     target        max(flag where 0 <= delta <= horizon, else 0)
     first_default min(delta where flag = 1 and 0 <= delta <= n_deltas)
     in_window     1 when any delta falls in 0..n_deltas (vintage keeps only those keys)
-
-    ``ops`` may replace ``operacao`` with a frame already holding (ref_bacen, nu_ordem,
-    DT_EMISSAO, ...); the ``carry`` columns of it are reduced with ``min`` per key (a
-    deterministic stand-in for "any value"), so operation attributes ride along the
-    single shuffle of this aggregation.
     """
-    fb = flagged_balances(saldos, default_codes(situacao, situations))
-    op = ops if ops is not None else operations(operacao)
-    op = op.select("ref_bacen", "nu_ordem", "DT_EMISSAO", *carry)
-    j = fb.join(op, ["ref_bacen", "nu_ordem"], "inner").withColumn(
+    op = operations(operacao)
+    j = monthly_flags(saldos, situacao, situations).join(op, ["ref_bacen", "nu_ordem"], "inner").withColumn(
         "_delta", month_delta("DT_EMISSAO", "ANO_BASE", "MES_BASE"))
     delta = F.col("_delta")
     in_h = delta.between(0, horizon)
@@ -115,7 +107,6 @@ def operation_labels(
         F.max(F.when(in_h, F.col("situacao")).otherwise(0)).alias(target_name(horizon)),
         F.min(F.when(in_n & (F.col("situacao") == 1), delta)).alias("first_default"),
         F.max(F.when(in_n, F.lit(1))).alias("in_window"),
-        *[F.min(name).alias(name) for name in carry],
     )
 
 
@@ -124,17 +115,6 @@ def fan_out(op_grain: DataFrame, borrower_pairs: DataFrame) -> DataFrame:
     return op_grain.join(borrower_pairs, "ref_bacen", "inner")
 
 
-def build_target(
-    saldos, operacao, mutuarios, situacao, horizon: int = HORIZON,
-    situations: Sequence[str] = DEFAULT_SITUATIONS,
-) -> DataFrame:
-    """(ref_bacen, nu_ordem, mutuario, target_{H}m). Keys without any delta in the
-    window get 0 (not censored); NULL or negative deltas count as 0."""
-    ol = operation_labels(saldos, operacao, situacao, horizon, horizon, situations)
-    t = target_name(horizon)
-    return fan_out(ol.select("ref_bacen", "nu_ordem", t), borrowers(mutuarios)).select(*K, t)
-
-
 def vintage_columns(first_default: str, n_deltas: int) -> list:
     fd = F.col(first_default)
     return [
@@ -143,23 +123,6 @@ def vintage_columns(first_default: str, n_deltas: int) -> list:
     ]
 
 
-def build_vintage(
-    saldos, operacao, mutuarios, situacao, n_deltas: int = N_DELTAS,
-    situations: Sequence[str] = DEFAULT_SITUATIONS,
-) -> DataFrame:
-    """Cumulative default matrix: columns "0".."N", 1 from the first default month on.
-    Keys with no balance month in 0..N are dropped."""
-    ol = operation_labels(saldos, operacao, situacao, n_deltas, n_deltas, situations)
-    ol = ol.where(F.col("in_window").isNotNull()).select("ref_bacen", "nu_ordem", "first_default")
-    return fan_out(ol, borrowers(mutuarios)).select(*K, *vintage_columns("first_default", n_deltas))
-
-
-def vintage_long(vintage: DataFrame, n_deltas: int = N_DELTAS) -> DataFrame:
-    """Wide matrix -> (keys, delta, defaulted) long form."""
-    pairs = ", ".join(f"{d}, `{d}`" for d in range(n_deltas + 1))
-    return vintage.selectExpr(*K, f"stack({n_deltas + 1}, {pairs}) as (delta, defaulted)")
-
-
 def label_summary(target: DataFrame, column: str) -> DataFrame:
     """Row count and mean of the label (the original's sanity log line)."""
     return target.agg(F.count(F.lit(1)).alias("n_rows"), F.avg(column).alias("rate"))

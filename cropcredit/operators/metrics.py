@@ -22,11 +22,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
+from cropcredit.session import BROADCAST_ROWS, written
+
+# Distinct scores per bucket, about: the number of buckets follows the data.
+BUCKET_SCORES = 50_000
 
 
 @dataclass
@@ -45,7 +48,7 @@ class ScoreDistribution:
 
 
 def score_distribution(scored: DataFrame, label: str = "y", score: str = "p",
-                       n_buckets: int = DEFAULT_BUCKETS, by: str | None = None) -> ScoreDistribution:
+                       bucket_scores: int = BUCKET_SCORES, by: str | None = None) -> ScoreDistribution:
     """``by`` names a grouping column with few values (folds, crop years): bucket bounds
     are shared, running sums restart per group. Collected: one row per (group, bucket)."""
     spark = scored.sparkSession
@@ -56,7 +59,8 @@ def score_distribution(scored: DataFrame, label: str = "y", score: str = "p",
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg"),
     )
     # reused by the quantile sketch, the bucket totals and the running sums
-    counts = counts.withColumn("n", F.col("pos") + F.col("neg")).persist()
+    counts = written(counts.withColumn("n", F.col("pos") + F.col("neg")), "scores")
+    n_buckets = 1 + counts.count() // bucket_scores
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = sorted(set(b for b in counts.approxQuantile("score", probs, 1.0 / (4 * n_buckets))
                         if b == b)) if n_buckets > 1 else []
@@ -92,7 +96,7 @@ def score_distribution(scored: DataFrame, label: str = "y", score: str = "p",
         offsets = offsets.drop("_g")
         on = ["bucket"]
     w = W.partitionBy(*keys, "bucket").orderBy("score").rowsBetween(W.unboundedPreceding, W.currentRow)
-    t = counts.join(F.broadcast(offsets), on).select(
+    t = counts.join(F.broadcast(offsets) if len(rows) <= BROADCAST_ROWS else offsets, on).select(
         *keys, "bucket", "score", "pos", "neg", "n",
         (F.col("off_pos") + F.sum("pos").over(w)).alias("cum_pos"),
         (F.col("off_neg") + F.sum("neg").over(w)).alias("cum_neg"),

@@ -4,7 +4,7 @@ regression and gradient-boosted trees, with the preprocessing they share.
 Fitting runs on executors (Spark ML / DataFrame aggregations). Fitted state that
 reaches the driver is bounded: per-category frequency tops (<= max_categories per
 column), medians and standard deviations, segment rates (one row per segment, joined
-back as a size-checked broadcast), model coefficients.
+back as a broadcast of counted size), model coefficients.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropcredit.operators.metrics import exact_quantiles
-from cropcredit.session import sized_broadcast
+from cropcredit.session import counted_broadcast, written
 
 
 # --- M1: naive segment rate -------------------------------------------------------------
@@ -28,27 +28,28 @@ def _segment_key(cols):
 
 
 @dataclass
-class NaiveSegmentRate:
-    """Mean label per segment (NULL segment -> "NA"); unseen segments get the global
-    mean. Fitting is lazy: the rates are an aggregation (one row per segment) and the
-    global mean a scalar subquery, both evaluated inside the scoring job."""
+class SegmentRate:
+    """Mean label per segment (NULL segment -> "NA"); unseen segments get the global mean. One
+    aggregation of the training rows gives (segment, sum, n); written, its size is known: it is
+    broadcast to the scored rows if small, and the global mean is its total."""
 
     segment_cols: list
     rates: DataFrame | None = None
-    global_rate: object = None  # Column (scalar subquery)
-
-    def fit(self, train: DataFrame, label: str) -> "NaiveSegmentRate":
-        keyed = train.select(*_segment_key(self.segment_cols), F.col(label).cast("double").alias("_y"))
-        self.global_rate = keyed.agg(F.coalesce(F.avg("_y"), F.lit(0.0))).scalar()
-        self.rates = keyed.groupBy(*[f"_seg{i}" for i in range(len(self.segment_cols))]).agg(
-            F.avg("_y").alias("_rate"))
+    global_rate: float = 0.0
+
+    def fit(self, train: DataFrame, label: str) -> "SegmentRate":
+        y = F.col(label).cast("double")
+        sums = train.groupBy(*_segment_key(self.segment_cols)).agg(F.sum(y).alias("_s"), F.count(y).alias("_n"))
+        self.rates = written(sums, "segments")
+        t = self.rates.agg(F.sum("_s").alias("s"), F.sum("_n").alias("n")).first()
+        self.global_rate = t["s"] / t["n"] if t["n"] else 0.0
         return self
 
     def transform(self, df: DataFrame, out: str = "p") -> DataFrame:
         keys = [f"_seg{i}" for i in range(len(self.segment_cols))]
-        x = df.select("*", *_segment_key(self.segment_cols))
-        j = x.join(sized_broadcast(self.rates), keys, "left")
-        return j.withColumn(out, F.coalesce(F.col("_rate"), self.global_rate)).drop("_rate", *keys)
+        rates = self.rates.select(*keys, (F.col("_s") / F.col("_n")).alias("_rate"))
+        j = df.select("*", *_segment_key(self.segment_cols)).join(counted_broadcast(rates), keys, "left")
+        return j.withColumn(out, F.coalesce("_rate", F.lit(self.global_rate))).drop("_rate", *keys)
 
 
 # --- P1-P5: preprocessing ----------------------------------------------------------------
@@ -70,29 +71,20 @@ class Preprocessor:
 
     def fit(self, train: DataFrame) -> "Preprocessor":
         if self.cat_cols:
-            # one job for every categorical column: (column, value) frequencies, ranked per
-            # column; only the top max_categories-1 per column (+ distinct counts) return.
-            from pyspark.sql import Window as W
-
+            # (column, value) frequencies in one written aggregation; per column the number of values
+            # and, by a distributed top-k, the most frequent ones reach the driver
             pairs = F.array(*[
                 F.struct(F.lit(c).alias("col"), F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias("v"))
                 for c in self.cat_cols
             ])
             freq = train.select(F.inline(pairs)).groupBy("col", "v").agg(F.count(F.lit(1)).alias("n"))
-            w = W.partitionBy("col").orderBy(F.col("n").desc(), F.col("v").desc())
-            ranked = freq.select("col", "v", F.row_number().over(w).alias("rk"),
-                                 F.count(F.lit(1)).over(W.partitionBy("col")).alias("nv"))
-            rows = ranked.where(F.col("rk") <= self.max_categories).collect()
-            by_col: dict = {c: [] for c in self.cat_cols}
-            n_values = {c: 0 for c in self.cat_cols}
-            for r in rows:
-                by_col[r["col"]].append((r["rk"], r["v"]))
-                n_values[r["col"]] = r["nv"]
+            freq = written(freq, "categories")
+            n_values = {r["col"]: r["nv"] for r in freq.groupBy("col").agg(F.count("*").alias("nv")).collect()}
             for c in self.cat_cols:
-                has_infreq = n_values[c] > self.max_categories
-                keep_n = self.max_categories - 1 if has_infreq else n_values[c]
-                kept = [v for rk, v in sorted(by_col[c]) if rk <= keep_n]
-                self.categories[c] = (sorted(kept), has_infreq)
+                has_infreq = n_values.get(c, 0) > self.max_categories
+                top = freq.where(F.col("col") == c).orderBy(F.col("n").desc(), F.col("v").desc()).limit(
+                    self.max_categories - 1 if has_infreq else self.max_categories)
+                self.categories[c] = (sorted(r["v"] for r in top.collect()), has_infreq)
         for c in self.num_cols:
             med = exact_quantiles(train.where(F.col(c).isNotNull()), c, 2).where("k = 1").first()
             self.medians[c] = float(med["value"]) if med and med["value"] is not None else 0.0

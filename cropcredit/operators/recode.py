@@ -72,28 +72,9 @@ def _spark_lit(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def to_column(recode: Recode, col=None) -> Column:
-    """Compile to a Spark Column. By default the rules are rendered as one SQL CASE
-    expression (one parser call instead of one JVM round-trip per literal); ``col``
-    maps rule column names to Columns for the Column-API build."""
-    if col is None:
-        return F.expr(to_sql(recode, lambda c: f"`{c}`", lit=_spark_lit))
-    return _to_column_api(recode, col)
-
-
-def _to_column_api(recode: Recode, col) -> Column:
-    branches = []
-    if recode.null_guard:
-        branches.append((col(recode.null_guard).isNull(), F.lit(None).cast("string")))
-    for result, clauses in recode.rules:
-        branches.append((_predicate(clauses, col), _value(result, col)))
-    expr = F.when(*branches[0])
-    for cond, val in branches[1:]:
-        expr = expr.when(cond, val)
-    default = recode.default
-    if default is None:
-        return expr
-    return expr.otherwise(_value(default, col))
+def to_column(recode: Recode) -> Column:
+    """The rules as one SQL CASE expression (one parser call, not one JVM round-trip per literal)."""
+    return F.expr(to_sql(recode, lambda c: f"`{c}`", lit=_spark_lit))
 
 
 def _sql_lit(v: str) -> str:

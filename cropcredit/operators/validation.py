@@ -1,11 +1,10 @@
-"""Validation schemes: borrower-grouped k folds and walk-forward by crop year.
-
-Folds (grouped by borrower, so no borrower is on both sides):
-* the largest groups (top ``big_rounds * k`` by size, a bounded list) are dealt to
-  folds in snake order (0..k-1, k-1..0, ...) so a borrower holding a third of all
-  rows cannot unbalance more than one fold;
-* every other group gets fold = md5(seed|group) mod k (deterministic, independent of
-  partitioning, spreads positives evenly in expectation).
+"""Validation schemes: stratified folds grouped by borrower, and walk-forward by crop year.
+
+Folds: one rule for every borrower, at any size. Borrowers are classed by their number of rows (its
+bit length) and their share of positives (in tenths); within a class they are ordered by a hash.
+Over all classes, largest first, they are dealt to the folds in snake order (0..k-1, k-1..0, ...), so
+folds get like numbers of rows and positives, and a borrower is never on both sides. Positions come
+from row numbers within (class, range of hashes) plus prefix sums, so no class is one task.
 """
 
 from __future__ import annotations
@@ -17,6 +16,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cropcredit.operators import metrics as ME
+from cropcredit.session import counted_broadcast, written
+
+# Groups that share one range of hashes within a class, about.
+RANGE_GROUPS = 20_000
 
 
 def _md5_int(seed: int, col: str):
@@ -25,19 +28,27 @@ def _md5_int(seed: int, col: str):
 
 
 def assign_folds(df: DataFrame, group: str, label: str, k: int = 5, seed: int = 42,
-                 big_rounds: int = 20) -> DataFrame:
-    """(group, fold) for every group of ``df``."""
-    groups = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label)).alias("pos"))
-    groups = groups.withColumn("_h", _md5_int(seed, group))
-    n_big = big_rounds * k
-    big = groups.orderBy(F.col("n").desc(), F.col("_h"), F.col(group)).limit(n_big)  # distributed top-K
-    # rank the (bounded) big list and deal in snake order
-    w = W.orderBy(F.col("n").desc(), F.col("_h"), F.col(group))
-    r = F.row_number().over(w) - 1
-    rnd, pos = (r / k).cast("int"), r % k
-    big = big.select(group, F.when(rnd % 2 == 0, pos).otherwise(k - 1 - pos).cast("int").alias("_bf"))
-    out = groups.join(F.broadcast(big), group, "left")
-    return out.select(group, F.coalesce(F.col("_bf"), (F.col("_h") % k).cast("int")).alias("fold"))
+                 range_groups: int = RANGE_GROUPS) -> DataFrame:
+    """(group, fold) for every group of ``df``; the result is written once."""
+    g = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label)).alias("_pos"))
+    g = written(g.select(group, F.length(F.bin("_n")).alias("_size"), F.ceil(F.col("_pos") * 10 / F.col("_n")).alias("_rate"),
+                         _md5_int(seed, group).alias("_h")), "groups")
+    ranges = 1 + g.count() // range_groups
+    g = g.withColumn("_range", F.shiftright(F.col("_h") * ranges, 32))
+    cell = ["_size", "_rate", "_range"]
+    before = W.orderBy(F.col("_size").desc(), F.col("_rate").desc(), "_range").rowsBetween(W.unboundedPreceding, -1)
+    base = g.groupBy(*cell).agg(F.count("*").alias("_m"))  # at most a few hundred classes times the ranges
+    base = base.select(*cell, F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_base"))
+    at = F.col("_base") + F.row_number().over(W.partitionBy(*cell).orderBy("_h", group)) - 1
+    r = g.join(base, cell).withColumn("_at", at)
+    lap, place = F.floor(F.col("_at") / k), F.col("_at") % k
+    return written(r.select(group, F.when(lap % 2 == 0, place).otherwise(k - 1 - place).cast("int").alias("fold")), "folds")
+
+
+def fold_balance(df: DataFrame, folds: DataFrame, group: str, label: str) -> DataFrame:
+    """(fold, n, pos): rows and positives of each fold."""
+    return df.join(counted_broadcast(folds), group).groupBy("fold").agg(
+        F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
 
 
 def leak_count(train: DataFrame, test: DataFrame, group: str) -> int:
@@ -59,7 +70,7 @@ def _agg_folds(rows):
 def kfold_scores(df: DataFrame, folds: DataFrame, group: str, label: str, k: int,
                  fit_predict: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """Out-of-fold scores: union over folds of fit_predict(train, test) -> test + 'p'."""
-    d = df.join(folds, group, "inner")
+    d = df.join(counted_broadcast(folds), group, "inner")
     parts = []
     for f in range(k):
         tr, te = d.where(F.col("fold") != f), d.where(F.col("fold") == f)
@@ -70,69 +81,60 @@ def kfold_scores(df: DataFrame, folds: DataFrame, group: str, label: str, k: int
     return out
 
 
+def curves(dist: ME.ScoreDistribution, scored: DataFrame) -> dict:
+    """The bounded curves of one score distribution, as lists of points."""
+    parts = {"calibration": (ME.calibration, "bin"), "roc": (ME.roc_points, "k"), "ks_curve": (ME.ks_curve, "k")}
+    return {name: [r.asDict() for r in f(scored, dist=dist).orderBy(by).collect()] for name, (f, by) in parts.items()}
+
+
 def evaluate_kfold(df: DataFrame, folds: DataFrame, group: str, label: str, k: int,
                    fit_predict, name: str) -> dict:
-    """Per-fold metrics + leak count, mean/population std, and out-of-fold curves.
-    Scores are materialised once (checkpoint in the shared checkpoint folder) so the
-    curves do not refit the folds."""
-    oof = kfold_scores(df, folds, group, label, k, fit_predict).select(group, "fold", label, "p")
-    oof = oof.checkpoint()
+    """Per-fold metrics (one pass) + leak count, mean/population std, and out-of-fold curves.
+    Scores are written once so the curves do not refit the folds."""
+    oof = written(kfold_scores(df, folds, group, label, k, fit_predict).select(group, "fold", F.col(label).alias("y"), "p"), "oof")
+    found = {r["fold"]: r.asDict() for r in ME.core_metrics(oof, by="fold").collect()}
     rows = []
-    for f in range(k):
-        te = oof.where(F.col("fold") == f)
-        tr_groups = folds.where(F.col("fold") != f)
-        m = ME.core_metrics(te.withColumnRenamed(label, "y")).first().asDict()
-        m["fold"] = f + 1
-        m["leak_mutuario"] = leak_count(tr_groups, te, group)
-        rows.append(m)
-    s = oof.withColumnRenamed(label, "y")
-    dist = ME.score_distribution(s)
-    return {
-        "model": name,
-        "metrics": _agg_folds(rows),
-        "folds": rows,
-        "calibration": [r.asDict() for r in ME.calibration(s, dist=dist).orderBy("bin").collect()],
-        "roc": [r.asDict() for r in ME.roc_points(s, dist=dist).orderBy("k").collect()],
-        "ks_curve": [r.asDict() for r in ME.ks_curve(s, dist=dist).orderBy("k").collect()],
-        "oof": oof,
-    }
+    for f in sorted(found):
+        leak = leak_count(folds.where(F.col("fold") != f), oof.where(F.col("fold") == f), group)
+        rows.append(found[f] | {"fold": f + 1, "leak_mutuario": leak})
+    return {"model": name, "metrics": _agg_folds(rows), "folds": rows, **curves(ME.score_distribution(oof), oof), "oof": oof}
+
+
+def testable_years(d: DataFrame, label: str, safra: str, min_train_safras: int, min_test_rows: int):
+    """(all crop years, those to be tested, rows by year): after the first ``min_train_safras``
+    years, each with at least ``min_test_rows`` rows and both classes."""
+    stats = d.groupBy(safra).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.col(label)).alias("classes"))
+    by = {r[safra]: r for r in stats.collect()}  # one row per crop year
+    years = sorted(by)
+    fit = [y for y in years[min_train_safras:] if by[y]["n"] >= min_test_rows and by[y]["classes"] > 1]
+    return years, fit, {y: int(by[y]["n"]) for y in years}
 
 
 def walk_forward(df: DataFrame, label: str, fit_predict, name: str, safra: str = "safra",
                  min_train_safras: int = 1, min_test_rows: int = 50, warn=print) -> dict:
-    """Expanding window: for each crop year t after the first ``min_train_safras``,
-    train on all years < t and test on t; a test year with < min_test_rows rows or one
-    class is skipped. Rows without a crop year are dropped."""
+    """Expanding window: each testable crop year is scored by a model of all years before it. Rows
+    without a crop year are dropped."""
     d = df.where(F.col(safra).isNotNull())
-    stats = d.groupBy(safra).agg(F.count(F.lit(1)).alias("n"),
-                                 F.countDistinct(F.col(label)).alias("classes")).orderBy(safra).collect()
-    years = [r[safra] for r in stats]
-    tests = years[min_train_safras:]
-    if not tests:
+    years, tests, rows = testable_years(d, label, safra, min_train_safras, min_test_rows)
+    if len(years) <= min_train_safras:
         raise RuntimeError(f"too few crop years for out-of-time validation: {years}")
-    by_year = {r[safra]: r for r in stats}
-    per = []
-    for t in tests:
-        if by_year[t]["classes"] < 2 or by_year[t]["n"] < min_test_rows:
-            warn(f"[{name}] crop year {t} not testable (n={by_year[t]['n']}) - skipped")
-            continue
-        tr, te = d.where(F.col(safra) < t), d.where(F.col(safra) == t)
-        sc = fit_predict(tr, te).select(F.col(label).alias("y"), "p").checkpoint()
-        dist = ME.score_distribution(sc)
-        per.append({
-            "safra": int(t),
-            "safra_label": f"{t}/{str(t + 1)[-2:]}",
-            "n_train": int(sum(by_year[y]["n"] for y in years if y < t)),
-            "n_test": int(by_year[t]["n"]),
-            "rate_test": float(sc.agg(F.avg("y")).first()[0]),
-            "metrics": ME.core_metrics(sc, dist=dist).first().asDict(),
-            "roc": [r.asDict() for r in ME.roc_points(sc, dist=dist).orderBy("k").collect()],
-            "ks_curve": [r.asDict() for r in ME.ks_curve(sc, dist=dist).orderBy("k").collect()],
-            "calibration": [r.asDict() for r in ME.calibration(sc, dist=dist).orderBy("bin").collect()],
-        })
-    agg = {}
-    if per:
-        for m in ("auroc", "ks", "brier"):
-            vals = [e["metrics"][m] for e in per if e["metrics"][m] is not None]
-            agg[m] = sum(vals) / len(vals) if vals else None
-    return {"model": name, "per_safra": per, "metrics": agg, "safras": years, "test_safras": tests}
+    for year in sorted(set(years[min_train_safras:]) - set(tests)):
+        warn(f"[{name}] crop year {year} not testable (n={rows[year]}) - skipped")
+    per = [_one_year(d, year, rows, label, fit_predict, safra) for year in tests]
+    means = {}
+    for m in ("auroc", "ks", "brier") if per else ():
+        known = [e["metrics"][m] for e in per if e["metrics"][m] is not None]
+        means[m] = sum(known) / len(known) if known else None
+    return {"model": name, "per_safra": per, "metrics": means, "safras": years, "test_safras": years[min_train_safras:]}
+
+
+def _one_year(d: DataFrame, year: int, rows: dict, label: str, fit_predict, safra: str) -> dict:
+    scored = fit_predict(d.where(F.col(safra) < year), d.where(F.col(safra) == year))
+    scored = written(scored.select(F.col(label).alias("y"), "p"), "year")
+    dist = ME.score_distribution(scored)
+    return {
+        "safra": int(year), "safra_label": f"{year}/{(year + 1) % 100:02d}",
+        "n_train": sum(n for y, n in rows.items() if y < year), "n_test": rows[year],
+        "rate_test": float(scored.agg(F.avg("y")).first()[0]),
+        "metrics": ME.core_metrics(scored, dist=dist).first().asDict(), **curves(dist, scored),
+    }

@@ -8,20 +8,14 @@ from pyspark.sql import functions as F
 from cropcredit.config import GROUP, ModelingOptions, target_name
 from cropcredit.operators import metrics as ME
 from cropcredit.operators import validation as V
-from cropcredit.operators.models import NaiveSegmentRate
+from cropcredit.operators.models import SegmentRate
+from cropcredit.session import counted_broadcast, written
 
 ROUND = 9  # digits kept in reported metric values
 
 
-def naive_fit_predict(segment: str, label: str):
-    def run(train: DataFrame, test: DataFrame) -> DataFrame:
-        return NaiveSegmentRate([segment]).fit(train, label).transform(test)
-
-    return run
-
-
 def naive_in_sample(base: DataFrame, segment: str = "uf", label: str = target_name()) -> DataFrame:
-    m = NaiveSegmentRate([segment]).fit(base, label)
+    m = SegmentRate([segment]).fit(base, label)
     return m.transform(base).select("ref_bacen", "nu_ordem", "mutuario", F.col(label).alias("y"), "p")
 
 
@@ -40,23 +34,20 @@ def naive_oof(base: DataFrame, opts: ModelingOptions = ModelingOptions()) -> Dat
     absent from training. Equal to fitting the segment means on the other folds."""
     label = target_name(opts.horizon)
     folds = V.assign_folds(base, GROUP, label, opts.n_splits, opts.random_state)
-    d = base.join(folds, GROUP, "inner").withColumn("_seg", _seg(opts.naive_segment))
+    d = base.join(counted_broadcast(folds), GROUP, "inner").withColumn("_seg", _seg(opts.naive_segment))
     y = F.col(label).cast("double")
     st = d.groupBy("fold", "_seg").agg(F.sum(y).alias("s"), F.count(F.lit(1)).alias("n"))  # k x segments
-    from pyspark.sql import Window as W
-
-    seg_all, all_ = W.partitionBy("_seg"), W.partitionBy()
-    fold_all = W.partitionBy("fold")
-    st = st.select(
-        "fold", "_seg",
-        (F.sum("s").over(seg_all) - F.col("s")).alias("ts"), (F.sum("n").over(seg_all) - F.col("n")).alias("tn"),
-        (F.sum("s").over(all_) - F.sum("s").over(fold_all)).alias("gs"),
-        (F.sum("n").over(all_) - F.sum("n").over(fold_all)).alias("gn"),
-    )
-    rate = F.when(F.col("tn") > 0, F.col("ts") / F.col("tn")).otherwise(
-        F.when(F.col("gn") > 0, F.col("gs") / F.col("gn")).otherwise(F.lit(0.0)))
-    rates = st.select("fold", "_seg", rate.alias("p"))
-    out = d.join(F.broadcast(rates), ["fold", "_seg"], "left")
+    st = written(st, "fold-segments")
+    total = lambda *by: st.groupBy(*by).agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    seg = total("_seg").select("_seg", F.col("s").alias("ss"), F.col("n").alias("sn"))
+    fold = total("fold").select("fold", F.col("s").alias("fs"), F.col("n").alias("fn"))
+    all_ = total().first()
+    st = st.join(seg, "_seg").join(F.broadcast(fold), "fold")  # one row per fold
+    ts, tn = F.col("ss") - F.col("s"), F.col("sn") - F.col("n")
+    gs, gn = F.lit(all_["s"] or 0.0) - F.col("fs"), F.lit(all_["n"] or 0) - F.col("fn")
+    rate = F.when(tn > 0, ts / tn).otherwise(F.when(gn > 0, gs / gn).otherwise(F.lit(0.0)))
+    rates = written(st.select("fold", "_seg", rate.alias("p")), "fold-rates")
+    out = d.join(counted_broadcast(rates), ["fold", "_seg"], "left")
     return out.select("ref_bacen", "nu_ordem", "mutuario", "fold", F.col(label).alias("y"), "p")
 
 
@@ -82,12 +73,7 @@ def naive_temporal_metrics(base: DataFrame, opts: ModelingOptions = ModelingOpti
     earlier years. (safra, n_train, n_test, rate_test, auroc, ks, brier)."""
     label = target_name(opts.horizon)
     d = base.where(F.col("safra").isNotNull())
-    stats = d.groupBy("safra").agg(F.count(F.lit(1)).alias("n"),
-                                   F.countDistinct(label).alias("cls")).orderBy("safra").collect()
-    years = [r["safra"] for r in stats]
-    by = {r["safra"]: r for r in stats}
-    tests = [t for t in years[opts.min_train_safras:]
-             if by[t]["n"] >= opts.min_test_rows and by[t]["cls"] >= 2]
+    years, tests, by = V.testable_years(d, label, "safra", opts.min_train_safras, opts.min_test_rows)
     spark = base.sparkSession
     if not tests:
         return spark.createDataFrame([], "safra int, n_train long, n_test long, rate_test double, "
@@ -109,12 +95,12 @@ def naive_temporal_metrics(base: DataFrame, opts: ModelingOptions = ModelingOpti
                   F.coalesce(F.sum("n").over(prior), F.lit(0)).alias("tn"))
     g = g.join(glob, "safra")
     rate = F.when(F.col("tn") > 0, F.col("ts") / F.col("tn")).otherwise(F.col("gs") / F.col("gn"))
-    rates = g.where(F.col("safra").isin(tests)).select("safra", "_seg", rate.alias("p"))
-    scored = d.where(F.col("safra").isin(tests)).join(F.broadcast(rates), ["safra", "_seg"], "left").select(
+    rates = written(g.where(F.col("safra").isin(tests)).select("safra", "_seg", rate.alias("p")), "year-rates")
+    scored = d.where(F.col("safra").isin(tests)).join(counted_broadcast(rates), ["safra", "_seg"], "left").select(
         "safra", F.col(label).alias("y"), "p")
     m = ME.core_metrics(scored, by="safra")
     info = spark.createDataFrame(
-        [(int(t), int(sum(by[y]["n"] for y in years if y < t)), int(by[t]["n"])) for t in tests],
+        [(int(t), sum(by[y] for y in years if y < t), by[t]) for t in tests],
         "safra int, n_train long, n_test long")
     rate = scored.groupBy("safra").agg(F.avg(F.col("y").cast("double")).alias("rate_test"))
     out = info.join(rate, "safra").join(m, "safra").select(

@@ -346,28 +346,23 @@ def _r(expr: str, name: str) -> str:
 
 FOLDS = """
 grp AS (
-  SELECT mutuario, COUNT(*) AS n, ('0x' || substr(md5('42|' || CAST(mutuario AS VARCHAR)), 1, 8))::BIGINT AS h
+  SELECT mutuario, length(bin(COUNT(*))) AS size_class, ceil(SUM(target_18m) * 10 / COUNT(*)) AS rate_class,
+         ('0x' || substr(md5('42|' || CAST(mutuario AS VARCHAR)), 1, 8))::BIGINT AS h
   FROM sb GROUP BY mutuario
 ),
-ranked AS (SELECT mutuario, h, row_number() OVER (ORDER BY n DESC, h, mutuario) - 1 AS r FROM grp),
-folds AS (
-  SELECT mutuario,
-         CAST(CASE WHEN r < 100 THEN CASE WHEN (r // 5) % 2 = 0 THEN r % 5 ELSE 4 - r % 5 END
-                   ELSE h % 5 END AS INTEGER) AS fold
-  FROM ranked
-),
-fb AS (SELECT sb.*, folds.fold FROM sb JOIN folds USING (mutuario)),
+dealt AS (SELECT mutuario, row_number() OVER (ORDER BY size_class DESC, rate_class DESC, h, mutuario) - 1 AS r FROM grp),
+folds AS (SELECT mutuario, CAST(CASE WHEN (r // 5) % 2 = 0 THEN r % 5 ELSE 4 - r % 5 END AS INTEGER) AS fold FROM dealt),
+fb AS (SELECT sb.*, folds.fold, COALESCE(uf, 'NA') AS seg FROM sb JOIN folds USING (mutuario)),
+own AS (SELECT fold, seg, SUM(target_18m) AS s, COUNT(*) AS n FROM fb GROUP BY 1, 2),
 frates AS (
-  SELECT f.k AS fold, COALESCE(t.uf, 'NA') AS seg, AVG(CAST(t.target_18m AS DOUBLE)) AS rate
-  FROM range(0, 5) f(k) JOIN fb t ON t.fold <> f.k GROUP BY 1, 2
-),
-fglob AS (
-  SELECT f.k AS fold, AVG(CAST(t.target_18m AS DOUBLE)) AS g FROM range(0, 5) f(k) JOIN fb t ON t.fold <> f.k GROUP BY 1
+  SELECT fold, seg, CASE WHEN SUM(n) OVER (PARTITION BY seg) > n
+         THEN (SUM(s) OVER (PARTITION BY seg) - s) / (SUM(n) OVER (PARTITION BY seg) - n)
+         ELSE (SUM(s) OVER () - SUM(s) OVER (PARTITION BY fold)) / (SUM(n) OVER () - SUM(n) OVER (PARTITION BY fold)) END AS rate
+  FROM own
 ),
 oof AS (
-  SELECT fb.ref_bacen, fb.nu_ordem, fb.mutuario, fb.fold, fb.target_18m AS y, COALESCE(r.rate, g.g) AS p
-  FROM fb LEFT JOIN frates r ON r.fold = fb.fold AND r.seg = COALESCE(fb.uf, 'NA')
-  JOIN fglob g ON g.fold = fb.fold
+  SELECT fb.ref_bacen, fb.nu_ordem, fb.mutuario, fb.fold, fb.target_18m AS y, r.rate AS p
+  FROM fb JOIN frates r USING (fold, seg)
 )
 """
 
@@ -451,6 +446,8 @@ SELECT CAST(k AS INTEGER) AS k, {_r("v", "score")},
        {_r("(SELECT COUNT(*) FROM scored s WHERE s.y <> 1 AND s.p <= kq.v) / GREATEST(N, 1)", "cdf_neg")}
 FROM kq, tot"""
     q["validation_folds"] = _with(*base, FOLDS) + "\nSELECT mutuario, fold FROM folds"
+    q["validation_fold_balance"] = _with(*base, FOLDS) + (
+        "\nSELECT fold, COUNT(*) AS n, CAST(SUM(target_18m) AS BIGINT) AS pos FROM fb GROUP BY fold")
     q["validation_naive_oof"] = _with(*base, FOLDS) + (
         "\nSELECT ref_bacen, nu_ordem, mutuario, fold, y, round(p, 9) AS p FROM oof")
     q["validation_naive_kfold"] = _with(*base, FOLDS, _grouped_core("oof", "fold")) + f"""

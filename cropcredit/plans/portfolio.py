@@ -37,12 +37,6 @@ class Portfolio:
         self.target_col = target_name(horizon)
 
     # --- operation grain ---------------------------------------------------------
-    def _op_grain(self, names) -> DataFrame:
-        s = self.silver
-        opf = FE.operation_features(s["operacao_basica"], s, list(names), keep=("DT_EMISSAO",))
-        return L.operation_labels(s["saldos"], None, s["situacao_operacao"], self.horizon,
-                                  self.n_deltas, self.situations, carry=list(names), ops=opf)
-
     @cached_property
     def op_labels(self) -> DataFrame:
         """(ref_bacen, nu_ordem, target, first_default, in_window)."""
@@ -50,10 +44,20 @@ class Portfolio:
         return L.operation_labels(s["saldos"], s["operacao_basica"], s["situacao_operacao"],
                                   self.horizon, self.n_deltas, self.situations)
 
-    @cached_property
-    def op_grain(self) -> DataFrame:
-        """op_labels + every operation feature (min per key)."""
-        return self._op_grain([f.name for f in self.features if f.keys == FE.OP])
+    def op_features(self, names) -> DataFrame:
+        """(ref_bacen, nu_ordem, features): one value per operation key (min, like "any value")."""
+        s = self.silver
+        f = FE.operation_features(s["operacao_basica"], s, list(names))
+        return f.groupBy("ref_bacen", "nu_ordem").agg(*[F.min(n).alias(n) for n in names])
+
+    def op_grain(self, names) -> DataFrame:
+        """op_labels with operation features, joined 1:1 on the key both are aggregated by."""
+        labels = self.op_labels.select("ref_bacen", "nu_ordem", self.target_col)
+        return labels.join(self.op_features(names), ["ref_bacen", "nu_ordem"]) if names else labels
+
+    def _with_safra(self, op: DataFrame, value_col=None) -> DataFrame:
+        saf = B.crop_year_map(self.silver["operacao_basica"], self.cutoff_month, value_col)
+        return op.join(saf, ["ref_bacen", "nu_ordem"], "left")
 
     @cached_property
     def borrower_grain(self) -> DataFrame:
@@ -82,55 +86,51 @@ class Portfolio:
         v = L.fan_out(self._op_vintage(self.op_labels), self.borrower_pairs)
         return v.select(*KEYS, *L.vintage_columns("first_default", self.n_deltas))
 
-    def modelling_base(self) -> DataFrame:
+    def modelling_base(self, safra: bool = False) -> DataFrame:
+        """Keys, target and features; with ``safra`` also the crop year, attached at the operation
+        grain. The borrower fan-out is the last join."""
         names = [f.name for f in self.features]
-        base = self.op_grain.join(self.borrower_grain, "ref_bacen", "inner")
-        return base.select(*KEYS, self.target_col, *names)
+        op = self.op_grain([f.name for f in self.features if f.keys == FE.OP])
+        if safra:
+            op = self._with_safra(op)
+        base = op.join(self.borrower_grain, "ref_bacen", "inner")
+        return base.select(*KEYS, self.target_col, *names, *(["safra"] if safra else []))
 
     def feature_table(self, name: str) -> DataFrame:
         s = self.silver
-        return FE.feature_table(name, self.target(), s["operacao_basica"], s["mutuarios"], s)
+        return FE.feature_table(name, self.op_labels.select("ref_bacen", "nu_ordem"), self.borrower_pairs,
+                                s["operacao_basica"], s["mutuarios"], s)
 
     # --- business ------------------------------------------------------------------
     def operation_base(self) -> DataFrame:
         """Operations that made it into the modelling table (have a borrower), with the
         business dimensions, default flag, crop year and credit value. Computed before
         the borrower fan-out: every borrower of an operation shares these values."""
-        og = self._op_grain(BUSINESS_FEATURES)
         refs = self.borrower_pairs.select("ref_bacen").distinct()
-        op = og.join(refs, "ref_bacen", "left_semi").select(
+        op = self.op_grain(list(BUSINESS_FEATURES)).join(refs, "ref_bacen", "left_semi").select(
             "ref_bacen", "nu_ordem", *BUSINESS_FEATURES, F.col(self.target_col).alias("inadimplente"))
-        saf = B.crop_year_map(self.silver["operacao_basica"], self.cutoff_month, self.value_col)
-        return op.join(saf, ["ref_bacen", "nu_ordem"], "left")
+        return self._with_safra(op, self.value_col)
 
     def aggregates(self) -> DataFrame:
         return B.aggregates(self.operation_base())
 
     def vintage_curve(self) -> DataFrame:
-        """Mean cumulative default per delta by crop year over the borrower-level matrix.
-        The crop year is attached at the operation grain and the fan-out rows are
-        aggregated in the same stage that produces them (never shuffled)."""
-        saf = B.crop_year_map(self.silver["operacao_basica"], self.cutoff_month, value_col=None)
-        v = self._op_vintage(self.op_labels).join(saf, ["ref_bacen", "nu_ordem"], "left")
-        v = v.where(F.col("safra").isNotNull())
-        fo = L.fan_out(v, self.borrower_pairs)
-        cols = L.vintage_columns("first_default", self.n_deltas)
-        return fo.select("safra", *cols).groupBy("safra").agg(
-            *[F.avg(F.col(f"`{d}`")).alias(str(d)) for d in range(self.n_deltas + 1)])
+        """Mean cumulative default per delta by crop year over the borrower-level matrix: each
+        operation weighs as many rows as its contract has distinct borrowers, without the fan-out."""
+        n = self.borrower_pairs.groupBy("ref_bacen").agg(F.count("*").alias("_w"))
+        v = self._with_safra(self._op_vintage(self.op_labels)).where(F.col("safra").isNotNull()).join(n, "ref_bacen")
+        v = v.select("safra", "_w", *L.vintage_columns("first_default", self.n_deltas))
+        return v.groupBy("safra").agg(*[
+            (F.sum(F.col(f"`{d}`") * F.col("_w")) / F.sum("_w")).alias(str(d)) for d in range(self.n_deltas + 1)])
 
 
 def scoring_base(silver, segment: str = "uf", horizon: int = HORIZON,
                  cutoff_month: int = CROP_YEAR_CUTOFF_MONTH) -> DataFrame:
     """(keys, target, segment feature, safra) - the modelling table restricted to the
     naive model's segment, with the crop year of the operation."""
-    p = Portfolio(silver, horizon=horizon, features=[segment])
-    base = p.modelling_base()
-    saf = B.crop_year_map(silver["operacao_basica"], cutoff_month, value_col=None)
-    return base.join(saf, ["ref_bacen", "nu_ordem"], "left")
+    return Portfolio(silver, horizon=horizon, cutoff_month=cutoff_month, features=[segment]).modelling_base(safra=True)
 
 
 def training_base(silver, horizon: int = HORIZON, cutoff_month: int = CROP_YEAR_CUTOFF_MONTH) -> DataFrame:
     """Modelling table with every feature and the operation's crop year."""
-    base = Portfolio(silver, horizon=horizon).modelling_base()
-    saf = B.crop_year_map(silver["operacao_basica"], cutoff_month, value_col=None)
-    return base.join(saf, ["ref_bacen", "nu_ordem"], "left")
+    return Portfolio(silver, horizon=horizon, cutoff_month=cutoff_month).modelling_base(safra=True)

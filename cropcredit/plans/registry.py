@@ -8,16 +8,23 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cropcredit.config import GROUP, ModelingOptions, target_name
 from cropcredit.functions.columns import crop_year_label
 from cropcredit.operators import business as B
+from cropcredit.operators import dashboard as DB
 from cropcredit.operators import features as FE
 from cropcredit.operators import labels as L
 from cropcredit.operators import metrics as ME
 from cropcredit.operators import validation as V
+from cropcredit.operators.models import predict_proba
 from cropcredit.plans import modelling as MP
-from cropcredit.plans.portfolio import Portfolio, scoring_base
-from cropcredit.session import ensure_checkpoint_dir
+from cropcredit.plans import training as T
+from cropcredit.plans.portfolio import Portfolio, scoring_base, training_base
+from cropcredit.session import written
 from cropcredit.sources.driver_tables import silver_tables
+from cropcredit.sources.runs import records_frame
+
+LABEL = target_name()
 
 
 def portfolio(spark, sf_dir) -> Portfolio:
@@ -76,15 +83,16 @@ def q_operation_base(spark, sf):
 
 
 def q_aggregates(spark, sf):
-    return portfolio(spark, sf).aggregates()
+    """Volumes to the cent: sums of doubles differ in their last digits between engines."""
+    return portfolio(spark, sf).aggregates().withColumn("volume", F.round("volume", 2))
 
 
 def q_top_categories(spark, sf):
-    return B.top_categories(portfolio(spark, sf).aggregates())
+    return B.top_categories(q_aggregates(spark, sf))
 
 
 def q_display(spark, sf):
-    return B.display_measures(portfolio(spark, sf).aggregates())
+    return B.display_measures(q_aggregates(spark, sf))
 
 
 def q_vintage_curve(spark, sf):
@@ -92,10 +100,9 @@ def q_vintage_curve(spark, sf):
 
 
 def _base(spark, sf):
-    """Scoring base (keys, label, segment, crop year). The naive-model plans below are
-    lazy single-pass aggregations over it; the metric jobs persist their per-score
-    counts, so the base is not materialised separately."""
-    return scoring_base(_silver(spark, sf))
+    """Scoring base (keys, label, segment, crop year), built once: rates, folds and scored rows are
+    all read from it."""
+    return written(scoring_base(_silver(spark, sf)), "scoring")
 
 
 def q_naive_scores(spark, sf):
@@ -103,9 +110,7 @@ def q_naive_scores(spark, sf):
 
 
 def _in_sample(spark, sf):
-    # the scoring base feeds the segment rates, the global rate and the scored rows:
-    # keep it once (recomputable from lineage if an executor is lost)
-    s = MP.naive_in_sample(_base(spark, sf).persist())
+    s = MP.naive_in_sample(_base(spark, sf))
     return s, ME.score_distribution(s)
 
 
@@ -151,35 +156,33 @@ def q_cleaning(spark, sf):
     return typed_operations(_silver(spark, sf)["operacao_basica"])
 
 
-def q_logistic_scores(spark, sf):
-    """Balanced logistic regression fitted on the whole modelling table (in-sample
-    scores). Iterative optimiser: no SQL oracle."""
-    from cropcredit.config import ModelingOptions
-    from cropcredit.operators.models import Preprocessor, fit_logistic, predict_proba
-    from cropcredit.plans.portfolio import training_base
-    from cropcredit.plans.training import load_base
-
-    ensure_checkpoint_dir(spark)
+def _modelled(spark, sf, name, **kw):
     opts = ModelingOptions()
-    df, cat, num = load_base(training_base(_silver(spark, sf)), opts)
-    df = df.checkpoint()
-    prep = Preprocessor(cat, num, opts.max_categories).fit(df)
-    model = fit_logistic(df, "target_18m", prep)
+    df, cat, num = T.load_base(training_base(_silver(spark, sf)), opts)
+    prep, model = T.fit_model(name, df, LABEL, cat, num, opts, **kw)
+    return df, prep, model
+
+
+def q_logistic_scores(spark, sf):
+    """Balanced logistic regression: every row of the modelling table is scored; the fit sees at most
+    ``max_rows`` of them. Iterative optimiser: no SQL oracle."""
+    df, prep, model = _modelled(spark, sf, "logistic")
     out = predict_proba(model, prep, df)
-    return MP.rounded(out.select("ref_bacen", "nu_ordem", "mutuario", F.col("target_18m").alias("y"), "p"), {"p"})
+    return MP.rounded(out.select("ref_bacen", "nu_ordem", "mutuario", F.col(LABEL).alias("y"), "p"), {"p"})
 
 
-def q_dashboard_ks_location(spark, sf):
-    """KS location per model of a naive k-fold run record built from the data."""
-    from cropcredit.config import ModelingOptions
-    from cropcredit.operators.dashboard import ks_location
-    from cropcredit.plans.training import train_kfold
-    from cropcredit.sources.runs import records_frame
+def q_fold_balance(spark, sf):
+    base = _base(spark, sf)
+    return V.fold_balance(base, V.assign_folds(base, GROUP, LABEL, 5, 42), GROUP, LABEL)
+
+
+def _naive_run(spark, sf):
+    return T.train_kfold(training_base(_silver(spark, sf)), ModelingOptions(), models=("naive",))
 
-    from cropcredit.plans.portfolio import training_base
 
-    rec = train_kfold(training_base(_silver(spark, sf)), ModelingOptions(), models=("naive",))
-    return ks_location(records_frame(spark, [rec])).drop("run_id")
+def q_dashboard_ks_location(spark, sf):
+    """KS location per model of a naive k-fold run record built from the data."""
+    return DB.ks_location(records_frame(spark, [_naive_run(spark, sf)])).drop("run_id")
 
 
 def queries() -> dict:
@@ -207,6 +210,7 @@ def queries() -> dict:
         "metrics_roc": q_metrics_roc,
         "metrics_ks_curve": q_metrics_ks_curve,
         "validation_folds": q_folds,
+        "validation_fold_balance": q_fold_balance,
         "validation_naive_oof": q_naive_oof,
         "validation_naive_kfold": q_naive_kfold,
         "validation_naive_temporal": q_naive_temporal,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 # Conservative byte limit for an explicit broadcast hint; sides above it are left to
 # the planner (sort-merge join, or AQE's runtime broadcast conversion).
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Rows (of a few short columns) that counted_broadcast takes at most.
+BROADCAST_ROWS = 500_000
 
 
 def build_session(
@@ -35,8 +38,6 @@ def build_session(
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(8 * 1024 * 1024),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # cp1252 bronze files (see sources.raw) need the legacy charset switch.
-        "spark.sql.legacy.javaCharsets": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -49,21 +50,35 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """Return the shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    A cluster names it in ``spark.checkpoint.dir``; we only set our own where it is
-    unset (local tests), never overriding the cluster's choice.
-    """
+    Only a local master gets a folder of its own where the setting is unset (tests, laptops);
+    elsewhere executors would write to their own disks, so that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = fallback or tempfile.mkdtemp(prefix="cropcredit-ckpt-")
-    os.makedirs(path, exist_ok=True)
-    sc.setCheckpointDir(path)
-    return path
+    if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        current = fallback or tempfile.mkdtemp(prefix="cropcredit-ckpt-")
+        os.makedirs(current, exist_ok=True)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as parquet below the shared folder and read back: what several jobs
+    read, safe from lost executors."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def counted_broadcast(df: DataFrame, limit_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast-hint ``df`` if its counted rows stay below ``limit_rows``; count something written,
+    not a lineage."""
+    return F.broadcast(df) if df.count() <= limit_rows else df
 
 
 def plan_size_bytes(df: DataFrame) -> int:
@@ -75,10 +90,6 @@ def plan_size_bytes(df: DataFrame) -> int:
         return BROADCAST_LIMIT_BYTES + 1
 
 
-def is_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
-    return plan_size_bytes(df) <= limit_bytes
-
-
 def sized_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Broadcast-hint ``df`` only when its estimated size is under ``limit_bytes``.
 

@@ -21,12 +21,13 @@ driver tables, so job cost grows with the data:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropcredit.session import sized_broadcast
+from cropcredit.session import ensure_checkpoint_dir, sized_broadcast
 
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -43,18 +44,8 @@ NATION_DOMAINS = ("instrumento_credito", "fonte_recursos", "tipo_beneficiario",
                   "tipo_agricultura")
 
 
-_READS: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one driver table. The DataFrame (a lazy plan) is memoised per
-    session and path, so footer/schema resolution runs once, not once per query."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _READS.get(key)
-    if df is None:
-        df = _READS[key] = spark.read.parquet(path)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c) -> F.Column:
@@ -155,30 +146,29 @@ def code_domain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     raise KeyError(name)
 
 
-# The large silver tables are written once per application (medallion layout: gold
-# jobs read silver parquet); small code domains stay views over the driver tables.
-MATERIALIZED = ("operacao_basica", "saldos", "mutuarios")
+# The operation table (an aggregation and three joins) is written once per application and state of
+# its sources; balances and bridge are projections and stay views, like the small code domains.
+MATERIALIZED = {"operacao_basica": ("lineitem", "orders", "customer", "nation")}
 _WRITTEN: dict = {}
 
 
-def _silver_root(spark: SparkSession, sf_dir: str) -> str:
-    import hashlib
-
-    from cropcredit.session import ensure_checkpoint_dir
-
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    tag = hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    return f"{base}/silver/{spark.sparkContext.applicationId}/{tag}"
+def _state(spark: SparkSession, sf_dir: str, tables) -> tuple:
+    """Modification times of driver tables: a rewritten source is written anew."""
+    out = []
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        out.append(path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getModificationTime())
+    return tuple(out)
 
 
 def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Write the view once to the shared checkpoint folder as parquet, read it back."""
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), name)
+    """Write the view once to the shared folder as parquet, read it back."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name, _state(spark, sf_dir, MATERIALIZED[name]))
     if key not in _WRITTEN:
-        path = f"{_silver_root(spark, sf_dir)}/{name}.parquet"
-        build(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _WRITTEN[key] = spark.read.parquet(path)
-    return _WRITTEN[key]
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/silver/{uuid.uuid4().hex}/{name}.parquet"
+        build(spark, sf_dir).write.parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
 
 
 class SilverViews(Mapping):
