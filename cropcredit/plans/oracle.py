@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from cropcredit.config import DEFAULT_SITUATIONS
 from cropcredit.operators import features as FE
-from cropcredit.operators.recode import to_sql
+from cropcredit.operators.recode import Keep, Not, to_sql
+from cropcredit.sources.driver_tables import CODE_DOMAINS, descriptions
 
 H, N, CUT = 18, 24, 7
 
@@ -18,7 +19,26 @@ def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-SILVER = """
+def _list(values) -> str:
+    return "[" + ", ".join("NULL" if v is None else _lit(v) for v in values) + "]"
+
+
+def _pick(values, key: str) -> str:
+    return f"{_list(values)}[({key}) % {len(values)} + 1]"
+
+
+def _code(feature: str, key: str) -> str:
+    return f"CAST(({key}) % {len(descriptions(feature))} AS VARCHAR)"
+
+
+def _domain(name: str, feature: str) -> str:
+    values = descriptions(feature)
+    code = "lpad(CAST(c AS VARCHAR), 4, '0')" if FE.BY_NAME[feature].int_code else "CAST(c AS VARCHAR)"
+    return f"""{name} AS (SELECT {code} AS "#CODIGO", {_pick(values, 'c')} AS DESCRICAO
+  FROM (SELECT DISTINCT p_partkey % {len(values)} AS c FROM part))"""
+
+
+SILVER = f"""
 op_lines AS (
   SELECT l_orderkey, l_linenumber, min(l_partkey) AS partkey,
          round(sum(l_extendedprice), 2) AS VL_PARC_CREDITO, max(l_tax) AS VL_JUROS,
@@ -32,12 +52,12 @@ ord AS (
 ),
 operacao_basica AS (
   SELECT l_orderkey AS "#REF_BACEN", l_linenumber AS NU_ORDEM,
-         CAST(n_regionkey AS VARCHAR) AS CD_CATEG_EMITENTE, CAST(c_nationkey AS VARCHAR) AS CD_INST_CREDITO,
-         CAST(c_nationkey AS VARCHAR) AS CD_FONTE_RECURSO, n_name AS CD_ESTADO,
-         CAST(c_nationkey AS VARCHAR) AS CD_TIPO_SEGURO, CAST(partkey AS VARCHAR) AS CD_EMPREENDIMENTO,
-         lpad(substr(o_orderpriority, 1, 1), 4, '0') AS CD_PROGRAMA,
-         CAST(n_regionkey AS VARCHAR) AS CD_TIPO_IRRIGACAO, CAST(c_nationkey AS VARCHAR) AS CD_TIPO_AGRICULTURA,
-         CAST(n_regionkey AS VARCHAR) AS CD_FASE_CICLO_PRODUCAO, CAST(c_nationkey AS VARCHAR) AS CD_TIPO_INTGR_CONSOR,
+         {_code('cat_emitente', 'partkey')} AS CD_CATEG_EMITENTE, {_code('instrum_credito', 'partkey')} AS CD_INST_CREDITO,
+         {_code('fonte_recurso', 'partkey')} AS CD_FONTE_RECURSO, n_name AS CD_ESTADO,
+         {_code('tipo_seguro', 'partkey')} AS CD_TIPO_SEGURO, CAST(partkey AS VARCHAR) AS CD_EMPREENDIMENTO,
+         {_pick(descriptions('programa', 'CD_PROGRAMA'), 'partkey')} AS CD_PROGRAMA,
+         {_code('tipo_irrigacao', 'partkey')} AS CD_TIPO_IRRIGACAO, {_code('tipo_agricultura', 'partkey')} AS CD_TIPO_AGRICULTURA,
+         {_code('tipo_ciclo', 'partkey')} AS CD_FASE_CICLO_PRODUCAO, {_code('tipo_integracao', 'c_nationkey')} AS CD_TIPO_INTGR_CONSOR,
          CAST(o_orderdate AS DATE) AS DT_EMISSAO,
          VL_ALIQ_PROAGRO, VL_JUROS, VL_AREA_INFORMADA, VL_PARC_CREDITO
   FROM op_lines JOIN ord ON l_orderkey = o_orderkey
@@ -49,9 +69,8 @@ saldos AS (
   FROM lineitem
 ),
 mutuarios AS (
-  SELECT l_orderkey AS REF_BACEN, l_suppkey AS CD_CPF_CNPJ,
-         CAST(s_nationkey AS VARCHAR) AS CD_TIPO_BENEFICIARIO
-  FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
+  SELECT l_orderkey AS REF_BACEN, l_suppkey AS CD_CPF_CNPJ, {_code('tp_produtor', 'l_suppkey')} AS CD_TIPO_BENEFICIARIO
+  FROM lineitem
 ),
 situacao_operacao AS (
   SELECT DISTINCT l_returnflag AS "#CODIGO",
@@ -59,22 +78,14 @@ situacao_operacao AS (
   FROM lineitem
 ),
 empreendimento AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS "#CODIGO", p_type AS FINALIDADE, p_brand AS ATIVIDADE,
-         p_type AS MODALIDADE, upper(p_name) AS PRODUTO, p_brand AS VARIEDADE, CAST(p_size AS VARCHAR) AS CESTA
+  SELECT CAST(p_partkey AS VARCHAR) AS "#CODIGO", {_pick(descriptions('finalidade', 'FINALIDADE'), 'p_partkey')} AS FINALIDADE,
+         {_pick(descriptions('atividade', 'ATIVIDADE'), 'p_partkey')} AS ATIVIDADE,
+         {_pick(descriptions('modalidade', 'MODALIDADE'), 'p_partkey // 2')} AS MODALIDADE,
+         {_pick(descriptions('produto', 'PRODUTO'), 'p_partkey')} AS PRODUTO,
+         {_pick(descriptions('produto', 'VARIEDADE'), 'p_partkey // 5')} AS VARIEDADE, CAST(p_size AS VARCHAR) AS CESTA
   FROM part
 ),
-dom_region AS (SELECT CAST(r_regionkey AS VARCHAR) AS "#CODIGO", r_name AS DESCRICAO FROM region),
-dom_nation AS (SELECT CAST(n_nationkey AS VARCHAR) AS "#CODIGO", n_name AS DESCRICAO FROM nation),
-categoria_emitente AS (SELECT * FROM dom_region),
-tipo_seguro AS (SELECT * FROM dom_region),
-tipo_irrigacao AS (SELECT * FROM dom_region),
-fase_ciclo_producao AS (SELECT * FROM dom_region),
-tipo_integracao AS (SELECT * FROM dom_region),
-instrumento_credito AS (SELECT * FROM dom_nation),
-fonte_recursos AS (SELECT * FROM dom_nation),
-tipo_beneficiario AS (SELECT * FROM dom_nation),
-tipo_agricultura AS (SELECT * FROM dom_nation)
-"""
+""" + ",\n".join(_domain(n, f) for n, f in CODE_DOMAINS.items())
 
 _SITS = ", ".join(_lit(s) for s in DEFAULT_SITUATIONS)
 
@@ -127,6 +138,35 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip().rstrip(",") for c in ctes)
 
 
+def _class_of(recode, row: dict):
+    """The class of one row of descriptions, rule by rule."""
+    if recode.null_guard and row[recode.null_guard] is None:
+        return None
+
+    def holds(column, values):
+        v = row[column]
+        return v is not None and ((v not in values.values) if isinstance(values, Not) else v in values)
+
+    for result, clauses in recode.rules:
+        if any(all(holds(c, v) for c, v in clause.items()) for clause in clauses):
+            return row[result.column] if isinstance(result, Keep) else result
+    return row[recode.default.column] if isinstance(recode.default, Keep) else recode.default
+
+
+def _class_sql(f, alias: str) -> str:
+    """Rules on one column as a plain table from description to class, looked up by position; rules on
+    several columns as CASE."""
+    columns = sorted(f.recode.columns())
+    if len(columns) > 1:
+        return to_sql(f.recode, lambda c: f"{alias}.{c}")
+    c = columns[0]
+    known = [v for v in descriptions(f.name, c) if v is not None]
+    classes = [_class_of(f.recode, {c: v}) for v in known]
+    missing = _class_of(f.recode, {c: None})
+    of_null = "NULL" if missing is None else _lit(missing)
+    return f"CASE WHEN {alias}.{c} IS NULL THEN {of_null} ELSE {_list(classes)}[list_position({_list(known)}, {alias}.{c})] END"
+
+
 def _feature_sql(f) -> str:
     """One feature at label grain: label keys JOIN source JOIN domain (all inner)."""
     if f.keys == FE.OP:
@@ -142,7 +182,7 @@ def _feature_sql(f) -> str:
         dom = f"JOIN {f.domain} d ON {cond}"
     alias = "d" if f.domain else "src"
     if f.recode is not None:
-        expr = to_sql(f.recode, lambda c: f"{alias}.{c}")
+        expr = _class_sql(f, alias)
     else:
         expr = f"{alias}.{f.value}"
     if f.kind == "cat":

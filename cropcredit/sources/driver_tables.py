@@ -10,13 +10,14 @@ driver tables, so job cost grows with the data:
 
   operacao_basica  one row per (l_orderkey, l_linenumber): contract = order, sub-operation =
                    line number; issue date = o_orderdate; credit value = sum(l_extendedprice);
-                   codes from the ordering customer's nation/region, the first part, priority
+                   the state is the ordering customer's nation, codes are part keys modulo the
+                   number of descriptions
   saldos           one balance month per lineitem: month of l_shipdate, status l_returnflag
   mutuarios        contract <-> borrower bridge at lineitem grain (borrower = supplier),
                    so repeated (order, supplier) pairs are real duplicate bridge rows
   situacao_operacao   status domain over the return flags present in lineitem
-  empreendimento      enterprise domain = part
-  region / nation     stand in for the small code -> description domains
+  empreendimento      enterprise domain = part, with the real descriptions by part key
+  code domains        the real descriptions of each feature's rules, by part key
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cropcredit.operators import features as FE
 from cropcredit.session import ensure_checkpoint_dir, sized_broadcast
 
 DRIVER_TABLES = (
@@ -37,11 +39,31 @@ DRIVER_TABLES = (
 # Status code -> description for the balance status domain (R marks default).
 STATUS_DESCRIPTIONS = {"R": "Inadimplente", "A": "Adimplente", "N": "Normal"}
 
-# Which driver dimension stands in for each code domain.
-REGION_DOMAINS = ("categoria_emitente", "tipo_seguro", "tipo_irrigacao", "fase_ciclo_producao",
-                  "tipo_integracao")
-NATION_DOMAINS = ("instrumento_credito", "fonte_recursos", "tipo_beneficiario",
-                  "tipo_agricultura")
+# Code domain -> (feature whose rules name its descriptions, code column of the operation or bridge).
+CODE_DOMAINS = {
+    "categoria_emitente": "cat_emitente", "tipo_seguro": "tipo_seguro", "tipo_irrigacao": "tipo_irrigacao",
+    "fase_ciclo_producao": "tipo_ciclo", "tipo_integracao": "tipo_integracao", "instrumento_credito": "instrum_credito",
+    "fonte_recursos": "fonte_recurso", "tipo_beneficiario": "tp_produtor", "tipo_agricultura": "tipo_agricultura",
+}
+
+
+def descriptions(feature: str, column: str = "DESCRICAO") -> list:
+    """What a domain column holds, by code: every description the feature's rules name for it, one
+    that none names, and NULL. Codes are a driver key modulo the length, so every class, the guards
+    and the order of the rules are met."""
+    rules = FE.BY_NAME[feature].recode.rules if FE.BY_NAME[feature].recode else ()
+    named = {v for _, clauses in rules for c in clauses if column in c for v in getattr(c[column], "values", c[column])}
+    return [*sorted(named), "Não listado", None]
+
+
+def _pick(values: list, key: str) -> F.Column:
+    """values[key modulo length], as one SQL expression."""
+    texts = ", ".join("CAST(NULL AS STRING)" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return F.expr(f"element_at(array({texts}), CAST(({key}) % {len(values)} AS INT) + 1)")
+
+
+def _code(feature: str, key: str) -> F.Column:
+    return F.expr(f"CAST(({key}) % {len(descriptions(feature))} AS STRING)")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,17 +97,17 @@ def operacao_basica(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.col("l_orderkey").alias("#REF_BACEN"),
         F.col("l_linenumber").alias("NU_ORDEM"),
-        _s("n_regionkey").alias("CD_CATEG_EMITENTE"),
-        _s("c_nationkey").alias("CD_INST_CREDITO"),
-        _s("c_nationkey").alias("CD_FONTE_RECURSO"),
+        _code("cat_emitente", "partkey").alias("CD_CATEG_EMITENTE"),
+        _code("instrum_credito", "partkey").alias("CD_INST_CREDITO"),
+        _code("fonte_recurso", "partkey").alias("CD_FONTE_RECURSO"),
         F.col("n_name").alias("CD_ESTADO"),
-        _s("c_nationkey").alias("CD_TIPO_SEGURO"),
+        _code("tipo_seguro", "partkey").alias("CD_TIPO_SEGURO"),
         _s("partkey").alias("CD_EMPREENDIMENTO"),
-        F.lpad(F.substring("o_orderpriority", 1, 1), 4, "0").alias("CD_PROGRAMA"),
-        _s("n_regionkey").alias("CD_TIPO_IRRIGACAO"),
-        _s("c_nationkey").alias("CD_TIPO_AGRICULTURA"),
-        _s("n_regionkey").alias("CD_FASE_CICLO_PRODUCAO"),
-        _s("c_nationkey").alias("CD_TIPO_INTGR_CONSOR"),
+        _pick(descriptions("programa", "CD_PROGRAMA"), "partkey").alias("CD_PROGRAMA"),
+        _code("tipo_irrigacao", "partkey").alias("CD_TIPO_IRRIGACAO"),
+        _code("tipo_agricultura", "partkey").alias("CD_TIPO_AGRICULTURA"),
+        _code("tipo_ciclo", "partkey").alias("CD_FASE_CICLO_PRODUCAO"),
+        _code("tipo_integracao", "c_nationkey").alias("CD_TIPO_INTGR_CONSOR"),
         F.col("o_orderdate").cast("date").alias("DT_EMISSAO"),
         "VL_ALIQ_PROAGRO",
         "VL_JUROS",
@@ -106,12 +128,11 @@ def saldos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mutuarios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
-    sup = sized_broadcast(read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"))
-    return li.join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left").select(
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(
         F.col("l_orderkey").alias("REF_BACEN"),
         F.col("l_suppkey").alias("CD_CPF_CNPJ"),
-        _s("s_nationkey").alias("CD_TIPO_BENEFICIARIO"),
+        _code("tp_produtor", "l_suppkey").alias("CD_TIPO_BENEFICIARIO"),
     )
 
 
@@ -127,23 +148,22 @@ def empreendimento(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     return p.select(
         _s("p_partkey").alias("#CODIGO"),
-        F.col("p_type").alias("FINALIDADE"),
-        F.col("p_brand").alias("ATIVIDADE"),
-        F.col("p_type").alias("MODALIDADE"),
-        F.upper("p_name").alias("PRODUTO"),
-        F.col("p_brand").alias("VARIEDADE"),
+        _pick(descriptions("finalidade", "FINALIDADE"), "p_partkey").alias("FINALIDADE"),
+        _pick(descriptions("atividade", "ATIVIDADE"), "p_partkey").alias("ATIVIDADE"),
+        _pick(descriptions("modalidade", "MODALIDADE"), "p_partkey div 2").alias("MODALIDADE"),
+        _pick(descriptions("produto", "PRODUTO"), "p_partkey").alias("PRODUTO"),
+        _pick(descriptions("produto", "VARIEDADE"), "p_partkey div 5").alias("VARIEDADE"),
         _s("p_size").alias("CESTA"),
     )
 
 
 def code_domain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    if name in REGION_DOMAINS:
-        r = read_table(spark, sf_dir, "region")
-        return r.select(_s("r_regionkey").alias("#CODIGO"), F.col("r_name").alias("DESCRICAO"))
-    if name in NATION_DOMAINS:
-        n = read_table(spark, sf_dir, "nation")
-        return n.select(_s("n_nationkey").alias("#CODIGO"), F.col("n_name").alias("DESCRICAO"))
-    raise KeyError(name)
+    """(#CODIGO, DESCRICAO) for the codes that part keys give; codes joined as integers carry zeros."""
+    feature = CODE_DOMAINS[name]
+    values = descriptions(feature)
+    codes = read_table(spark, sf_dir, "part").select(F.expr(f"CAST(p_partkey % {len(values)} AS STRING)").alias("c")).distinct()
+    code = F.lpad("c", 4, "0") if FE.BY_NAME[feature].int_code else F.col("c")
+    return codes.select(code.alias("#CODIGO"), _pick(values, "CAST(c AS INT)").alias("DESCRICAO"))
 
 
 # The operation table (an aggregation and three joins) is written once per application and state of
@@ -186,7 +206,7 @@ class SilverViews(Mapping):
             "situacao_operacao": situacao_operacao,
             "empreendimento": empreendimento,
         }
-        for name in REGION_DOMAINS + NATION_DOMAINS:
+        for name in CODE_DOMAINS:
             self._makers[name] = lambda sp, d, n=name: code_domain(sp, d, n)
 
     def __getitem__(self, name: str) -> DataFrame:
