@@ -319,6 +319,7 @@ FROM vintage v LEFT JOIN saf USING (ref_bacen, nu_ordem)
 WHERE saf.safra IS NOT NULL
 GROUP BY saf.safra"""
     q.update(model_queries())
+    q.update(loading_queries(cons))
     q["cleaning_typed_operations"] = _with(SILVER, RAW_OPS) + """
 SELECT nullif(trim(trim(trim("#REF_BACEN"), '"')), '') AS "#REF_BACEN",
        nullif(trim(trim(trim(NU_ORDEM), '"')), '') AS NU_ORDEM,
@@ -506,3 +507,42 @@ SELECT CAST(y.safra AS INTEGER) AS safra,
        {_r("gm.auroc", "auroc")}, {_r("gm.ks", "ks")}, {_r("gm.brier", "brier")}
 FROM years y JOIN gm ON gm.g = y.safra"""
     return q
+
+
+def loading_queries(cons: str) -> dict[str, str]:
+    """Ingestion, loading and preprocessing; ``cons``: common tables up to the modelling table."""
+    cats, nums = FE.CAT_FEATURES, FE.NUM_FEATURES
+    q = {}
+    q["consolidate_generic"] = cons + "\nSELECT ref_bacen, nu_ordem, mutuario, target_18m, uf, produto, tp_produtor FROM consolidated"
+    q["loading_sample"] = _with(SILVER, LABEL_BASE, TARGET) + """
+SELECT * FROM target WHERE ('0x' || substr(md5('42|' || ref_bacen || '|' || nu_ordem || '|' || mutuario), 1, 8))::BIGINT / 4294967296.0
+  < (SELECT CASE WHEN count(*) <= 2000 THEN 1.0 ELSE least(100, ceil(100 * 2000 / count(*))) / 100 END FROM target)"""
+    q["loading_coerced"] = cons + "\nSELECT ref_bacen, nu_ordem, mutuario, target_18m, " + ", ".join(
+        [f"coalesce({c}, 'NA') AS {c}" for c in cats] + [f"try_cast({c} AS DOUBLE) AS {c}" for c in nums]) + " FROM consolidated"
+    q["loading_feature_quality"] = cons + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, '{kind}' AS kind, round(n, 9) AS null_frac, two AS two_values, n <= 0.95 AND two AS keep FROM "
+        f"(SELECT avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS n, coalesce(min({c}) <> max({c}), false) AS two FROM consolidated)"
+        for kind, cs in (("cat", cats), ("num", nums)) for c in cs)
+    freq = "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, coalesce({c}, 'NA') AS v, count(*) AS n FROM consolidated GROUP BY 2" for c in cats)
+    q["preprocess_categories"] = cons + f"""
+, freq AS ({freq}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, v DESC) AS rk, count(*) OVER (PARTITION BY feature) AS nv FROM freq)
+SELECT feature, v AS category FROM ranked WHERE rk <= CASE WHEN nv > 8 THEN 7 ELSE 8 END
+UNION ALL SELECT DISTINCT feature, '*' FROM ranked WHERE nv > 8"""
+    q["preprocess_scales"] = cons + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, round(m, 9) AS median, round(CASE WHEN s > 0 THEN s ELSE 1 END, 9) AS scale FROM "
+        f"(SELECT any_value(m) AS m, stddev_pop(coalesce({c}, m)) AS s FROM consolidated, (SELECT median({c}) AS m FROM consolidated))"
+        for c in nums)
+    q["ingest_customers"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS "CD_CLIENTE", c_name || CASE WHEN c_custkey % 7 = 0 THEN chr(10) || '"linha" 2' ELSE ' – ação' END AS "NM_CLIENTE",
+  CAST(CAST(c_acctbal AS DECIMAL(14,2)) AS DOUBLE) AS "VL_SALDO", CASE WHEN c_custkey % 4 <> 2 THEN CAST(c_nationkey AS VARCHAR) END AS "CD_PAIS",
+  '2024-02' AS mes, CAST(c_custkey % 4 AS INTEGER) AS tipo FROM customer"""
+    q["ingest_transform_counts"] = "SELECT 'clientes' AS tabela, count(*) AS linhas FROM customer"
+    base = [SILVER, LABEL_BASE, TARGET, CROP, SCORING_BASE]
+    q["dashboard_metric_history"] = _with(*base, FOLDS, _grouped_core("oof", "fold")) + (
+        "\nSELECT '20240101000000' AS run_id, round(avg(auroc), 9) AS naive FROM gm")
+    q["dashboard_out_of_time"] = _with(*base, TEMPORAL, _grouped_core("tscored", "safra")) + f"""
+SELECT printf('%d/%02d', y.safra, (y.safra + 1) % 100) AS safra, {_r("gm.auroc", "naive")}, CAST(y.n AS BIGINT) AS n_test,
+  {_r("(SELECT AVG(CAST(s.y AS DOUBLE)) FROM tscored s WHERE s.safra = y.safra)", "rate_test")}
+FROM years y JOIN gm ON gm.g = y.safra"""
+    return q

@@ -6,23 +6,27 @@ one job of the pipeline over the whole data.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cropcredit.config import GROUP, ModelingOptions, target_name
 from cropcredit.functions.columns import crop_year_label
 from cropcredit.operators import business as B
+from cropcredit.operators import consolidate as K
 from cropcredit.operators import dashboard as DB
 from cropcredit.operators import features as FE
 from cropcredit.operators import labels as L
 from cropcredit.operators import metrics as ME
 from cropcredit.operators import validation as V
-from cropcredit.operators.models import predict_proba
+from cropcredit.operators.models import Preprocessor, predict_proba
+from cropcredit.plans import ingestion as I
 from cropcredit.plans import modelling as MP
 from cropcredit.plans import training as T
 from cropcredit.plans.portfolio import Portfolio, scoring_base, training_base
-from cropcredit.session import written
+from cropcredit.session import ensure_checkpoint_dir, written
 from cropcredit.sources.driver_tables import silver_tables
-from cropcredit.sources.runs import records_frame
+from cropcredit.sources.runs import load_runs, records_frame, save_run
 
 LABEL = target_name()
 
@@ -185,6 +189,69 @@ def q_dashboard_ks_location(spark, sf):
     return DB.ks_location(records_frame(spark, [_naive_run(spark, sf)])).drop("run_id")
 
 
+GENERIC = ("uf", "produto", "tp_produtor")
+
+
+def q_consolidated_generic(spark, sf):
+    """Per-feature tables found and joined by the generic path."""
+    p = portfolio(spark, sf)
+    tables = {FE.BY_NAME[n].file: p.feature_table(n) for n in GENERIC}
+    return K.consolidate(p.target(), tables)
+
+
+SAMPLE_ROWS = 2000
+
+
+def q_sample(spark, sf):
+    return K.sample_rows(written(portfolio(spark, sf).target(), "target"), SAMPLE_ROWS)
+
+
+def q_coerced(spark, sf):
+    base = portfolio(spark, sf).modelling_base()
+    return K.coerce(K.project_present(base, [*base.columns, "ausente"]), FE.CAT_FEATURES, FE.NUM_FEATURES)
+
+
+def q_feature_quality(spark, sf):
+    base = portfolio(spark, sf).modelling_base()
+    return MP.rounded(K.feature_quality(base, FE.CAT_FEATURES, FE.NUM_FEATURES), {"null_frac"})
+
+
+def _fitted(spark, sf, max_categories):
+    base = written(portfolio(spark, sf).modelling_base(), "modelling")
+    return Preprocessor(list(FE.CAT_FEATURES), list(FE.NUM_FEATURES), max_categories).fit(base)
+
+
+KEPT = 8
+
+
+def q_categories(spark, sf):
+    """(feature, category): the indicator columns of the fitted encoder."""
+    rows = [(c, v) for c, (kept, more) in _fitted(spark, sf, KEPT).categories.items() for v in [*kept, *(["*"] if more else [])]]
+    return spark.createDataFrame(rows, "feature string, category string")
+
+
+def q_scales(spark, sf):
+    p = _fitted(spark, sf, 30)
+    rows = [(c, p.medians[c], p.scales[c]) for c in p.num_cols]
+    return MP.rounded(spark.createDataFrame(rows, "feature string, median double, scale double"), {"median", "scale"})
+
+
+def _stored(spark, record):
+    """A run record saved and loaded again."""
+    uri = f"{ensure_checkpoint_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex[:12]}"
+    save_run(spark, dict(record, run_id="20240101000000"), uri)
+    return load_runs(spark, uri)
+
+
+def q_metric_history(spark, sf):
+    return MP.rounded(DB.metric_history(_stored(spark, _naive_run(spark, sf)), "auroc"), {"naive"})
+
+
+def q_out_of_time(spark, sf):
+    rec = T.train_temporal(scoring_base(_silver(spark, sf)), ModelingOptions(), models=("naive",))
+    return MP.rounded(DB.out_of_time(_stored(spark, rec), "20240101000000", "auroc"), {"naive", "rate_test"})
+
+
 def queries() -> dict:
     q = {
         "labels_default_codes": q_default_codes,
@@ -217,6 +284,16 @@ def queries() -> dict:
         "cleaning_typed_operations": q_cleaning,
         "model_logistic_scores": q_logistic_scores,
         "dashboard_ks_location": q_dashboard_ks_location,
+        "dashboard_metric_history": q_metric_history,
+        "dashboard_out_of_time": q_out_of_time,
+        "consolidate_generic": q_consolidated_generic,
+        "loading_sample": q_sample,
+        "loading_coerced": q_coerced,
+        "loading_feature_quality": q_feature_quality,
+        "preprocess_categories": q_categories,
+        "preprocess_scales": q_scales,
+        "ingest_customers": I.ingested_customers,
+        "ingest_transform_counts": I.transformed_counts,
     })
     return q
 
