@@ -31,7 +31,7 @@ WINDOWS_PER_DOC = 12
 STEPS = 400
 BATCH = 96
 BLOCK = 1 << 18
-ACCEPT = 0.5
+ACCEPT = 0.4
 
 
 def squash(x):
