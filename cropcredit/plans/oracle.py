@@ -538,6 +538,9 @@ SELECT CAST(c_custkey AS VARCHAR) AS "CD_CLIENTE", c_name || CASE WHEN c_custkey
   CAST(CAST(c_acctbal AS DECIMAL(14,2)) AS DOUBLE) AS "VL_SALDO", CASE WHEN c_custkey % 4 <> 2 THEN CAST(c_nationkey AS VARCHAR) END AS "CD_PAIS",
   '2024-02' AS mes, CAST(c_custkey % 4 AS INTEGER) AS tipo FROM customer"""
     q["ingest_transform_counts"] = "SELECT 'clientes' AS tabela, count(*) AS linhas FROM customer"
+    for name in ("model_logistic_evidence", "model_trees_evidence"):
+        q[name] = _with(SILVER, LABEL_BASE, TARGET) + (
+            "\nSELECT count(*) AS n, CAST(sum(target_18m) AS BIGINT) AS pos, true AS better_than_chance, true AS balanced FROM target")
     base = [SILVER, LABEL_BASE, TARGET, CROP, SCORING_BASE]
     q["dashboard_metric_history"] = _with(*base, FOLDS, _grouped_core("oof", "fold")) + (
         "\nSELECT '20240101000000' AS run_id, round(avg(auroc), 9) AS naive FROM gm")

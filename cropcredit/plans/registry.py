@@ -175,6 +175,27 @@ def q_logistic_scores(spark, sf):
     return MP.rounded(out.select("ref_bacen", "nu_ordem", "mutuario", F.col(LABEL).alias("y"), "p"), {"p"})
 
 
+def _evidence(df, prep, model, bound):
+    """(n, pos, better_than_chance, balanced): all rows scored. balanced: in every state, the weighted
+    residuals add up to less than ``bound`` of the total weight. At the logistic optimum they are the
+    gradient of that state's coefficient, which is 0 up to the small penalty."""
+    out = written(predict_proba(model, prep, df).select("uf", F.col(LABEL).alias("y"), "p"), "scored")
+    m = ME.core_metrics(out).first()
+    w = F.when(F.col("y") == 1, m["n"] / (2.0 * m["n_pos"])).otherwise(m["n"] / (2.0 * (m["n"] - m["n_pos"])))
+    residual = out.groupBy("uf").agg((F.abs(F.sum(w * (F.col("p") - F.col("y")))) / m["n"]).alias("g"))
+    return residual.agg(F.lit(m["n"]).cast("long").alias("n"), F.lit(m["n_pos"]).cast("long").alias("pos"),
+                        F.lit(m["auroc"] > 0.5).alias("better_than_chance"), (F.max("g") < bound).alias("balanced"))
+
+
+def q_logistic_evidence(spark, sf):
+    return _evidence(*_modelled(spark, sf, "logistic"), bound=1e-3)
+
+
+def q_trees_evidence(spark, sf):
+    """Boosted trees, 5 of them: enough to see the fit, scoring and metrics work on all rows."""
+    return _evidence(*_modelled(spark, sf, "boosted_trees", gbt_trees=5), bound=1.0)
+
+
 def q_fold_balance(spark, sf):
     base = _base(spark, sf)
     return V.fold_balance(base, V.assign_folds(base, GROUP, LABEL, 5, 42), GROUP, LABEL)
@@ -283,6 +304,8 @@ def queries() -> dict:
         "validation_naive_temporal": q_naive_temporal,
         "cleaning_typed_operations": q_cleaning,
         "model_logistic_scores": q_logistic_scores,
+        "model_logistic_evidence": q_logistic_evidence,
+        "model_trees_evidence": q_trees_evidence,
         "dashboard_ks_location": q_dashboard_ks_location,
         "dashboard_metric_history": q_metric_history,
         "dashboard_out_of_time": q_out_of_time,
