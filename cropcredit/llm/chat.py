@@ -13,7 +13,7 @@ roles and texts ``\\`` becomes ``\\\\`` and ``<|`` becomes ``<\\|``, so no contr
 and ``unescape`` gives every text back. The loss mask is a list of (start, length) spans, in code
 points of the formatted string, that cover each assistant text and nothing else.
 
-A null text or role is empty. A tree's cycles have no root and give no path. Messages that repeat a
+A null text or role is empty, a null score 0. A tree's cycles have no root and give no path. Messages that repeat a
 (conv_id, turn) stand in the order of role and text. An empty table gives no rows.
 """
 
@@ -54,18 +54,20 @@ def paths(tree: DataFrame, best: int = 1) -> DataFrame:
     there = nodes.select("conv_id", F.col("node_id").alias("parent_id")).distinct()
     linked = nodes.join(there.withColumn("_there", F.lit(True)), ["conv_id", "parent_id"], "left")
     # up: the node 2^k steps above, null beyond the root; n, total: messages and score up to it (it excluded)
-    state = linked.select("conv_id", "node_id", F.when(F.col("_there"), F.col("parent_id")).alias("up"), F.lit(1).cast("long").alias("n"), F.col("score").alias("total"))
+    state = linked.select("conv_id", "node_id", F.when(F.col("_there"), F.col("parent_id")).alias("up"), F.lit(1).cast("long").alias("n"), F.coalesce("score", F.lit(0.0)).alias("total"))
     state = materialize(state, "pointers")
-    jumps = []
+    done, active, jumps = state.where("up is null"), state.where("up is not null"), []
     longest = nodes.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
-    while (1 << len(jumps)) <= longest and state.where("up is not null").limit(1).count():  # cycles never end by themselves
-        jumps.append(state.select("conv_id", "node_id", "up"))
-        above = state.select("conv_id", F.col("node_id").alias("up"), F.col("up").alias("up2"), F.col("n").alias("n2"), F.col("total").alias("total2"))
-        j = state.join(above, ["conv_id", "up"], "left")
-        state = materialize(j.select("conv_id", "node_id", F.col("up2").alias("up"), (F.col("n") + F.coalesce("n2", F.lit(0))).alias("n"),
-                                     (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total")), "pointers")
-    parents = jumps[0].where("up is not null").select("conv_id", F.col("up").alias("node_id")).distinct() if jumps else None
-    leaves = state.where("up is null")
+    while (1 << len(jumps)) <= longest and active.limit(1).count():  # cycles never end by themselves
+        jumps.append(active.select("conv_id", "node_id", "up"))
+        above = done.unionByName(active).select(
+            "conv_id", F.col("node_id").alias("up"), F.col("up").alias("up2"), F.col("n").alias("n2"), F.col("total").alias("total2"))
+        j = active.join(above, ["conv_id", "up"])  # nodes that have met their root rest
+        j = materialize(j.select("conv_id", "node_id", F.col("up2").alias("up"), (F.col("n") + F.col("n2")).alias("n"),
+                                 (F.col("total") + F.col("total2")).alias("total")), "pointers")
+        done, active = done.unionByName(j.where("up is null")), j.where("up is not null")
+    parents = jumps[0].select("conv_id", F.col("up").alias("node_id")).distinct() if jumps else None
+    leaves = done
     if parents is not None:
         leaves = leaves.join(parents, ["conv_id", "node_id"], "left_anti")
     rank = Window.partitionBy("conv_id").orderBy((F.col("total") / F.col("n")).desc(), F.col("n").desc(), "node_id")
