@@ -178,8 +178,10 @@ def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
         return out
     _, code = np.unique(code, return_inverse=True)
     step = 4096
-    cut = np.searchsorted(code, np.arange(0, code[-1] + step, step))
-    for lo, hi, c0 in zip(cut[:-1], cut[1:], range(0, int(code[-1]) + step, step)):
+    n_codes = int(code[-1]) + 1
+    starts = np.arange(0, n_codes, step)
+    cut = np.searchsorted(code, np.append(starts, n_codes))
+    for lo, hi, c0 in zip(cut[:-1], cut[1:], starts):
         m = np.zeros((len(a) + len(b), step), np.float32)
         m[owner[lo:hi], code[lo:hi] - c0] = 1
         out += m[: len(a)] @ m[len(a):].T
