@@ -13,8 +13,9 @@ roles and texts ``\\`` becomes ``\\\\`` and ``<|`` becomes ``<\\|``, so no contr
 and ``unescape`` gives every text back. The loss mask is a list of (start, length) spans, in code
 points of the formatted string, that cover each assistant text and nothing else.
 
-A null text or role is empty, a null score 0. A tree's cycles have no root and give no path. Messages that repeat a
-(conv_id, turn) stand in the order of role and text. An empty table gives no rows.
+A null text or role is empty, a null score 0. Messages with a null conv_id are one conversation, whose conv_id is
+null in the result; joins on conv_id are null-safe. A tree's cycles have no root and give no path. Messages that repeat
+a (conv_id, turn) stand in the order of role and text. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,6 +38,13 @@ def unescape(c):
     return F.regexp_replace(c, r"(?s)\\(.)", "$1")
 
 
+def join_in(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join on conv_id, where null equals null, and ``key``, where it does not; both stand once, as on the left."""
+    r = right.withColumnsRenamed({"conv_id": "_conv_id", key: "_key"})
+    same = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & (F.col(key) == F.col("_key"))
+    return left.join(r, same, how).drop("_conv_id", "_key")
+
+
 def linear_tree(messages: DataFrame) -> DataFrame:
     """The tree of a conversation table (conv_id, turn, role, text): each message answers the one
     before it; score 1 each."""
@@ -52,7 +60,7 @@ def paths(tree: DataFrame, best: int = 1) -> DataFrame:
     ``tree`` needs conv_id, node_id, parent_id and score and should be materialised."""
     nodes = tree.select("conv_id", "node_id", "parent_id", "score")
     there = nodes.select("conv_id", F.col("node_id").alias("parent_id")).distinct()
-    linked = nodes.join(there.withColumn("_there", F.lit(True)), ["conv_id", "parent_id"], "left")
+    linked = join_in(nodes, there.withColumn("_there", F.lit(True)), "parent_id", "left")
     # up: the node 2^k steps above, null beyond the root; n, total: messages and score up to it (it excluded)
     state = linked.select("conv_id", "node_id", F.when(F.col("_there"), F.col("parent_id")).alias("up"), F.lit(1).cast("long").alias("n"), F.coalesce("score", F.lit(0.0)).alias("total"))
     state = materialize(state, "pointers")
@@ -62,14 +70,14 @@ def paths(tree: DataFrame, best: int = 1) -> DataFrame:
         jumps.append(active.select("conv_id", "node_id", "up"))
         above = done.unionByName(active).select(
             "conv_id", F.col("node_id").alias("up"), F.col("up").alias("up2"), F.col("n").alias("n2"), F.col("total").alias("total2"))
-        j = active.join(above, ["conv_id", "up"])  # nodes that have met their root rest
+        j = join_in(active, above, "up")  # nodes that have met their root rest
         j = materialize(j.select("conv_id", "node_id", F.col("up2").alias("up"), (F.col("n") + F.col("n2")).alias("n"),
                                  (F.col("total") + F.col("total2")).alias("total")), "pointers")
         done, active = done.unionByName(j.where("up is null")), j.where("up is not null")
     parents = jumps[0].select("conv_id", F.col("up").alias("node_id")).distinct() if jumps else None
     leaves = done
     if parents is not None:
-        leaves = leaves.join(parents, ["conv_id", "node_id"], "left_anti")
+        leaves = join_in(leaves, parents, "node_id", "left_anti")
     rank = Window.partitionBy("conv_id").orderBy((F.col("total") / F.col("n")).desc(), F.col("n").desc(), "node_id")
     chosen = leaves.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= best)
     on = chosen.select("conv_id", F.col("node_id").alias("leaf_id"), "node_id", F.col("n").alias("position"))
@@ -77,14 +85,14 @@ def paths(tree: DataFrame, best: int = 1) -> DataFrame:
         here = F.struct("node_id", "position")
         there_ = F.struct(F.col("up").alias("node_id"), (F.col("position") - (1 << k)).alias("position"))
         both = F.array_compact(F.array(here, F.when(F.col("up").isNotNull(), there_)))
-        on = on.join(jump, ["conv_id", "node_id"], "left").select("conv_id", "leaf_id", F.explode(both).alias("x"))
+        on = join_in(on, jump, "node_id", "left").select("conv_id", "leaf_id", F.explode(both).alias("x"))
         on = on.select("conv_id", "leaf_id", "x.node_id", "x.position")
     return on
 
 
 def formatted(tree: DataFrame, best: int = 1) -> DataFrame:
     """conv_id, leaf_id, formatted, loss_spans (array of (start, length)) of every chosen path."""
-    m = paths(tree, best).join(tree.select("conv_id", "node_id", "role", "text"), ["conv_id", "node_id"])
+    m = join_in(paths(tree, best), tree.select("conv_id", "node_id", "role", "text"), "node_id")
     head = F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT))
     m = m.select("conv_id", "leaf_id", "position", head.alias("head"), escape(F.col("text")).alias("body"), (F.col("role") == MASKED_ROLE).alias("masked"))
     g = m.groupBy("conv_id", "leaf_id").agg(F.array_sort(F.collect_list(F.struct("position", "head", "body", "masked"))).alias("m"))
