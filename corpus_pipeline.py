@@ -30,7 +30,7 @@ def mixture(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024, specials=True)
 
 
 STAGES = [

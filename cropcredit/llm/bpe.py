@@ -6,6 +6,10 @@ into white space that follows it. So a text can be cut before each ASCII white s
 follows something else, the pieces encoded alone, and their ids joined give the ids of the whole
 text. (Cuts after characters that could be Unicode white space are left out.) Each distinct
 piece goes through the tokenizers library once per Python worker.
+
+With ``specials`` a special token of the file that stands in a text (``<|endoftext|>``) becomes its
+one id, as in the library's plain call; without, it is encoded as text. Special tokens of these
+files hold no white space and take none beside them, so the cuts hold either way.
 """
 
 from __future__ import annotations
@@ -49,14 +53,14 @@ class Encoder:
     """Ids of whole texts; ``path`` is a file of the tokenizers library. Known pieces are kept by
     64-bit hash in sorted arrays (about 30 bytes a piece), over all tasks of a Python worker."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not specials
         self.kind = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self._clear()
 
@@ -117,11 +121,11 @@ class Encoder:
                 yield ids[offs[k]: offs[k + 1]]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per file and Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, specials: bool = False) -> Encoder:
+    """One encoder per file, ``specials`` and Python worker."""
+    if (path, specials) not in _ENCODERS:
+        _ENCODERS[path, specials] = Encoder(path, specials)
+    return _ENCODERS[path, specials]

@@ -48,12 +48,12 @@ def cut(n: int, capacity: int):
     return parts + [(s, capacity) for s in range(first, n, capacity)]
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, specials: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 for every piece of every document."""
     end = np.array([end_id], np.uint32)
 
     def run(batches):
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, specials)
         for b in batches:
             out = ([], [], [], [], [])
             for doc, ids in zip(b.column(0).to_pylist(), enc.rows(b.column(1))):
@@ -128,8 +128,8 @@ def pack(items: DataFrame, capacity: int, order: list[str], length: str = "lengt
         F.col("_offset").alias("offset"))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 1024, specials: bool = False) -> DataFrame:
     """Pieces of all documents with their places: doc_id, piece, start, length, ids_crc32,
-    sequence_id, offset."""
-    p = materialize(pieces(docs, tokenizer, end_id, capacity), "pieces")
+    sequence_id, offset. ``specials`` as in ``bpe``."""
+    p = materialize(pieces(docs, tokenizer, end_id, capacity, specials), "pieces")
     return pack(p, capacity, ["doc_id", "piece", "ids_crc32", "start"])

@@ -31,7 +31,7 @@ def op3_ngram_join(spark, sf_dir):
 def op4_token_files(spark, sf_dir, end_id=1, vocab=49_408):
     path = token_files.new_path(shared_dir(spark))
     token_files.write_ids(read_table(spark, sf_dir, "documents"), path,
-                          public_tokenizers.path("word_bpe_49k.json"), end_id, vocab)
+                          public_tokenizers.path("word_bpe_49k.json"), end_id, vocab, specials=True)
     return token_files.read_documents(spark, path, vocab)
 
 
@@ -76,7 +76,7 @@ def op9_spotsigs(spark, sf_dir):
 
 def op10_packing(spark, sf_dir):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"),
-                                  public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
+                                  public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024, specials=True)
 
 
 #: Exact n-gram sets and similarities; components by recursion over the links.

@@ -41,8 +41,9 @@ def width(vocab: int) -> int:
     return 2 if vocab <= 1 << 16 else 4
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, vocab: int) -> None:
-    """Tokenise all documents in doc_id order and write the data set to ``path``."""
+def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, vocab: int, specials: bool = False) -> None:
+    """Tokenise all documents in doc_id order and write the data set to ``path``; ``specials`` as in
+    ``bpe``."""
     size = width(vocab)
     end = int(end_id).to_bytes(size, "little")
     if max(end) > 127:
@@ -50,7 +51,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, vocab: in
     kind = np.dtype(f"<u{size}")
 
     def run(batches):
-        enc, docs_, lens = encoder(tokenizer), [], []
+        enc, docs_, lens = encoder(tokenizer, specials), [], []
         for b in batches:
             docs_ += b.column(0).to_pylist()
             rows = [ids.astype(kind).tobytes() for ids in enc.rows(b.column(1))]
