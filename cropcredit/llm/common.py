@@ -10,6 +10,7 @@ import zipfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cropcredit.session import ensure_checkpoint_dir
@@ -91,6 +92,35 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that one range shard of ``ranked`` takes (about).
+SHARD_ROWS = 500_000
+
+
+def ranked(df: DataFrame, group: list[str], order: list[str], position: str, total: str) -> DataFrame:
+    """Adds ``position`` (from 0) of each row within its group (null keys are a group) in ascending ``order``,
+    nulls first, and ``total``, the rows of its group. Equal rows stand in any order.
+
+    The rows are sorted in range shards over (group, order), so a hot group spreads over many of them; only
+    one count per shard and group is summed up. ``df`` should be narrow: it is written twice."""
+    spark = df.sparkSession
+    df = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "rows")  # tells equal rows apart
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // SHARD_ROWS))
+    keys = [*group, *order, "_tie"]
+    at = F.monotonically_increasing_id()  # partition number in the upper 31 bits, row number in the lower 33
+    df = df.repartitionByRange(shards, *keys).sortWithinPartitions(*keys).withColumn("_at", at).drop("_tie")
+    df = materialize(df.withColumn("_shard", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND((1 << 33) - 1)), "shards")
+    counts = df.groupBy("_shard", *group).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    whole, before = W.partitionBy(*group), W.partitionBy(*group).orderBy("_shard").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.withColumn(total, F.sum("_n").over(whole)).withColumn(
+        "_base", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).drop("_n", "_first")
+    counts = materialize(counts.select(F.col("_shard").alias("_of"), *[F.col(g).alias(f"_g_{g}") for g in group], total, "_base"), "counts")
+    same = F.col("_shard") == F.col("_of")
+    for g in group:
+        same &= F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    out = join_small(df, counts, same)
+    return out.withColumn(position, F.col("_at") + F.col("_base")).drop("_at", "_shard", "_of", "_base", *[f"_g_{g}" for g in group])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components by alternating large-star and small-star steps.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from cropcredit.llm import chat, langid, mixing, ngram_join, packing, pivot_index, quality, spotsigs, token_files, url_templates
+from cropcredit.llm import chat, langid, merkle, mixing, ngram_join, packing, pivot_index, quality, spotsigs, token_files, url_templates
 from cropcredit.llm.common import materialize, read_table, shared_dir
 
 
@@ -79,6 +79,12 @@ def op10_packing(spark, sf_dir):
                                   public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024, specials=True)
 
 
+def op13_merkle(spark, sf_dir):
+    hit = F.coalesce(_remainder(2) == 0, F.lit(False))
+    text = F.when(hit, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.verified(read_table(spark, sf_dir, "documents"), merkle.leaf_digest(text=text))
+
+
 #: Exact n-gram sets and similarities; components by recursion over the links.
 NGRAM_JOIN_SQL = """
 WITH RECURSIVE w AS (
@@ -158,6 +164,49 @@ FROM v JOIN c ON c.x = vec_id LEFT JOIN n ON n.x = vec_id
 """
 
 
+def _crc32_sql(text: str) -> str:
+    """crc32 of an ASCII string, bit by bit."""
+    bits = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: list_transform(range(8), lambda k: (ascii(({text})[i]) >> k) & 1)))"
+    step = "lambda c, b: CASE WHEN (xor(c, b) & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"xor(list_reduce(list_prepend(4294967295, CAST({bits} AS BIGINT[])), {step}), 4294967295)"
+
+
+def _merkle_sql() -> str:
+    """Both kinds of trees level by level, then one walk from each leaf to the root."""
+    def field(c):
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+
+    def leaf(text):
+        return f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, {leaf('text')} AS leaf, {leaf('got')} AS received
+  FROM (SELECT *, CASE WHEN {_crc32_sql('CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS got FROM documents)),
+l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n,
+  row_number() OVER () AS id FROM d),
+up AS (SELECT source, 0 AS lvl, pos, n, leaf AS node FROM l
+  UNION ALL SELECT source, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY source, lvl, pos // 3, n),
+sub AS (SELECT source, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS lvl, pos, n, subroot AS node FROM sub
+  UNION ALL SELECT lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY lvl, pos // 3, n),
+kids AS (SELECT source, lvl, pos // 3 AS up, list(node ORDER BY pos) AS c FROM up WHERE n > 1 GROUP BY ALL),
+kids2 AS (SELECT lvl, pos // 3 AS up, list(node ORDER BY pos) AS c FROM top WHERE n > 1 GROUP BY ALL),
+walk AS (SELECT id, source, 0 AS lvl, pos, n, received AS node, '' AS sib FROM l
+  UNION ALL SELECT id, w.source, w.lvl + 1, pos // 3, (n + 2) // 3,
+    sha256(array_to_string(c[1:pos % 3], '') || node || array_to_string(c[pos % 3 + 2:], '')),
+    sib || array_to_string(c[1:pos % 3], '') || array_to_string(c[pos % 3 + 2:], '')
+  FROM walk w JOIN kids k ON k.source IS NOT DISTINCT FROM w.source AND k.lvl = w.lvl AND k.up = w.pos // 3 WHERE n > 1),
+walk2 AS (SELECT w.id, 0 AS lvl, s.pos, s.n, w.node, w.sib FROM walk w JOIN sub s ON s.source IS NOT DISTINCT FROM w.source WHERE w.n = 1
+  UNION ALL SELECT id, w.lvl + 1, pos // 3, (n + 2) // 3,
+    sha256(array_to_string(c[1:pos % 3], '') || node || array_to_string(c[pos % 3 + 2:], '')),
+    sib || array_to_string(c[1:pos % 3], '') || array_to_string(c[pos % 3 + 2:], '')
+  FROM walk2 w JOIN kids2 k ON k.lvl = w.lvl AND k.up = w.pos // 3 WHERE n > 1)
+SELECT doc_id, leaf, subroot, root.node AS root, sha256(sib) AS proof_sha256, w.node AS folded_root, w.node = root.node AS verified
+FROM l JOIN walk2 w ON w.id = l.id AND w.n = 1 JOIN sub ON sub.source IS NOT DISTINCT FROM l.source, (SELECT node FROM top WHERE n = 1) root
+"""
+
+
 def _url_sql(rules=RULES, levels=url_templates.LEVELS) -> str:
     """The template tree, one pair of common tables per level."""
     cases = {"rule": [], "verdict": []}
@@ -200,9 +249,9 @@ FROM p{levels} JOIN t8 USING (host, template)
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_url_templates, op2_mixing, op3_ngram_join, op4_token_files, op5_quality, op6_langid,
-                                    op7_chat, op8_pivot_index, op9_spotsigs, op10_packing)}
+                                    op7_chat, op8_pivot_index, op9_spotsigs, op10_packing, op13_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_url_templates": _url_sql(), "op2_mixing": MIXING_SQL, "op3_ngram_join": NGRAM_JOIN_SQL,
-            "op7_chat": CHAT_SQL, "op8_pivot_index": EMBEDDING_SQL}
+            "op7_chat": CHAT_SQL, "op8_pivot_index": EMBEDDING_SQL, "op13_merkle": _merkle_sql()}
