@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from cropcredit.llm import chat, langid, merkle, mixing, ngram_join, packing, pivot_index, quality, spotsigs, token_files, url_templates
+from cropcredit.llm import chat, conversation_trie, langid, merkle, mixing, ngram_join, packing, pivot_index, quality, spotsigs, token_files, url_templates
 from cropcredit.llm.common import materialize, read_table, shared_dir
 
 
@@ -79,6 +79,12 @@ def op10_packing(spark, sf_dir):
                                   public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024, specials=True)
 
 
+def op11_conversation_trie(spark, sf_dir):
+    turns = materialize(conversation_trie.ordered_turns(read_table(spark, sf_dir, "conversations")), "turns")
+    turns, convs = conversation_trie.rebuilt(turns, 20, lambda c: F.crc32(c.cast("string")) % 4)
+    return conversation_trie.trie(turns, convs)
+
+
 def op13_merkle(spark, sf_dir):
     hit = F.coalesce(_remainder(2) == 0, F.lit(False))
     text = F.when(hit, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
@@ -207,6 +213,31 @@ FROM l JOIN walk2 w ON w.id = l.id AND w.n = 1 JOIN sub ON sub.source IS NOT DIS
 """
 
 
+#: Every prefix of every rebuilt conversation under its own digest; subtree sums over the smallest members' prefixes.
+TRIE_SQL = f"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS pos, k, w FROM (
+  SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS w FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, {_crc32_sql('CAST(conv_id AS VARCHAR)')} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, pos, k, w FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND pos <= h
+  UNION ALL SELECT conv_id, pos, k, w FROM c JOIN t USING (conv_id) WHERE pos > h),
+s AS (SELECT conv_id, list(k ORDER BY pos) FILTER (k IS NOT NULL) AS ks, list(w ORDER BY pos) FILTER (k IS NOT NULL) AS ws
+  FROM c LEFT JOIN r USING (conv_id) GROUP BY conv_id),
+q AS (SELECT conv_id, l, depth, sha256(array_to_string(ks[1:depth], ' ')) AS key,
+    CASE WHEN depth > 0 THEN sha256(array_to_string(ks[1:depth - 1], ' ')) END AS parent, coalesce(ws[depth], 0) AS w
+  FROM (SELECT *, coalesce(len(ks), 0) AS l, unnest(range(coalesce(len(ks), 0) + 1)) AS depth FROM s)),
+q2 AS (SELECT * REPLACE (coalesce(key, sha256('')) AS key, CASE WHEN depth = 1 THEN sha256('') ELSE parent END AS parent) FROM q),
+n AS (SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(parent) AS parent, any_value(w) AS w,
+  sha256(coalesce(string_agg(CASE WHEN l = depth THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends FROM q2 GROUP BY key, depth),
+k AS (SELECT parent AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY parent),
+o AS (SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * w AS own FROM n LEFT JOIN k USING (key)),
+b AS (SELECT q2.key, count(*) FILTER (n_children = 0) AS n_leaves, sum(own) AS saved FROM o JOIN q2 ON q2.conv_id = o.conv_id AND q2.depth <= o.depth GROUP BY q2.key)
+SELECT o.conv_id, CAST(o.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, o.ends AS ends_sha256
+FROM o JOIN b USING (key) LEFT JOIN o p ON p.key = o.parent
+"""
+
+
 def _url_sql(rules=RULES, levels=url_templates.LEVELS) -> str:
     """The template tree, one pair of common tables per level."""
     cases = {"rule": [], "verdict": []}
@@ -249,9 +280,10 @@ FROM p{levels} JOIN t8 USING (host, template)
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_url_templates, op2_mixing, op3_ngram_join, op4_token_files, op5_quality, op6_langid,
-                                    op7_chat, op8_pivot_index, op9_spotsigs, op10_packing, op13_merkle)}
+                                    op7_chat, op8_pivot_index, op9_spotsigs, op10_packing, op11_conversation_trie, op13_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_url_templates": _url_sql(), "op2_mixing": MIXING_SQL, "op3_ngram_join": NGRAM_JOIN_SQL,
-            "op7_chat": CHAT_SQL, "op8_pivot_index": EMBEDDING_SQL, "op13_merkle": _merkle_sql()}
+            "op7_chat": CHAT_SQL, "op8_pivot_index": EMBEDDING_SQL, "op11_conversation_trie": TRIE_SQL,
+            "op13_merkle": _merkle_sql()}
