@@ -92,6 +92,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def one_row_each(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """``sample`` (doc_id and other columns; a bounded number of rows, one per doc_id) with the column text of each
+    document. Of rows that repeat a doc_id the one with the smallest text by hash is taken, so as many rows come out at
+    most."""
+    text = F.col("text").cast("string")
+    found = docs.select("doc_id", text.alias("text")).join(F.broadcast(sample), "doc_id")
+    rest = [c for c in sample.columns if c != "doc_id"]
+    first = F.min(F.struct(F.xxhash64("text"), "text")).alias("t")
+    return found.groupBy("doc_id", *rest).agg(first).select("doc_id", *rest, F.col("t.text").alias("text"))
+
+
 #: Rows that one range shard of ``ranked`` takes (about).
 SHARD_ROWS = 500_000
 

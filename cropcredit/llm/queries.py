@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from cropcredit.llm import chat, conversation_trie, langid, merkle, mixing, ngram_join, packing, pivot_index, quality, spotsigs, token_files, url_templates
+from cropcredit.llm import chat, conversation_trie, langid, merkle, mixing, ngram_join, packing, pivot_index, quality, spotsigs, token_files, toxicity, url_templates
 from cropcredit.llm.common import materialize, read_table, shared_dir
 
 
@@ -85,6 +85,14 @@ def op11_conversation_trie(spark, sf_dir):
     return conversation_trie.trie(turns, convs)
 
 
+def op12_toxicity(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    return toxicity.score(docs, model, "score").select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.ACCEPT).cast("int").alias("predicted"))
+
+
 def op13_merkle(spark, sf_dir):
     hit = F.coalesce(_remainder(2) == 0, F.lit(False))
     text = F.when(hit, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
@@ -280,7 +288,7 @@ FROM p{levels} JOIN t8 USING (host, template)
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_url_templates, op2_mixing, op3_ngram_join, op4_token_files, op5_quality, op6_langid,
-                                    op7_chat, op8_pivot_index, op9_spotsigs, op10_packing, op11_conversation_trie, op13_merkle)}
+                                    op7_chat, op8_pivot_index, op9_spotsigs, op10_packing, op11_conversation_trie, op12_toxicity, op13_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
