@@ -51,7 +51,9 @@ def piece_starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 class Encoder:
     """Ids of whole texts; ``path`` is a file of the tokenizers library. Known pieces are kept by
-    64-bit hash in sorted arrays (about 30 bytes a piece), over all tasks of a Python worker."""
+    64-bit hash in sorted arrays (about 50 bytes a piece), over all tasks of a Python worker. Their bytes are kept too:
+    a block's bytes are put together from its known pieces and compared, so that pieces of one hash can't take
+    each other's ids (a block where they differ is encoded text by text)."""
 
     def __init__(self, path: str, specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -61,6 +63,7 @@ class Encoder:
         self.tok.no_padding()
         self.tok.no_truncation()
         self.tok.encode_special_tokens = not specials
+        self.seed = int.from_bytes(os.urandom(7), "little")
         self.kind = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self._clear()
 
@@ -69,8 +72,18 @@ class Encoder:
         self.at = np.zeros(0, np.int64)  # piece k: flat[at[k]:at[k] + size[k]]
         self.size = np.zeros(0, np.int32)
         self.flat, self.used = np.zeros(1 << 16, self.kind), 0
-
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        self.raw_at = np.zeros(0, np.int64)  # and its bytes: raw[raw_at[k]:raw_at[k] + raw_size[k]]
+        self.raw_size = np.zeros(0, np.int64)
+        self.raw, self.raw_used = np.zeros(1 << 16, np.uint8), 0
+
+    def _learn(self, keys: np.ndarray, raw: list[bytes]) -> None:
+        pieces = [r.decode() for r in raw]
+        raw_size = np.fromiter(map(len, raw), np.int64, len(raw))
+        raw_at = self.raw_used + np.cumsum(raw_size) - raw_size
+        while self.raw_used + int(raw_size.sum()) > len(self.raw):
+            self.raw = np.concatenate([self.raw, np.zeros_like(self.raw)])
+        self.raw[self.raw_used: self.raw_used + int(raw_size.sum())] = np.frombuffer(b"".join(raw), np.uint8)
+        self.raw_used += int(raw_size.sum())
         at, size = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int32)
         for lo in range(0, len(pieces), 4096):
             got = [e.ids for e in self.tok.encode_batch_fast(pieces[lo: lo + 4096], add_special_tokens=False)]
@@ -86,6 +99,21 @@ class Encoder:
         self.key = np.insert(self.key, place, keys)
         self.at = np.insert(self.at, place, at)
         self.size = np.insert(self.size, place, size)
+        self.raw_at = np.insert(self.raw_at, place, raw_at)
+        self.raw_size = np.insert(self.raw_size, place, raw_size)
+
+    def _same(self, data: np.ndarray, code: np.ndarray, size: np.ndarray) -> bool:
+        """Whether the known pieces ``code``, joined, are ``data`` (the joined pieces of sizes ``size``)."""
+        if not np.array_equal(self.raw_size[code], size):
+            return False
+        take = np.repeat(self.raw_at[code] - (np.cumsum(size) - size), size)
+        take += np.arange(len(data))
+        return np.array_equal(self.raw[take], data)
+
+    def _plain(self, arr: pa.LargeStringArray):
+        got = [e.ids for e in self.tok.encode_batch_fast(arr.to_pylist(), add_special_tokens=False)]
+        offs = np.concatenate([[0], np.cumsum([len(g) for g in got])])
+        return np.fromiter(chain.from_iterable(got), np.uint32, int(offs[-1])), offs
 
     def block(self, arr: pa.LargeStringArray):
         """(ids of all texts joined, offsets of each text's ids) for one block of texts."""
@@ -95,7 +123,7 @@ class Encoder:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(arr) + 1, np.int64)
         ends = np.append(starts[1:], len(data))
-        keys, first, code = np.unique(run_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        keys, first, code = np.unique(run_hashes(data, starts, ends, self.seed), return_index=True, return_inverse=True)
         if len(self.key) > KEEP_PIECES:
             self._clear()
         where = np.searchsorted(self.key, keys)
@@ -104,9 +132,11 @@ class Encoder:
             new = self.key[np.minimum(where, len(self.key) - 1)] != keys
         if new.any():
             raw, f = data.tobytes(), first[new]
-            self._learn(keys[new], [raw[a:b].decode() for a, b in zip(starts[f].tolist(), ends[f].tolist())])
+            self._learn(keys[new], [raw[a:b] for a, b in zip(starts[f].tolist(), ends[f].tolist())])
             where = np.searchsorted(self.key, keys)
         code = where[code]
+        if not self._same(data, code, ends - starts):
+            return self._plain(arr)
         sizes = self.size[code].astype(np.int64)
         done = np.concatenate([[0], np.cumsum(sizes)])
         take = np.repeat(self.at[code] - done[:-1], sizes) + np.arange(int(done[-1]))

@@ -7,6 +7,8 @@ The same rule in a regular expression over lower-cased text:
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,12 +16,9 @@ import pyarrow.compute as pc
 #: Texts are worked on in blocks of about so many bytes (a longer text is a block of its own).
 BLOCK_BYTES = 1 << 20
 
-_rng = np.random.default_rng(20240607)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_P = np.uint64(0x9E3779B97F4A7C15)
-_PINV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-_POW = np.ones(1, np.uint64)
-_INV = np.ones(1, np.uint64)
+#: Runs up to this size are hashed eight bytes at a time, side by side; longer ones by BLAKE2b.
+LONG_RUN = 1024
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the low k bytes
 
 WORD = np.zeros(256, bool)
 WORD[128:] = True
@@ -35,16 +34,6 @@ def mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
-def _powers(n: int):
-    global _POW, _INV
-    if len(_POW) <= n:
-        size = max(n + 1, BLOCK_BYTES + 1)
-        with np.errstate(over="ignore"):
-            _POW = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, _P)]), dtype=np.uint64)
-            _INV = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, _PINV)]), dtype=np.uint64)
-    return _POW, _INV
-
-
 def as_strings(col) -> pa.LargeStringArray:
     """One array of 64-bit offset strings, nulls as empty."""
     if isinstance(col, pa.ChunkedArray):
@@ -75,14 +64,22 @@ def blocks(arr: pa.LargeStringArray, block_bytes: int = BLOCK_BYTES):
         lo = hi
 
 
-def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte run [start, end)."""
-    pw, inv = _powers(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    with np.errstate(over="ignore"):
-        np.cumsum(_BYTE[data] * pw[: len(data)], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * inv[starts]
-        return mix(h + (ends - starts).astype(np.uint64))
+def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each byte run [start, end): each eight bytes are mixed into the state by a finaliser that is no
+    linear function of them, so regular texts don't collide as they do under polynomial hashes."""
+    size = ends - starts
+    out = mix(size.astype(np.uint64) + np.uint64(seed) + np.uint64(0x9E3779B97F4A7C15))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    on, k = np.flatnonzero((size > 0) & (size <= LONG_RUN)), 0
+    while len(on):
+        left = size[on] - k
+        out[on] = mix(out[on] ^ (eight[starts[on] + k] & _LOW[np.minimum(left, 8)]))
+        on, k = on[left > 8], k + 8
+    for r in np.flatnonzero(size > LONG_RUN).tolist():
+        h = hashlib.blake2b(data[starts[r]: ends[r]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little"))
+        out[r] = np.uint64(int.from_bytes(h.digest(), "little"))
+    return out
 
 
 def runs(mask: np.ndarray, offs: np.ndarray):
@@ -112,3 +109,13 @@ def words(arr: pa.LargeStringArray):
 def first_of(text: np.ndarray, n: int) -> np.ndarray:
     """Offsets (n + 1) of each text's items in a list sorted by text."""
     return np.searchsorted(text, np.arange(n + 1), "left")
+
+
+def word_digests(n_texts: int, text: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """128 bits of SHA-256 over each text's words, each followed by a blank (what ``words`` gives)."""
+    size = ends - starts
+    kept = data[np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+    joined = np.insert(kept, np.cumsum(size), 32)
+    upto = np.concatenate([[0], np.cumsum(size + 1)])[first_of(text, n_texts)]
+    raw = joined.tobytes()
+    return [hashlib.sha256(raw[a:b]).digest()[:16] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist())]

@@ -6,8 +6,8 @@ probabilities are the mean over all its positions that belong to words. Windows
 text; states start anew in each window, so windows of many texts are stepped through together.
 
 Training: numpy, back-propagation through time, Adam, on the driver, over a bounded sample: about
-``SAMPLE_PER_LANG`` documents of each language (by hash of the id) and at most
-``WINDOWS_PER_DOC`` windows of each, spread evenly over the whole text.
+``SAMPLE_PER_LANG`` documents of each language (by hash of the id; of rows that repeat a doc_id one, that with the
+smallest text by hash), all windows of their whole texts.
 
 Texts that are null or hold no letter get ``und`` with score 0. Without learnable rows every text
 does. Copies are labelled alike.
@@ -27,7 +27,6 @@ from cropcredit.llm.common import free_name, map_arrow
 WINDOW = 48
 HIDDEN = 8
 SAMPLE_PER_LANG = 400
-WINDOWS_PER_DOC = 12
 STEPS = 400
 BATCH = 96
 BLOCK = 1 << 18
@@ -246,12 +245,13 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> LanguageModel | N
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(
         "doc_id is not null and lang is not null and text is not null").where(
         F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
-    counts = sorted((r["lang"], r["count"]) for r in rows.groupBy("lang").count().collect())  # one row per language
+    counts = sorted((r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect())  # one row per language
     if not counts:
         return None
     share = F.create_map(*[F.lit(v) for lang, n in counts for v in (lang, min(1.0, per_lang / n))])
     u = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 30)) / (1 << 30)
-    picked = rows.where(u < share[F.col("lang")])
+    first = F.min(F.struct(F.xxhash64("text"), "text", "lang")).alias("r")
+    picked = rows.where(u < share[F.col("lang")]).groupBy("doc_id").agg(first).select("r.text", "r.lang")
 
     def run(batches):
         for b in batches:
@@ -259,14 +259,10 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> LanguageModel | N
             data, offs = buffers(arr)
             text, starts = windows(offs)
             if len(text):
-                n = np.bincount(text, minlength=len(arr))
-                rank = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
-                every = -(-n // WINDOWS_PER_DOC)
-                use = rank % every[text] == 0
-                got, counted = cut(data, offs, text[use], starts[use])
+                got, counted = cut(data, offs, text, starts)
                 x = [c.astype(np.uint8).tobytes() for c in got.T]
                 on = [c.astype(np.uint8).tobytes() for c in counted.T]
-                lang = b.column(1).take(pa.array(text[use])).to_pylist()
+                lang = b.column(1).take(pa.array(text)).to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(x, pa.binary()), pa.array(on, pa.binary())],
                                              names=["lang", "x", "on"])
 

@@ -5,7 +5,7 @@ set holds its distinct runs of ``n`` words (a text of fewer words has one: all i
 without words has none and links with nothing). Two documents link if the Jaccard similarity of
 their sets is at least the threshold.
 
-1. Each text becomes a class key (128 bits of its word sequence) and band hashes of its MinHash
+1. Each text becomes a class key (128 bits of SHA-256 of its words) and band hashes of its MinHash
    values; rows and bands are chosen so that a pair at the threshold meets in some band with the
    target recall. Texts with equal word sequences are one class; a class joins once, however many
    copies it has.
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cropcredit.llm.bytes_np import as_strings, blocks, first_of, mix, words
+from cropcredit.llm.bytes_np import as_strings, blocks, first_of, mix, word_digests, words
 from cropcredit.llm.common import block_units, components, free_name, join_small, map_arrow, materialize, ship
 
 N = 5
@@ -85,22 +85,6 @@ def shingles(h: np.ndarray, text: np.ndarray, n_texts: int, n: int):
     return g, of
 
 
-def sequence_keys(h: np.ndarray, text: np.ndarray, n_texts: int) -> list[bytes]:
-    """128 bits of each text's word sequence."""
-    first = first_of(text, n_texts)
-    out = np.zeros((n_texts, 2), np.uint64)
-    lens = np.diff(first)
-    rank = (np.arange(len(h)) - np.repeat(first[:-1], lens)).astype(np.uint64)
-    some = lens > 0
-    with np.errstate(over="ignore"):
-        for j, salt in enumerate((0xD6E8FEB86659FD93, 0xA0761D6478BD642F)):
-            v = mix(mix(h + np.uint64(salt)) + rank * np.uint64(salt))
-            if some.any():
-                out[some, j] = np.add.reduceat(v, first[:-1][some])
-            out[:, j] = mix(out[:, j] + lens.astype(np.uint64))
-    return [r.tobytes() for r in out]
-
-
 def band_hashes(g: np.ndarray, of: np.ndarray, n_texts: int, rows: int, bands: int) -> np.ndarray:
     """(texts, bands) hashes of the MinHash values; texts without n-grams get 0s."""
     rng = np.random.default_rng(97)
@@ -130,9 +114,9 @@ def described(docs: DataFrame, n: int, rows: int, bands: int) -> DataFrame:
             cls, count, band = [], [], []
             for lo, hi in blocks(arr):
                 m = hi - lo
-                h, text, *_ = words(arr.slice(lo, m))
+                h, text, *found = words(arr.slice(lo, m))
                 g, of = shingles(h, text, m, n)
-                cls += sequence_keys(h, text, m)
+                cls += word_digests(m, text, *found)
                 count.append(np.bincount(of, minlength=m))
                 band.append(band_hashes(g, of, m, rows, bands))
             flat = np.concatenate(band).astype(np.int64).ravel() if band else np.zeros(0, np.int64)
@@ -152,12 +136,12 @@ def full_sets(texts: DataFrame, n: int) -> DataFrame:
         for b in batches:
             arr = as_strings(b.column(0))
             for lo, hi in blocks(arr):
-                h, text, *_ = words(arr.slice(lo, hi - lo))
+                h, text, *found = words(arr.slice(lo, hi - lo))
                 g, of = shingles(h, text, hi - lo, n)
                 first = first_of(of, hi - lo)
                 sets = [np.unique(g[first[k]: first[k + 1]]).tobytes() for k in range(hi - lo)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sequence_keys(h, text, hi - lo), pa.binary()), pa.array(sets, pa.binary())], names=["cls", "grams"])
+                    [pa.array(word_digests(hi - lo, text, *found), pa.binary()), pa.array(sets, pa.binary())], names=["cls", "grams"])
 
     return map_arrow(texts.select("text"), run, "cls binary, grams binary")
 

@@ -13,7 +13,7 @@ documents of each label, those with the smallest hash of their id). Scoring: eve
 batches worked on in blocks of 1 MB.
 
 Null and empty texts are scored from the features of an empty text. Repeated labels of one document
-count as the lowest. Without labelled rows every score is 0.5. Copies score alike.
+count as the lowest; of rows that repeat a doc_id one is learned from (the smallest text by hash). Without labelled rows every score is 0.5. Copies score alike.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cropcredit.llm.bytes_np import as_strings, blocks, buffers, runs, words
-from cropcredit.llm.common import free_name, map_arrow
+from cropcredit.llm.common import free_name, map_arrow, one_row_each
 
 WORD_BUCKETS = 2048
 FACTORS = 8
@@ -133,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
                                              names=["quality", "at", "val"])
 
     sample = labelled_sample(labels, per_class)  # bounded by 2 * per_class rows
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    texts = one_row_each(docs, sample)
     rows = map_arrow(texts.select(F.col("quality").cast("int"), "text"), run, "quality int, at binary, val binary").collect()
     if not rows:
         return None

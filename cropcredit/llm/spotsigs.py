@@ -152,13 +152,13 @@ def in_ranges(docs: DataFrame, ranges: int) -> DataFrame:
         of = F.create_map(*[F.lit(v) for b, p in parts.items() for v in (b, p)])[F.col("_b")]
         sub = F.coalesce(F.floor((F.col("key") / 2.0**64 + 0.5) * of), F.lit(0))
     d = d.withColumn("r", F.col("_b") * F.lit(1 + max(parts.values(), default=0)) + sub).drop("_b")
-    rank = F.struct(-F.col("doc_id"), F.col("key"))  # one range never mixes null and other ids
+    rank = F.struct(F.bitwise_not("doc_id"), F.col("key"))  # one range never mixes null and other ids
     heads = sorted(d.groupBy("r").agg(F.min(rank).alias("head")).collect(), key=lambda x: x["r"])  # one row per range
     if not heads:
         return d.withColumn("ghost", F.lit(False))
     spark = docs.sparkSession
     before = spark.createDataFrame(
-        [(h["r"], h["head"]["key"], None if h["head"][0] is None else -h["head"][0], heads[k - 1]["r"]) for k, h in enumerate(heads)],
+        [(h["r"], h["head"]["key"], None if h["head"][0] is None else ~h["head"][0], heads[k - 1]["r"]) for k, h in enumerate(heads)],
         "r long, key long, head long, to long")
     d = d.join(F.broadcast(before), ["r", "key"], "left")
     head = F.col("to").isNotNull() & F.col("doc_id").eqNullSafe(F.col("head"))
