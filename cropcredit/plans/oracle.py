@@ -290,6 +290,15 @@ def queries() -> dict[str, str]:
     q["labels_target_18m"] = _with(SILVER, LABEL_BASE, TARGET) + "\nSELECT * FROM target"
     q["labels_first_default"] = _with(SILVER, LABEL_BASE, FIRST_DEFAULT) + "\nSELECT * FROM fd"
     q["labels_vintage_matrix"] = _with(SILVER, LABEL_BASE, FIRST_DEFAULT, VINTAGE) + "\nSELECT * FROM vintage"
+    q["labels_vintage_long"] = _with(SILVER, LABEL_BASE, FIRST_DEFAULT) + f"""
+SELECT ref_bacen, nu_ordem, mutuario, CAST(d AS INTEGER) AS delta, CAST(coalesce(d >= first_default, false) AS INTEGER) AS inadimplente
+FROM fd, range(0, {N + 1}) t(d)"""
+    q["business_life_table"] = _with(SILVER, LABEL_BASE, FIRST_DEFAULT, CROP) + f"""
+SELECT safra, CAST(d AS INTEGER) AS delta, risk AS em_risco, now AS inadimplentes, total - risk + now AS acumulado,
+  CASE WHEN risk > 0 THEN now / risk END AS taxa_mensal, (total - risk + now) / total AS taxa_acumulada
+FROM (SELECT safra, d, count(*) AS total, count(*) FILTER (first_default IS NULL OR first_default >= d) AS risk,
+    count(*) FILTER (first_default = d) AS now
+  FROM fd JOIN saf USING (ref_bacen, nu_ordem), range(0, {N + 1}) t(d) WHERE safra IS NOT NULL GROUP BY safra, d)"""
     q["labels_summary"] = _with(SILVER, LABEL_BASE, TARGET) + (
         "\nSELECT COUNT(*) AS n_rows, AVG(target_18m) AS rate FROM target")
     for f in FE.FEATURES:

@@ -19,6 +19,7 @@ from cropcredit.config import (
 from cropcredit.operators import business as B
 from cropcredit.operators import features as FE
 from cropcredit.operators import labels as L
+from cropcredit.operators import vintage as VT
 
 BUSINESS_FEATURES = ("uf", "finalidade", "atividade", "produto")
 
@@ -114,14 +115,24 @@ class Portfolio:
     def aggregates(self) -> DataFrame:
         return B.aggregates(self.operation_base())
 
-    def vintage_curve(self) -> DataFrame:
-        """Mean cumulative default per delta by crop year over the borrower-level matrix: each
-        operation weighs as many rows as its contract has distinct borrowers, without the fan-out."""
+    def vintage_long(self) -> DataFrame:
+        """The vintage matrix with a row per month: keys, delta, inadimplente. Months are the last expansion."""
+        v = L.fan_out(self._op_vintage(self.op_labels), self.borrower_pairs)
+        return VT.long_form(v, KEYS, self.n_deltas)
+
+    def _event_histogram(self) -> DataFrame:
+        """First defaults by crop year over borrower rows: each operation weighs as many rows as its contract has
+        distinct borrowers, without the fan-out."""
         n = self.borrower_pairs.groupBy("ref_bacen").agg(F.count("*").alias("_w"))
-        v = self._with_safra(self._op_vintage(self.op_labels)).where(F.col("safra").isNotNull()).join(n, "ref_bacen")
-        v = v.select("safra", "_w", *L.vintage_columns("first_default", self.n_deltas))
-        return v.groupBy("safra").agg(*[
-            (F.sum(F.col(f"`{d}`") * F.col("_w")) / F.sum("_w")).alias(str(d)) for d in range(self.n_deltas + 1)])
+        v = self._with_safra(self._op_vintage(self.op_labels)).where(F.col("safra").isNotNull())
+        return VT.event_histogram(v.join(n, "ref_bacen"), ["safra"], weight="_w")
+
+    def life_table(self) -> DataFrame:
+        return VT.life_table(self._event_histogram(), ["safra"], self.n_deltas)
+
+    def vintage_curve(self) -> DataFrame:
+        """Mean cumulative default per delta by crop year over the borrower-level matrix."""
+        return VT.curve(self.life_table(), ["safra"], self.n_deltas)
 
 
 def scoring_base(silver, segment: str = "uf", horizon: int = HORIZON,

@@ -103,6 +103,14 @@ def q_vintage_curve(spark, sf):
     return portfolio(spark, sf).vintage_curve()
 
 
+def q_vintage_long(spark, sf):
+    return portfolio(spark, sf).vintage_long()
+
+
+def q_life_table(spark, sf):
+    return portfolio(spark, sf).life_table()
+
+
 def _base(spark, sf):
     """Scoring base (keys, label, segment, crop year), built once: rates, folds and scored rows are
     all read from it."""
@@ -280,6 +288,7 @@ def queries() -> dict:
         "labels_target_18m": q_target,
         "labels_first_default": q_first_default,
         "labels_vintage_matrix": q_vintage,
+        "labels_vintage_long": q_vintage_long,
         "labels_summary": q_label_summary,
     }
     for f in FE.FEATURES:
@@ -292,6 +301,7 @@ def queries() -> dict:
         "business_top_categories": q_top_categories,
         "business_display": q_display,
         "business_vintage_curve": q_vintage_curve,
+        "business_life_table": q_life_table,
         "model_naive_scores": q_naive_scores,
         "metrics_core": q_metrics_core,
         "metrics_calibration": q_metrics_calibration,
