@@ -27,10 +27,11 @@ def life_table(histogram: DataFrame, by: Sequence[str], n_deltas: int) -> DataFr
     """(by, delta 0..n_deltas, em_risco, inadimplentes, acumulado, taxa_mensal, taxa_acumulada): rows not yet in default
     at the start of the month, defaults in it and up to it, hazard (NULL when nobody is at risk) and cumulative rate."""
     keys = list(by)
-    total = histogram.groupBy(*keys).agg(F.sum("n").alias("_total"))  # one row per group
-    months = total.select(*keys, "_total", F.explode(F.sequence(F.lit(0), F.lit(n_deltas))).alias("delta"))
-    found = histogram.where(F.col("delta").between(0, n_deltas))
-    x = months.join(found, [*keys, "delta"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    in_window = F.col("delta").between(0, n_deltas)
+    groups = histogram.groupBy(*keys).agg(  # one read of the histogram; at most n_deltas + 1 counts in a row
+        F.sum("n").alias("_total"), F.map_from_entries(F.collect_list(F.when(in_window, F.struct("delta", "n")))).alias("_n"))
+    x = groups.select(*keys, "_total", "_n", F.explode(F.sequence(F.lit(0), F.lit(n_deltas))).alias("delta"))
+    x = x.withColumn("n", F.coalesce(F.try_element_at("_n", "delta"), F.lit(0)))
     so_far = F.sum("n").over(W.partitionBy(*keys).orderBy("delta").rowsBetween(W.unboundedPreceding, W.currentRow))
     x = x.withColumn("acumulado", so_far)
     at_risk = F.col("_total") - F.col("acumulado") + F.col("n")
