@@ -3,7 +3,7 @@ regression and gradient-boosted trees, with the preprocessing they share.
 
 Fitting runs on executors (Spark ML / DataFrame aggregations). Fitted state that
 reaches the driver is bounded: per-category frequency tops (<= max_categories per
-column), medians and standard deviations, segment rates (one row per segment, joined
+column), quantile bounds, medians and standard deviations, segment rates (one row per segment, joined
 back as a broadcast of counted size), model coefficients.
 """
 
@@ -12,12 +12,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cropcredit.operators.metrics import exact_quantiles
+from cropcredit.operators.ranks import order_statistics, top_values
 from cropcredit.session import counted_broadcast, written
 
 
@@ -60,7 +60,11 @@ class Preprocessor:
     (max_categories-1 when a column has more than max_categories values) plus
     an "infrequent" indicator; unseen values go to "infrequent" (all zeros if the
     column had no infrequent class). Numeric: median imputation, division by the
-    population standard deviation (no centring; zero deviation -> 1)."""
+    population standard deviation (no centring; zero deviation -> 1).
+
+    Fitting takes one job for all categorical columns and a few passes for all numeric ones. A row becomes
+    a sparse vector: each category column looks its value up in a dictionary and adds one index, so neither the plan
+    nor the row grows with the number of categories."""
 
     cat_cols: list
     num_cols: list
@@ -70,54 +74,42 @@ class Preprocessor:
     scales: dict = field(default_factory=dict)
 
     def fit(self, train: DataFrame) -> "Preprocessor":
-        if self.cat_cols:
-            # (column, value) frequencies in one written aggregation; per column the number of values
-            # and, by a distributed top-k, the most frequent ones reach the driver
-            pairs = F.array(*[
-                F.struct(F.lit(c).alias("col"), F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias("v"))
-                for c in self.cat_cols
-            ])
-            freq = train.select(F.inline(pairs)).groupBy("col", "v").agg(F.count(F.lit(1)).alias("n"))
-            freq = written(freq, "categories")
-            n_values = {r["col"]: r["nv"] for r in freq.groupBy("col").agg(F.count("*").alias("nv")).collect()}
-            for c in self.cat_cols:
-                has_infreq = n_values.get(c, 0) > self.max_categories
-                top = freq.where(F.col("col") == c).orderBy(F.col("n").desc(), F.col("v").desc()).limit(
-                    self.max_categories - 1 if has_infreq else self.max_categories)
-                self.categories[c] = (sorted(r["v"] for r in top.collect()), has_infreq)
-        for c in self.num_cols:
-            med = exact_quantiles(train.where(F.col(c).isNotNull()), c, 2).where("k = 1").first()
-            self.medians[c] = float(med["value"]) if med and med["value"] is not None else 0.0
-        if self.num_cols:
-            row = train.agg(*[
-                F.stddev_pop(F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c]))).alias(c)
-                for c in self.num_cols
-            ]).first()
-            for c in self.num_cols:
-                sd = row[c]
-                self.scales[c] = float(sd) if sd and sd > 0 else 1.0
+        for c, (top, n_values) in top_values(train, self.cat_cols, self.max_categories).items():
+            infrequent = n_values > self.max_categories
+            self.categories[c] = (sorted(top[: self.max_categories - 1] if infrequent else top), infrequent)
+        for c, s in order_statistics(train, self.num_cols).items():
+            self.medians[c] = float(s.median) if s.median is not None else 0.0
+            sd = s.filled_deviation()
+            self.scales[c] = float(sd) if sd > 0 else 1.0
         return self
 
-    def columns(self):
+    def names(self) -> list[str]:
+        """Names of the vector's places, in order."""
         out = []
         for c in self.cat_cols:
-            col = F.coalesce(F.col(c).cast("string"), F.lit("NA"))
-            kept, infreq = self.categories[c]
-            for v in kept:
-                out.append((col == F.lit(v)).cast("double").alias(f"{c}={v}"))
-            if infreq:
-                out.append((~col.isin(kept)).cast("double").alias(f"{c}=infrequent"))
-        for c in self.num_cols:
-            x = F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c])) / F.lit(self.scales[c])
-            out.append(x.alias(c))
-        return out
+            kept, infrequent = self.categories[c]
+            out += [f"{c}={v}" for v in kept] + ([f"{c}=infrequent"] if infrequent else [])
+        return out + list(self.num_cols)
 
     def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
-        cols = self.columns()
-        names = [f"_x{i}" for i in range(len(cols))]
-        x = df.select("*", *[c.alias(n) for c, n in zip(cols, names)])
-        va = VectorAssembler(inputCols=names, outputCol=out)
-        return va.transform(x).drop(*names)
+        """``df`` with the sparse vector ``out``. Spark's string indexer keeps unseen values as one index past the
+        known ones: the infrequent indicator of a column that has one, dropped (all zeros) otherwise."""
+        filled = {f"_v{i}": F.coalesce(F.col(c).cast("string"), F.lit("NA")) for i, c in enumerate(self.cat_cols)}
+        numbers = {f"_n{i}": F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(self.medians[c])) / F.lit(self.scales[c])
+                   for i, c in enumerate(self.num_cols)}
+        x, places = df.withColumns(filled | numbers), []
+        for infrequent in (True, False):
+            some = [i for i, c in enumerate(self.cat_cols) if self.categories[c][1] == infrequent and self.categories[c][0]]
+            if not some:
+                continue
+            at, one = [f"_i{i}" for i in some], [f"_o{i}" for i in some]
+            for i in some:
+                x = StringIndexerModel.from_labels(self.categories[self.cat_cols[i]][0], f"_v{i}", f"_i{i}", handleInvalid="keep").transform(x)
+            x = OneHotEncoder(inputCols=at, outputCols=one, dropLast=not infrequent).fit(x).transform(x)
+            places += list(zip(some, one))
+        inputs = [one for _, one in sorted(places)] + list(numbers)
+        va = VectorAssembler(inputCols=inputs, outputCol=out)
+        return va.transform(x).drop(*filled, *numbers, *[f"_i{i}" for i, _ in places], *[one for _, one in places])
 
 
 # --- M2 / M3 ---------------------------------------------------------------------------------

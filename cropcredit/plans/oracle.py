@@ -518,6 +518,23 @@ FROM years y JOIN gm ON gm.g = y.safra"""
     return q
 
 
+def _sparse_sql(cons: str, freq: str, cats, nums, kept: int = 8) -> str:
+    """Places of each row's vector: the categories' places by rank, then the numbers'."""
+    order = _list(cats)
+    places = [f"(SELECT coalesce(max(place), (SELECT max(place) FROM dict WHERE feature = '{c}' AND v IS NULL)) FROM dict WHERE feature = '{c}' AND v = coalesce(c.{c}, 'NA'))"
+              for c in cats]
+    numbers = [f"CASE WHEN coalesce(c.{c}, (SELECT median({c}) FROM consolidated)) <> 0 THEN (SELECT count(*) FROM dict) + {i} END" for i, c in enumerate(nums)]
+    return cons + f"""
+, freq AS ({freq}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, v DESC) AS rk, count(*) OVER (PARTITION BY feature) AS nv FROM freq),
+known AS (SELECT feature, v FROM ranked WHERE rk <= CASE WHEN nv > {kept} THEN {kept - 1} ELSE {kept} END
+  UNION ALL SELECT DISTINCT feature, CAST(NULL AS VARCHAR) FROM ranked WHERE nv > {kept}),
+dict AS (SELECT *, row_number() OVER (ORDER BY list_position({order}, feature), v NULLS LAST) - 1 AS place FROM known),
+placed AS (SELECT c.ref_bacen, c.nu_ordem, c.mutuario, [{', '.join(places + numbers)}] AS p FROM consolidated c)
+SELECT ref_bacen, nu_ordem, mutuario, CAST(len(list_filter(p, lambda x: x IS NOT NULL)) AS BIGINT) AS places,
+  CAST(list_sum(p) AS BIGINT) AS place_sum, true AS sparse FROM placed"""
+
+
 def loading_queries(cons: str) -> dict[str, str]:
     """Ingestion, loading and preprocessing; ``cons``: common tables up to the modelling table."""
     cats, nums = FE.CAT_FEATURES, FE.NUM_FEATURES
@@ -542,6 +559,7 @@ UNION ALL SELECT DISTINCT feature, '*' FROM ranked WHERE nv > 8"""
         f"SELECT '{c}' AS feature, round(m, 9) AS median, round(CASE WHEN s > 0 THEN s ELSE 1 END, 9) AS scale FROM "
         f"(SELECT any_value(m) AS m, stddev_pop(coalesce({c}, m)) AS s FROM consolidated, (SELECT median({c}) AS m FROM consolidated))"
         for c in nums)
+    q["preprocess_sparse"] = _sparse_sql(cons, freq, cats, nums)
     q["ingest_customers"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS "CD_CLIENTE", c_name || CASE WHEN c_custkey % 7 = 0 THEN chr(10) || '"linha" 2' ELSE ' – ação' END AS "NM_CLIENTE",
   CAST(CAST(c_acctbal AS DECIMAL(14,2)) AS DOUBLE) AS "VL_SALDO", CASE WHEN c_custkey % 4 <> 2 THEN CAST(c_nationkey AS VARCHAR) END AS "CD_PAIS",

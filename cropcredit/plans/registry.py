@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cropcredit.config import GROUP, ModelingOptions, target_name
@@ -245,26 +246,35 @@ def q_feature_quality(spark, sf):
     return MP.rounded(K.feature_quality(base, FE.CAT_FEATURES, FE.NUM_FEATURES), {"null_frac"})
 
 
-def _fitted(spark, sf, max_categories):
-    base = written(portfolio(spark, sf).modelling_base(), "modelling")
-    return Preprocessor(list(FE.CAT_FEATURES), list(FE.NUM_FEATURES), max_categories).fit(base)
-
-
 KEPT = 8
 
 
 def q_categories(spark, sf):
     """(feature, category): the indicator columns of the fitted encoder."""
-    rows = [(c, v) for c, (kept, more) in _fitted(spark, sf, KEPT).categories.items() for v in [*kept, *(["*"] if more else [])]]
+    p = Preprocessor(list(FE.CAT_FEATURES), [], KEPT).fit(portfolio(spark, sf).modelling_base())
+    rows = [(c, v) for c, (kept, more) in p.categories.items() for v in [*kept, *(["*"] if more else [])]]
     return spark.createDataFrame(rows, "feature string, category string")
 
 
 def q_scales(spark, sf):
-    p = _fitted(spark, sf, 30)
+    base = portfolio(spark, sf).modelling_base().select(*FE.NUM_FEATURES)
+    p = Preprocessor([], list(FE.NUM_FEATURES)).fit(written(base, "numbers"))
     rows = [(c, p.medians[c], p.scales[c]) for c in p.num_cols]
     return MP.rounded(spark.createDataFrame(rows, "feature string, median double, scale double"), {"median", "scale"})
 
 
+def q_sparse(spark, sf):
+    """Each row's sparse vector, told by its places: how many are not zero, the sum of their indices (from 0), and whether
+    Spark stores it as a sparse vector."""
+    base = written(portfolio(spark, sf).modelling_base(), "modelling")
+    p = Preprocessor(list(FE.CAT_FEATURES), list(FE.NUM_FEATURES), KEPT).fit(base)
+    v = F.unwrap_udt("features")
+    x = p.transform(base).select("ref_bacen", "nu_ordem", "mutuario", v.alias("v"), vector_to_array("features").alias("x"))
+    places = F.filter(F.transform("x", lambda e, i: F.when(e != 0, i)), lambda i: i.isNotNull())
+    return x.select("ref_bacen", "nu_ordem", "mutuario", F.size(places).cast("long").alias("places"),
+                    F.aggregate(places, F.lit(0).cast("long"), lambda a, i: a + i).alias("place_sum"), (F.col("v.type") == 0).alias("sparse"))
+
+
 def _stored(spark, record):
     """A run record saved and loaded again."""
     uri = f"{ensure_checkpoint_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex[:12]}"
@@ -325,6 +335,7 @@ def queries() -> dict:
         "loading_feature_quality": q_feature_quality,
         "preprocess_categories": q_categories,
         "preprocess_scales": q_scales,
+        "preprocess_sparse": q_sparse,
         "ingest_customers": I.ingested_customers,
         "ingest_transform_counts": I.transformed_counts,
     })
