@@ -19,6 +19,7 @@ metric rows themselves (<= 101 points).
 
 from __future__ import annotations
 
+import bisect
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -37,15 +38,26 @@ class ScoreDistribution:
     """Distinct scores with counts and inclusive running counts (per group if ``by``)."""
 
     table: DataFrame  # [by,] bucket, score, pos, neg, n, cum_pos, cum_neg, cum_n, grp_pos, grp_neg
-    buckets: list  # (bucket, start_n, end_n) in order, ungrouped only
+    spans: dict  # group (None if ungrouped) -> [(bucket, start_n, end_n)] in order
+    sizes: dict  # group -> (positives, negatives)
     n_pos: int
     n_neg: int
     by: str | None = None
+    by_type: str = "int"
 
     @property
     def n(self) -> int:
         return self.n_pos + self.n_neg
 
+    def groups(self, rows: list, columns: str) -> DataFrame:
+        """A small table of (group, ...) tuples; the group is dropped where there is none."""
+        t = self.table.sparkSession.createDataFrame(rows, f"_g {self.by_type}, {columns}")
+        return t.withColumnRenamed("_g", self.by) if self.by else t.drop("_g")
+
+    @property
+    def keys(self) -> list:
+        return [self.by] if self.by else []
+
 
 def score_distribution(scored: DataFrame, label: str = "y", score: str = "p",
                        bucket_scores: int = BUCKET_SCORES, by: str | None = None) -> ScoreDistribution:
@@ -72,7 +84,7 @@ def score_distribution(scored: DataFrame, label: str = "y", score: str = "p",
         counts = counts.withColumn("bucket", F.lit(0))
     totals = counts.groupBy(*keys, "bucket").agg(
         F.sum("pos").alias("tp"), F.sum("neg").alias("tn")).orderBy(*keys, "bucket").collect()
-    acc, rows, spans = {}, [], []
+    acc, rows, spans = {}, [], {}
     grp_tot = {}
     for r in totals:
         g = r[by] if by else None
@@ -83,7 +95,7 @@ def score_distribution(scored: DataFrame, label: str = "y", score: str = "p",
         g = r[by] if by else None
         ap, an = acc.get(g, (0, 0))
         rows.append((g, r["bucket"], ap, an, grp_tot[g][0], grp_tot[g][1]))
-        spans.append((r["bucket"], ap + an, ap + an + r["tp"] + r["tn"]))
+        spans.setdefault(g, []).append((r["bucket"], ap + an, ap + an + r["tp"] + r["tn"]))
         acc[g] = (ap + r["tp"], an + r["tn"])
     gtype = dict(scored.dtypes)[by] if by else "int"
     offsets = spark.createDataFrame(
@@ -104,7 +116,7 @@ def score_distribution(scored: DataFrame, label: str = "y", score: str = "p",
     ).withColumn("cum_n", F.col("cum_pos") + F.col("cum_neg"))
     P = sum(v[0] for v in grp_tot.values())
     N = sum(v[1] for v in grp_tot.values())
-    return ScoreDistribution(t, spans if not by else [], P, N, by)
+    return ScoreDistribution(t, spans, {g: tuple(v) for g, v in grp_tot.items()}, P, N, by, gtype)
 
 
 def core_metrics(scored: DataFrame, label: str = "y", score: str = "p",
@@ -142,30 +154,28 @@ def _rank_targets(n: int, steps: int) -> list:
 
 
 def quantile_values(dist: ScoreDistribution, steps: int) -> DataFrame:
-    """(k, lo_score, hi_score, frac, value) for quantiles k/steps of all scored rows."""
-    spark = dist.table.sparkSession
-    if dist.n == 0:
-        return spark.createDataFrame([], "k int, lo_score double, hi_score double, frac double, value double")
-    targets = _rank_targets(dist.n, steps)
-    ranks = sorted({t[1] for t in targets} | {t[2] for t in targets})
-
-    def bucket_of(r):
-        for b, start, end in dist.buckets:
-            if start <= r < end:
-                return b
-        return dist.buckets[-1][0]
-
-    rk = spark.createDataFrame([(r, bucket_of(r)) for r in ranks], "r long, bucket int")
-    t = dist.table
-    hit = t.join(F.broadcast(rk), "bucket").where(
+    """([group,] k, lo_score, hi_score, frac, value) for quantiles k/steps of the scored rows (of each group). The wanted
+    ranks, at most 2 * (steps + 1) a group, meet the buckets that hold them in one join, however many groups there are."""
+    ranks, targets = [], []
+    for g, (pos, neg) in dist.sizes.items():
+        if not pos + neg:
+            continue
+        mine = _rank_targets(pos + neg, steps)
+        targets += [(g, *t) for t in mine]
+        starts = [start for _, start, _ in dist.spans[g]]
+        for r in sorted({t[1] for t in mine} | {t[2] for t in mine}):
+            ranks.append((g, r, dist.spans[g][bisect.bisect_right(starts, r) - 1][0]))
+    rk = dist.groups(ranks, "r long, bucket int")
+    keys = dist.keys
+    hit = dist.table.join(F.broadcast(rk), [*keys, "bucket"]).where(
         (F.col("cum_n") - F.col("n") <= F.col("r")) & (F.col("r") < F.col("cum_n"))
-    ).select("r", "score", "cum_pos", "cum_neg")
-    tg = spark.createDataFrame(targets, "k int, lo long, hi long, frac double")
-    lo = hit.select(F.col("r").alias("lo"), F.col("score").alias("lo_score"),
+    ).select(*keys, "r", "score", "cum_pos", "cum_neg")
+    tg = dist.groups(targets, "k int, lo long, hi long, frac double")
+    lo = hit.select(*keys, F.col("r").alias("lo"), F.col("score").alias("lo_score"),
                     F.col("cum_pos").alias("lo_cum_pos"), F.col("cum_neg").alias("lo_cum_neg"))
-    hi = hit.select(F.col("r").alias("hi"), F.col("score").alias("hi_score"),
+    hi = hit.select(*keys, F.col("r").alias("hi"), F.col("score").alias("hi_score"),
                     F.col("cum_pos").alias("hi_cum_pos"), F.col("cum_neg").alias("hi_cum_neg"))
-    q = tg.join(lo, "lo").join(hi, "hi")
+    q = tg.join(lo, [*keys, "lo"]).join(hi, [*keys, "hi"])
     return q.withColumn(
         "value", F.col("lo_score") + (F.col("hi_score") - F.col("lo_score")) * F.col("frac"))
 
@@ -177,63 +187,68 @@ def exact_quantiles(df: DataFrame, column: str, probs_steps: int) -> DataFrame:
 
 
 def ks_curve(scored: DataFrame, label: str = "y", score: str = "p", n: int = 101,
-             dist: ScoreDistribution | None = None) -> DataFrame:
-    """Class CDFs at n score quantiles: (k, score, cdf_pos, cdf_neg)."""
-    dist = dist or score_distribution(scored, label, score)
+             dist: ScoreDistribution | None = None, by: str | None = None) -> DataFrame:
+    """Class CDFs at n score quantiles: ([group,] k, score, cdf_pos, cdf_neg)."""
+    dist = dist or score_distribution(scored, label, score, by=by)
     q = quantile_values(dist, n - 1)
     at_hi = F.col("value") >= F.col("hi_score")
     cum_pos = F.when(at_hi, F.col("hi_cum_pos")).otherwise(F.col("lo_cum_pos"))
     cum_neg = F.when(at_hi, F.col("hi_cum_neg")).otherwise(F.col("lo_cum_neg"))
-    return q.select(
-        "k", F.col("value").alias("score"),
-        (cum_pos / F.lit(float(max(dist.n_pos, 1)))).alias("cdf_pos"),
-        (cum_neg / F.lit(float(max(dist.n_neg, 1)))).alias("cdf_neg"),
-    )
+    sizes = dist.groups([(g, float(max(pos, 1)), float(max(neg, 1))) for g, (pos, neg) in dist.sizes.items()], "_pos double, _neg double")
+    if dist.by:
+        q = q.join(F.broadcast(sizes), dist.by)  # one row per group
+    else:
+        q = q.withColumns({"_pos": F.lit(float(max(dist.n_pos, 1))), "_neg": F.lit(float(max(dist.n_neg, 1)))})
+    return q.select(*dist.keys, "k", F.col("value").alias("score"), (cum_pos / F.col("_pos")).alias("cdf_pos"), (cum_neg / F.col("_neg")).alias("cdf_neg"))
 
 
 def calibration(scored: DataFrame, label: str = "y", score: str = "p", n_bins: int = 10,
-                dist: ScoreDistribution | None = None) -> DataFrame:
-    """Quantile-bin calibration: (bin, mean_pred, frac_pos); empty bins are absent.
+                dist: ScoreDistribution | None = None, by: str | None = None) -> DataFrame:
+    """Quantile-bin calibration: ([group,] bin, mean_pred, frac_pos); empty bins are absent.
     A score equal to an inner edge belongs to the lower bin."""
-    dist = dist or score_distribution(scored, label, score)
-    edges = [r["value"] for r in quantile_values(dist, n_bins).orderBy("k").collect()]
-    inner = edges[1:-1]
-    binid = sum((F.col(score) > F.lit(e)).cast("int") for e in inner) if inner else F.lit(0)
+    dist = dist or score_distribution(scored, label, score, by=by)
+    edges = {}
+    for r in quantile_values(dist, n_bins).where(F.col("k").between(1, n_bins - 1)).orderBy("k").collect():  # n_bins a group
+        edges.setdefault(r[dist.by] if dist.by else None, []).append(r["value"])
+    inner = dist.groups(list(edges.items()), "_edges array<double>")
     s = scored.where(F.col(score).isNotNull())
-    return s.groupBy(binid.alias("bin")).agg(
+    s = s.join(F.broadcast(inner), dist.by) if dist.by else s.withColumn("_edges", F.array(*[F.lit(e) for e in edges.get(None, [])]))
+    p = F.col(score).cast("double")
+    return s.groupBy(*dist.keys, F.size(F.filter("_edges", lambda e: e < p)).alias("bin")).agg(
         F.avg(F.col(score)).alias("mean_pred"), F.avg(F.col(label).cast("double")).alias("frac_pos"))
 
 
 def roc_points(scored: DataFrame, label: str = "y", score: str = "p", n: int = 101,
-               dist: ScoreDistribution | None = None) -> DataFrame:
-    """ROC interpolated on n uniform FPR points: (k, fpr, tpr). Where several curve
+               dist: ScoreDistribution | None = None, by: str | None = None) -> DataFrame:
+    """ROC interpolated on n uniform FPR points: ([group,] k, fpr, tpr), for groups with both classes. Where several curve
     points share an FPR equal to a grid value, the last (highest TPR) counts."""
-    dist = dist or score_distribution(scored, label, score)
-    spark = scored.sparkSession
-    P, N, steps = dist.n_pos, dist.n_neg, n - 1
-    if not P or not N:
-        return spark.createDataFrame([], "k int, fpr double, tpr double")
-    # curve point per distinct score (threshold): counts of scores >= s
-    pts = dist.table.select(
-        "score",
-        (F.lit(N) - F.col("cum_neg") + F.col("neg")).alias("fps"),
-        (F.lit(P) - F.col("cum_pos") + F.col("pos")).alias("tps"),
-    )
-    origin = spark.createDataFrame([(float("inf"), 0, 0)], "score double, fps long, tps long")
+    dist = dist or score_distribution(scored, label, score, by=by)
+    steps, keys = n - 1, dist.keys
+    both = {g: v for g, v in dist.sizes.items() if v[0] and v[1]}
+    # curve point per distinct score (threshold): counts of scores >= s; and the origin of each group
+    pts = dist.table.where("grp_pos > 0 and grp_neg > 0").select(
+        *keys, "score", (F.col("grp_neg") - F.col("cum_neg") + F.col("neg")).alias("fps"), (F.col("grp_pos") - F.col("cum_pos") + F.col("pos")).alias("tps"),
+        F.col("grp_pos").alias("P"), F.col("grp_neg").alias("N"))
+    origin = dist.groups([(g, float("inf"), 0, 0, pos, neg) for g, (pos, neg) in both.items()], "score double, fps long, tps long, P long, N long")
     pts = pts.unionByName(origin)
     # first grid index at or right of the point: ceil(steps * fps / N), integer-exact
-    cell = F.expr(f"(fps * {steps} + {N - 1}) div {N}")
+    cell = F.expr(f"(fps * {steps} + N - 1) div N")
     pt = F.struct("fps", "tps")
-    per_cell = pts.groupBy(cell.alias("c")).agg(
+    per_cell = pts.groupBy(*keys, cell.alias("c")).agg(
         F.min_by(pt, F.col("score")).alias("last"), F.max_by(pt, F.col("score")).alias("first"))
-    grid = spark.range(0, steps + 1).select(F.col("id").alias("k"))
-    # both sides bounded: <= steps+2 cells against steps+1 grid points
+    grid = dist.groups([(g, k, float(pos), float(neg)) for g, (pos, neg) in both.items() for k in range(n)], "k long, P double, N double")
+    # both sides bounded: <= steps+2 cells against steps+1 grid points of a group
     pc = F.broadcast(per_cell)
-    left = grid.join(pc, F.col("c") <= F.col("k")).groupBy("k").agg(F.max_by("last", "c").alias("L"))
-    right = grid.join(pc, F.col("c") > F.col("k")).groupBy("k").agg(F.min_by("first", "c").alias("R"))
-    g = grid.join(left, "k", "left").join(right, "k", "left")
-    lf, lt = F.col("L.fps") / F.lit(float(N)), F.col("L.tps") / F.lit(float(P))
-    rf, rt = F.col("R.fps") / F.lit(float(N)), F.col("R.tps") / F.lit(float(P))
+
+    def of(test, pick):
+        on = test if not keys else test & (F.col(f"g.{dist.by}") == F.col(f"c.{dist.by}"))
+        return grid.alias("g").join(pc.alias("c"), on).groupBy(*[f"g.{c}" for c in keys], "g.k").agg(pick)
+
+    left = of(F.col("c") <= F.col("k"), F.max_by("last", "c").alias("L"))
+    right = of(F.col("c") > F.col("k"), F.min_by("first", "c").alias("R"))
+    g = grid.join(left, [*keys, "k"], "left").join(right, [*keys, "k"], "left")
+    lf, lt = F.col("L.fps") / F.col("N"), F.col("L.tps") / F.col("P")
+    rf, rt = F.col("R.fps") / F.col("N"), F.col("R.tps") / F.col("P")
     x = F.col("k") / F.lit(float(steps))
     tpr = F.when(F.col("R").isNull(), lt).otherwise(lt + (rt - lt) * (x - lf) / (rf - lf))
-    return g.select(F.col("k").cast("int").alias("k"), x.alias("fpr"), tpr.alias("tpr"))
+    return g.select(*keys, F.col("k").cast("int").alias("k"), x.alias("fpr"), tpr.alias("tpr"))

@@ -81,22 +81,37 @@ def kfold_scores(df: DataFrame, folds: DataFrame, group: str, label: str, k: int
     return out
 
 
+CURVES = {"calibration": (ME.calibration, "bin"), "roc": (ME.roc_points, "k"), "ks_curve": (ME.ks_curve, "k")}
+
+
 def curves(dist: ME.ScoreDistribution, scored: DataFrame) -> dict:
-    """The bounded curves of one score distribution, as lists of points."""
-    parts = {"calibration": (ME.calibration, "bin"), "roc": (ME.roc_points, "k"), "ks_curve": (ME.ks_curve, "k")}
-    return {name: [r.asDict() for r in f(scored, dist=dist).orderBy(by).collect()] for name, (f, by) in parts.items()}
+    """The bounded curves of one score distribution: name -> list of points, or, if it has groups, group -> name -> points.
+    One job per kind of curve, however many groups."""
+    out = {g: {name: [] for name in CURVES} for g in dist.sizes}
+    for name, (f, at) in CURVES.items():
+        for r in f(scored, dist=dist).orderBy(*dist.keys, at).collect():
+            point = r.asDict()
+            out[point.pop(dist.by) if dist.by else None][name].append(point)
+    return out if dist.by else out.get(None, {name: [] for name in CURVES})
+
+
+def fold_leaks(rows: DataFrame, group: str) -> DataFrame:
+    """(fold, leak_mutuario): groups of a fold's rows that are also in another fold (must be 0), all folds in one pass;
+    folds without a leak are absent."""
+    sets = rows.groupBy(group).agg(F.collect_set("fold").alias("fs"))  # <= k values each
+    multi = sets.where(F.size("fs") > 1).select(F.explode("fs").alias("fold"))
+    return multi.groupBy("fold").agg(F.count(F.lit(1)).alias("leak_mutuario"))
 
 
 def evaluate_kfold(df: DataFrame, folds: DataFrame, group: str, label: str, k: int,
                    fit_predict, name: str) -> dict:
-    """Per-fold metrics (one pass) + leak count, mean/population std, and out-of-fold curves.
+    """Per-fold metrics and leak counts (one pass each), mean/population std, and out-of-fold curves.
     Scores are written once so the curves do not refit the folds."""
     oof = written(kfold_scores(df, folds, group, label, k, fit_predict).select(group, "fold", F.col(label).alias("y"), "p"), "oof")
-    found = {r["fold"]: r.asDict() for r in ME.core_metrics(oof, by="fold").collect()}
+    leaks = {r["fold"]: r["leak_mutuario"] for r in fold_leaks(oof, group).collect()}
     rows = []
-    for f in sorted(found):
-        leak = leak_count(folds.where(F.col("fold") != f), oof.where(F.col("fold") == f), group)
-        rows.append(found[f] | {"fold": f + 1, "leak_mutuario": leak})
+    for r in ME.core_metrics(oof, by="fold").orderBy("fold").collect():
+        rows.append(r.asDict() | {"fold": r["fold"] + 1, "leak_mutuario": leaks.get(r["fold"], 0)})
     return {"model": name, "metrics": _agg_folds(rows), "folds": rows, **curves(ME.score_distribution(oof), oof), "oof": oof}
 
 
@@ -120,7 +135,7 @@ def walk_forward(df: DataFrame, label: str, fit_predict, name: str, safra: str =
         raise RuntimeError(f"too few crop years for out-of-time validation: {years}")
     for year in sorted(set(years[min_train_safras:]) - set(tests)):
         warn(f"[{name}] crop year {year} not testable (n={rows[year]}) - skipped")
-    per = [_one_year(d, year, rows, label, fit_predict, safra) for year in tests]
+    per = _tested(d, tests, rows, label, fit_predict, safra)
     means = {}
     for m in ("auroc", "ks", "brier") if per else ():
         known = [e["metrics"][m] for e in per if e["metrics"][m] is not None]
@@ -128,13 +143,22 @@ def walk_forward(df: DataFrame, label: str, fit_predict, name: str, safra: str =
     return {"model": name, "per_safra": per, "metrics": means, "safras": years, "test_safras": years[min_train_safras:]}
 
 
-def _one_year(d: DataFrame, year: int, rows: dict, label: str, fit_predict, safra: str) -> dict:
-    scored = fit_predict(d.where(F.col(safra) < year), d.where(F.col(safra) == year))
-    scored = written(scored.select(F.col(label).alias("y"), "p"), "year")
-    dist = ME.score_distribution(scored)
-    return {
-        "safra": int(year), "safra_label": f"{year}/{(year + 1) % 100:02d}",
-        "n_train": sum(n for y, n in rows.items() if y < year), "n_test": rows[year],
-        "rate_test": float(scored.agg(F.avg("y")).first()[0]),
-        "metrics": ME.core_metrics(scored, dist=dist).first().asDict(), **curves(dist, scored),
-    }
+def _tested(d: DataFrame, tests: list, rows: dict, label: str, fit_predict, safra: str) -> list:
+    """One entry per tested year. The models are fitted year by year; the scores of all years are written once, and metrics
+    and curves of all years come from one grouped pass each."""
+    if not tests:
+        return []
+    parts = [fit_predict(d.where(F.col(safra) < y), d.where(F.col(safra) == y)).select(F.lit(int(y)).alias("safra"), F.col(label).alias("y"), "p") for y in tests]
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
+    scored = written(scored, "years")
+    dist = ME.score_distribution(scored, by="safra")
+    found, points = {r["safra"]: r.asDict() for r in ME.core_metrics(scored, dist=dist).collect()}, curves(dist, scored)
+    rates = {r["safra"]: float(r["rate"]) for r in scored.groupBy("safra").agg(F.avg("y").alias("rate")).collect()}
+    return [{
+        "safra": int(y), "safra_label": f"{y}/{(y + 1) % 100:02d}",
+        "n_train": sum(n for e, n in rows.items() if e < y), "n_test": rows[y],
+        "rate_test": rates[y],
+        "metrics": {k: v for k, v in found[y].items() if k != "safra"}, **points[y],
+    } for y in tests]

@@ -51,33 +51,22 @@ def naive_oof(base: DataFrame, opts: ModelingOptions = ModelingOptions()) -> Dat
     return out.select("ref_bacen", "nu_ordem", "mutuario", "fold", F.col(label).alias("y"), "p")
 
 
-def fold_leaks(folds_of_rows: DataFrame) -> DataFrame:
-    """Per fold: borrowers of its test rows also present in another fold (must be 0)."""
-    sets = folds_of_rows.groupBy(GROUP).agg(F.collect_set("fold").alias("fs"))  # <= k values each
-    multi = sets.where(F.size("fs") > 1).select(F.explode("fs").alias("fold"))
-    return multi.groupBy("fold").agg(F.count(F.lit(1)).alias("leak_mutuario"))
-
-
 def naive_kfold_metrics(base: DataFrame, opts: ModelingOptions = ModelingOptions()) -> DataFrame:
     """(fold 1..k, auroc, ks, brier, n, n_pos, leak_mutuario) for the naive model."""
     oof = naive_oof(base, opts)
     m = ME.core_metrics(oof, by="fold")
-    out = m.join(fold_leaks(oof), "fold", "left").select(
+    out = m.join(V.fold_leaks(oof, GROUP), "fold", "left").select(
         (F.col("fold") + 1).alias("fold"), "auroc", "ks", "brier", "n", "n_pos",
         F.coalesce("leak_mutuario", F.lit(0)).cast("long").alias("leak_mutuario"))
     return rounded(out, {"auroc", "ks", "brier"})
 
 
-def naive_temporal_metrics(base: DataFrame, opts: ModelingOptions = ModelingOptions()) -> DataFrame:
-    """Walk-forward by crop year for the naive model: per testable year, train on all
-    earlier years. (safra, n_train, n_test, rate_test, auroc, ks, brier)."""
+def naive_temporal_scores(base: DataFrame, opts: ModelingOptions = ModelingOptions()):
+    """Walk-forward by crop year for the naive model: each testable year scored by the rates of all earlier years, in one
+    pass: (scored rows safra, y, p; crop years; tested years; rows by year). No testable year: no rows."""
     label = target_name(opts.horizon)
     d = base.where(F.col("safra").isNotNull())
     years, tests, by = V.testable_years(d, label, "safra", opts.min_train_safras, opts.min_test_rows)
-    spark = base.sparkSession
-    if not tests:
-        return spark.createDataFrame([], "safra int, n_train long, n_test long, rate_test double, "
-                                         "auroc double, ks double, brier double")
     # training rates of year t = running (segment) sums over all earlier years: one
     # aggregation to (year, segment) and windows over that small table, no refits
     from pyspark.sql import Window as W
@@ -98,6 +87,13 @@ def naive_temporal_metrics(base: DataFrame, opts: ModelingOptions = ModelingOpti
     rates = written(g.where(F.col("safra").isin(tests)).select("safra", "_seg", rate.alias("p")), "year-rates")
     scored = d.where(F.col("safra").isin(tests)).join(counted_broadcast(rates), ["safra", "_seg"], "left").select(
         "safra", F.col(label).alias("y"), "p")
+    return scored, years, tests, by
+
+
+def naive_temporal_metrics(base: DataFrame, opts: ModelingOptions = ModelingOptions()) -> DataFrame:
+    """(safra, n_train, n_test, rate_test, auroc, ks, brier) of the naive model for each testable crop year."""
+    scored, years, tests, by = naive_temporal_scores(base, opts)
+    spark = base.sparkSession
     m = ME.core_metrics(scored, by="safra")
     info = spark.createDataFrame(
         [(int(t), sum(by[y] for y in years if y < t), by[t]) for t in tests],

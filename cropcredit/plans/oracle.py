@@ -461,6 +461,36 @@ tscored AS (
 """
 
 
+def _grouped_curves(src: str, key: str) -> dict[str, str]:
+    """Curves per group by whole sorts of each group's scores."""
+    def quantiles(steps):
+        return f"""
+srt AS (SELECT {key} AS g, p, y, row_number() OVER (PARTITION BY {key} ORDER BY p) - 1 AS r, count(*) OVER (PARTITION BY {key}) AS n FROM {src} WHERE p IS NOT NULL),
+q AS (SELECT g, k, ((n - 1) * k) // {steps} AS lo, ((n - 1) * k) % {steps} AS rem FROM (SELECT DISTINCT g, n FROM srt), range(0, {steps + 1}) t(k)),
+qv AS (SELECT q.g, q.k, a.p + (b.p - a.p) * (q.rem / {float(steps)}) AS v
+  FROM q JOIN srt a ON a.g = q.g AND a.r = q.lo JOIN srt b ON b.g = q.g AND b.r = q.lo + CASE WHEN q.rem > 0 THEN 1 ELSE 0 END)"""
+
+    roc = _grouped_core(src, key) + f"""
+, pts AS (SELECT g, score, N - cum_neg + neg AS fps, P - cum_pos + pos AS tps, P, N FROM gcum WHERE P > 0 AND N > 0
+  UNION ALL SELECT DISTINCT g, CAST('infinity' AS DOUBLE), 0, 0, P, N FROM gcum WHERE P > 0 AND N > 0),
+grid AS (SELECT DISTINCT g, P, N, k FROM pts, range(0, 101) t(k)),
+lft AS (SELECT grid.g, grid.k, arg_min(p.fps, p.score) AS lf, arg_min(p.tps, p.score) AS lt FROM grid JOIN pts p ON p.g = grid.g AND p.fps * 100 <= grid.k * p.N GROUP BY 1, 2),
+rgt AS (SELECT grid.g, grid.k, arg_max(p.fps, p.score) AS rf, arg_max(p.tps, p.score) AS rt FROM grid JOIN pts p ON p.g = grid.g AND p.fps * 100 > grid.k * p.N GROUP BY 1, 2)
+SELECT CAST(grid.g AS INTEGER) AS {key}, CAST(grid.k AS INTEGER) AS k, {_r("grid.k / 100.0", "fpr")},
+  {_r("CASE WHEN rf IS NULL THEN lt / P ELSE lt / P + (rt / P - lt / P) * (grid.k / 100.0 - lf / N) / (rf / N - lf / N) END", "tpr")}
+FROM grid LEFT JOIN lft USING (g, k) LEFT JOIN rgt USING (g, k)"""
+    ks = quantiles(100) + f"""
+SELECT CAST(qv.g AS INTEGER) AS {key}, CAST(qv.k AS INTEGER) AS k, {_r("v", "score")},
+  {_r("count(*) FILTER (s.y = 1 AND s.p <= v) / greatest(count(*) FILTER (s.y = 1), 1)", "cdf_pos")},
+  {_r("count(*) FILTER (s.y <> 1 AND s.p <= v) / greatest(count(*) FILTER (s.y <> 1), 1)", "cdf_neg")}
+FROM qv JOIN srt s ON s.g = qv.g GROUP BY qv.g, qv.k, v"""
+    calibration = quantiles(10) + f""",
+e AS (SELECT g, list(v) AS edges FROM qv WHERE k BETWEEN 1 AND 9 GROUP BY g)
+SELECT CAST(g AS INTEGER) AS {key}, CAST(len(list_filter(edges, lambda x: x < p)) AS INTEGER) AS bin, {_r("avg(p)", "mean_pred")}, {_r("avg(CAST(y AS DOUBLE))", "frac_pos")}
+FROM srt JOIN e USING (g) GROUP BY 1, 2"""
+    return {"roc": roc, "ks_curve": ks, "calibration": calibration}
+
+
 def model_queries() -> dict[str, str]:
     base = [SILVER, LABEL_BASE, TARGET, CROP, SCORING_BASE]
     q = {}
@@ -495,6 +525,9 @@ SELECT CAST(k AS INTEGER) AS k, {_r("v", "score")},
        {_r("(SELECT COUNT(*) FROM scored s WHERE s.y = 1 AND s.p <= kq.v) / GREATEST(P, 1)", "cdf_pos")},
        {_r("(SELECT COUNT(*) FROM scored s WHERE s.y <> 1 AND s.p <= kq.v) / GREATEST(N, 1)", "cdf_neg")}
 FROM kq, tot"""
+    for by, ctes, src in (("fold", FOLDS, "oof"), ("safra", TEMPORAL, "tscored")):
+        for kind, sql in _grouped_curves(src, by).items():
+            q[f"metrics_{kind}_by_{by}"] = _with(*base, ctes) + ("" if sql.lstrip().startswith(",") else ",") + sql
     q["validation_folds"] = _with(*base, FOLDS) + "\nSELECT mutuario, fold FROM folds"
     q["validation_fold_balance"] = _with(*base, FOLDS) + (
         "\nSELECT fold, COUNT(*) AS n, CAST(SUM(target_18m) AS BIGINT) AS pos FROM fb GROUP BY fold")

@@ -163,6 +163,23 @@ def q_naive_temporal(spark, sf):
     return MP.naive_temporal_metrics(_base(spark, sf))
 
 
+GROUPED_CURVES = {"calibration": (ME.calibration, {"mean_pred", "frac_pos"}), "roc": (ME.roc_points, {"fpr", "tpr"}),
+                  "ks_curve": (ME.ks_curve, {"score", "cdf_pos", "cdf_neg"})}
+
+
+def q_grouped_curve(kind, by):
+    """One curve of the naive model for every fold or tested crop year, all groups in one pass."""
+    curve, digits = GROUPED_CURVES[kind]
+
+    def run(spark, sf):
+        base = _base(spark, sf)
+        scored = MP.naive_oof(base) if by == "fold" else MP.naive_temporal_scores(base)[0]
+        return MP.rounded(curve(written(scored.select(by, "y", "p"), "scored"), by=by), digits)
+
+    run.__name__ = f"q_{kind}_by_{by}"
+    return run
+
+
 def q_cleaning(spark, sf):
     from cropcredit.plans.cleaning import typed_operations
 
@@ -303,6 +320,9 @@ def queries() -> dict:
     }
     for f in FE.FEATURES:
         q[f"feature_{f.name}"] = q_feature(f.name)
+    for kind in GROUPED_CURVES:
+        for by in ("fold", "safra"):
+            q[f"metrics_{kind}_by_{by}"] = q_grouped_curve(kind, by)
     q.update({
         "features_consolidated": q_consolidated,
         "business_crop_year": q_crop_year,
