@@ -76,3 +76,16 @@ def transformed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = BZ.transform_tables(spark, root, f"{root}/silver", [{"name": "ausente"}, {"name": "clientes"}], SILVER, warn=lambda m: None)
     back = spark.read.parquet(*[f"{root}/silver/{t}.parquet" for t, n in done.items() if isinstance(n, int)])
     return back.groupBy(F.lit("clientes").alias("tabela")).agg(F.count("*").alias("linhas"))
+
+
+def forced_delimiter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose header holds more of another delimiter than of the one that separates it: read with the table's own
+    delimiter, after a look with a delimiter that gives one column and its warning (avisos: how many)."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze-{uuid.uuid4().hex[:12]}/clientes"
+    raw = raw_customers(spark, sf_dir).select("CD_CLIENTE", F.col("VL_SALDO").alias("VL_SALDO;em;reais;hoje"), "CD_PAIS")
+    raw.repartition(FILES).write.options(header=True, sep="|", quote='"', escape='"').csv(root)
+    files = BZ.latest_files(spark, root)
+    warned = []
+    BZ.read_table(spark, files, {"name": "clientes", "delimiter": "\t"}, SILVER, warn=warned.append)
+    df = BZ.read_table(spark, files, {"name": "clientes", "delimiter": "|"}, SILVER, warn=warned.append)
+    return df.select("CD_CLIENTE", F.col("`VL_SALDO;em;reais;hoje`").alias("VL_SALDO"), "CD_PAIS", F.lit(len(warned)).alias("avisos"))

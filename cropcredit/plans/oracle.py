@@ -598,12 +598,27 @@ SELECT CAST(c_custkey AS VARCHAR) AS "CD_CLIENTE", c_name || CASE WHEN c_custkey
   CAST(CAST(c_acctbal AS DECIMAL(14,2)) AS DOUBLE) AS "VL_SALDO", CASE WHEN c_custkey % 4 <> 2 THEN CAST(c_nationkey AS VARCHAR) END AS "CD_PAIS",
   '2024-02' AS mes, CAST(c_custkey % 4 AS INTEGER) AS tipo FROM customer"""
     q["ingest_transform_counts"] = "SELECT 'clientes' AS tabela, count(*) AS linhas FROM customer"
-    for name in ("model_logistic_evidence", "model_trees_evidence"):
+    for name, evidence in (("model_logistic_evidence", "balanced"), ("model_trees_evidence", "beats_constant")):
         q[name] = _with(SILVER, LABEL_BASE, TARGET) + (
-            "\nSELECT count(*) AS n, CAST(sum(target_18m) AS BIGINT) AS pos, true AS better_than_chance, true AS balanced FROM target")
+            f"\nSELECT count(*) AS n, CAST(sum(target_18m) AS BIGINT) AS pos, true AS better_than_chance, true AS {evidence} FROM target")
+    q["ingest_forced_delimiter"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS "CD_CLIENTE", CAST(CAST(c_acctbal AS DECIMAL(14,2)) AS DOUBLE) AS "VL_SALDO", CAST(c_nationkey AS VARCHAR) AS "CD_PAIS",
+  CAST(1 AS INTEGER) AS avisos FROM customer"""
+    q["features_subset"] = cons + "\nSELECT ref_bacen, nu_ordem, mutuario, target_18m, uf, produto, juros, tp_produtor FROM consolidated"
+    q["feature_municipio"] = _with(SILVER, LABEL_BASE, TARGET) + """
+SELECT t.ref_bacen, t.nu_ordem, t.target_18m, n_name AS municipio
+FROM target t JOIN (SELECT l_orderkey, l_linenumber, CAST(min(l_suppkey) % 30 AS VARCHAR) AS code FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2)
+  ON t.ref_bacen = l_orderkey AND t.nu_ordem = l_linenumber
+JOIN nation ON CAST(n_nationkey AS VARCHAR) = code"""
     base = [SILVER, LABEL_BASE, TARGET, CROP, SCORING_BASE]
     q["dashboard_metric_history"] = _with(*base, FOLDS, _grouped_core("oof", "fold")) + (
         "\nSELECT '20240101000000' AS run_id, round(avg(auroc), 9) AS naive FROM gm")
+    q["dashboard_ks_location"] = _with(*base, FOLDS, "scored AS (SELECT * FROM oof)", SCORE_DIST, _quantile_cte("kq", 100)) + f"""
+, pt AS (
+  SELECT k, v, (SELECT COUNT(*) FROM scored s WHERE s.y = 1 AND s.p <= kq.v) / GREATEST(P, 1) AS cp,
+    (SELECT COUNT(*) FROM scored s WHERE s.y <> 1 AND s.p <= kq.v) / GREATEST(N, 1) AS cn FROM kq, tot)
+SELECT 'naive' AS model, {_r("v", "score")}, {_r("cp", "cdf_pos")}, {_r("cn", "cdf_neg")}, {_r("abs(cp - cn)", "gap")}
+FROM pt ORDER BY abs(cp - cn) DESC, k LIMIT 1"""
     q["dashboard_out_of_time"] = _with(*base, TEMPORAL, _grouped_core("tscored", "safra")) + f"""
 SELECT printf('%d/%02d', y.safra, (y.safra + 1) % 100) AS safra, {_r("gm.auroc", "naive")}, CAST(y.n AS BIGINT) AS n_test,
   {_r("(SELECT AVG(CAST(s.y AS DOUBLE)) FROM tscored s WHERE s.safra = y.safra)", "rate_test")}

@@ -6,6 +6,7 @@ one job of the pipeline over the whole data.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.ml.functions import vector_to_array
@@ -74,6 +75,17 @@ def q_feature(name):
     return run
 
 
+def q_municipio(spark, sf):
+    s = _silver(spark, sf)
+    return FE.municipio_feature(portfolio(spark, sf).target(), s["complemento_renegociacoes"], s["municipios"], LABEL)
+
+
+def q_subset(spark, sf):
+    """The modelling table of some features; a name without a definition is skipped."""
+    p = Portfolio(silver_tables(spark, sf), features=["uf", "sem_definicao", "produto", "juros", "tp_produtor"])
+    return p.modelling_base()
+
+
 def q_consolidated(spark, sf):
     return portfolio(spark, sf).modelling_base()
 
@@ -218,8 +230,15 @@ def q_logistic_evidence(spark, sf):
 
 
 def q_trees_evidence(spark, sf):
-    """Boosted trees, 5 of them: enough to see the fit, scoring and metrics work on all rows."""
-    return _evidence(*_modelled(spark, sf, "boosted_trees", gbt_trees=5), bound=1.0)
+    """Boosted trees, 5 of them: enough to see the fit, scoring and metrics work on all rows. beats_constant: with both classes
+    weighing alike, the log loss is below log 2, that of the best constant score."""
+    df, prep, model = _modelled(spark, sf, "boosted_trees", gbt_trees=5)
+    out = written(predict_proba(model, prep, df).select(F.col(LABEL).alias("y"), "p"), "scored")
+    m = ME.core_metrics(out).first()
+    hit = F.greatest(F.when(F.col("y") == 1, F.col("p")).otherwise(1 - F.col("p")), F.lit(1e-15))
+    w = F.when(F.col("y") == 1, 0.5 / m["n_pos"]).otherwise(0.5 / (m["n"] - m["n_pos"]))
+    return out.agg(F.lit(m["n"]).cast("long").alias("n"), F.lit(m["n_pos"]).cast("long").alias("pos"),
+                   F.lit(m["auroc"] > 0.5).alias("better_than_chance"), (F.sum(-w * F.log(hit)) < math.log(2) - 1e-6).alias("beats_constant"))
 
 
 def q_fold_balance(spark, sf):
@@ -233,7 +252,8 @@ def _naive_run(spark, sf):
 
 def q_dashboard_ks_location(spark, sf):
     """KS location per model of a naive k-fold run record built from the data."""
-    return DB.ks_location(records_frame(spark, [_naive_run(spark, sf)])).drop("run_id")
+    found = DB.ks_location(records_frame(spark, [_naive_run(spark, sf)])).drop("run_id")
+    return MP.rounded(found, {"score", "cdf_pos", "cdf_neg", "gap"})
 
 
 GENERIC = ("uf", "produto", "tp_produtor")
@@ -325,6 +345,8 @@ def queries() -> dict:
             q[f"metrics_{kind}_by_{by}"] = q_grouped_curve(kind, by)
     q.update({
         "features_consolidated": q_consolidated,
+        "features_subset": q_subset,
+        "feature_municipio": q_municipio,
         "business_crop_year": q_crop_year,
         "business_operation_base": q_operation_base,
         "business_aggregates": q_aggregates,
@@ -358,6 +380,7 @@ def queries() -> dict:
         "preprocess_sparse": q_sparse,
         "ingest_customers": I.ingested_customers,
         "ingest_transform_counts": I.transformed_counts,
+        "ingest_forced_delimiter": I.forced_delimiter,
     })
     return q
 

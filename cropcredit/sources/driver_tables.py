@@ -166,6 +166,17 @@ def code_domain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return codes.select(code.alias("#CODIGO"), _pick(values, "CAST(c AS INT)").alias("DESCRICAO"))
 
 
+def complemento_renegociacoes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Renegotiated operations with their municipality code; some codes are in no domain."""
+    li = read_table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    return li.groupBy(F.col("l_orderkey").alias("#REF_BACEN"), F.col("l_linenumber").alias("NU_ORDEM")).agg(
+        (F.min("l_suppkey") % 30).cast("string").alias("CD_IBGE_MUNICIPIO"))
+
+
+def municipios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "nation").select(_s("n_nationkey").alias("COD_MUNICIPIO_IBGE"), F.col("n_name").alias("NOME_MUNICIPIO"))
+
+
 # The operation table (an aggregation and three joins) is written once per application and state of
 # its sources; balances and bridge are projections and stay views, like the small code domains.
 MATERIALIZED = {"operacao_basica": ("lineitem", "orders", "customer", "nation")}
@@ -205,6 +216,8 @@ class SilverViews(Mapping):
             "mutuarios": mutuarios,
             "situacao_operacao": situacao_operacao,
             "empreendimento": empreendimento,
+            "complemento_renegociacoes": complemento_renegociacoes,
+            "municipios": municipios,
         }
         for name in CODE_DOMAINS:
             self._makers[name] = lambda sp, d, n=name: code_domain(sp, d, n)
