@@ -568,6 +568,30 @@ SELECT ref_bacen, nu_ordem, mutuario, CAST(len(list_filter(p, lambda x: x IS NOT
   CAST(list_sum(p) AS BIGINT) AS place_sum, true AS sparse FROM placed"""
 
 
+def _splits_sql(cons: str, freq: str, nums, kept: int = 8, bins: int = 16) -> str:
+    """Gains of all root splits at margin 0: a category against the rest, numbers up to a cut (no number is NULL here)."""
+    gain = "0.5 * (g * g / (h + 1.0) + (tg - g) * (tg - g) / (th - h + 1.0) - tg * tg / (th + 1.0))"
+    cats = [c for c in FE.CAT_FEATURES]
+    one = "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS feature, coalesce(k.v, 'infrequent') AS "at", sum(g) AS g, sum(h) AS h
+  FROM w LEFT JOIN (SELECT v FROM known WHERE feature = '{c}' AND v IS NOT NULL) k ON k.v = coalesce(w.{c}, 'NA') GROUP BY k.v""" for c in cats)
+    num = "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS feature, CAST(cut AS VARCHAR) AS "at", sum(g) FILTER (w.{c} <= cut) AS g, sum(h) FILTER (w.{c} <= cut) AS h
+  FROM w, (SELECT DISTINCT {c} AS cut FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) - 1 AS r, count(*) OVER () AS n FROM consolidated)
+    WHERE list_contains(list_transform(range(1, {bins}), lambda k: ((n - 1) * k) // {bins}), r)) GROUP BY cut""" for c in nums)
+    return cons + f"""
+, freq AS ({freq}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, v DESC) AS rk, count(*) OVER (PARTITION BY feature) AS nv FROM freq),
+known AS (SELECT feature, v FROM ranked WHERE rk <= CASE WHEN nv > {kept} THEN {kept - 1} ELSE {kept} END),
+rate AS (SELECT avg(CAST(target_18m AS DOUBLE)) AS p FROM consolidated),
+w AS (SELECT c.*, CASE WHEN target_18m = 1 THEN (1 - p) / greatest(p, 1e-6) * -0.5 ELSE 0.5 END AS g,
+  CASE WHEN target_18m = 1 THEN (1 - p) / greatest(p, 1e-6) ELSE 1 END * 0.25 AS h FROM consolidated c, rate),
+tot AS (SELECT sum(g) AS tg, sum(h) AS th FROM w)
+SELECT feature, "at", false AS null_left, round({gain}, 4) AS gain FROM ({one}
+UNION ALL
+{num}), tot WHERE h >= 1 AND th - h >= 1"""
+
+
 def loading_queries(cons: str) -> dict[str, str]:
     """Ingestion, loading and preprocessing; ``cons``: common tables up to the modelling table."""
     cats, nums = FE.CAT_FEATURES, FE.NUM_FEATURES
@@ -593,6 +617,8 @@ UNION ALL SELECT DISTINCT feature, '*' FROM ranked WHERE nv > 8"""
         f"(SELECT any_value(m) AS m, stddev_pop(coalesce({c}, m)) AS s FROM consolidated, (SELECT median({c}) AS m FROM consolidated))"
         for c in nums)
     q["preprocess_sparse"] = _sparse_sql(cons, freq, cats, nums)
+    q["model_boosting_splits"] = _splits_sql(cons, freq, nums)
+    q["model_boosting_loss"] = "SELECT CAST(unnest([5, 10]) AS INTEGER) AS trees, true AS falls"
     q["ingest_customers"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS "CD_CLIENTE", c_name || CASE WHEN c_custkey % 7 = 0 THEN chr(10) || '"linha" 2' ELSE ' – ação' END AS "NM_CLIENTE",
   CAST(CAST(c_acctbal AS DECIMAL(14,2)) AS DOUBLE) AS "VL_SALDO", CASE WHEN c_custkey % 4 <> 2 THEN CAST(c_nationkey AS VARCHAR) END AS "CD_PAIS",

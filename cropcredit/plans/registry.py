@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cropcredit.config import GROUP, ModelingOptions, target_name
 from cropcredit.functions.columns import crop_year_label
+from cropcredit.operators import boosting as BO
 from cropcredit.operators import business as B
 from cropcredit.operators import consolidate as K
 from cropcredit.operators import dashboard as DB
@@ -31,6 +32,7 @@ from cropcredit.sources.driver_tables import silver_tables
 from cropcredit.sources.runs import load_runs, records_frame, save_run
 
 LABEL = target_name()
+KEPT = 8  # categories of a column in the preprocessing queries
 
 
 def portfolio(spark, sf_dir) -> Portfolio:
@@ -241,6 +243,31 @@ def q_trees_evidence(spark, sf):
                    F.lit(m["auroc"] > 0.5).alias("better_than_chance"), (F.sum(-w * F.log(hit)) < math.log(2) - 1e-6).alias("beats_constant"))
 
 
+BOOSTING_KEYS = ["ref_bacen", "nu_ordem", "mutuario"]
+
+
+def _binned(spark, sf):
+    base = written(portfolio(spark, sf).modelling_base(), "modelling")
+    return base, BO.Binning(list(FE.CAT_FEATURES), list(FE.NUM_FEATURES), KEPT).fit(base)
+
+
+def q_boosting_splits(spark, sf):
+    """Every split that the first tree may take at its root, on all rows and columns: (feature, at, gain)."""
+    base, binning = _binned(spark, sf)
+    rows = BO.derivatives(BO.prepared(base, LABEL, BOOSTING_KEYS, binning)).withColumn("node", F.lit(1))
+    found = BO.histograms(rows, list(range(len(binning.columns))))
+    splits = BO.candidates(found[1], binning, l2=1.0, min_hessian=1.0) if found else []
+    out = [(binning.columns[s.column], binning.name(s), s.null_left, s.gain) for s in splits]
+    return spark.createDataFrame(out, "feature string, at string, null_left boolean, gain double").withColumn("gain", F.round("gain", 4))
+
+
+def q_boosting_loss(spark, sf):
+    """(trees, falls): boosting with 10 trees; whether the loss over all rows after so many trees is below the one before."""
+    base, binning = _binned(spark, sf)
+    losses = BO.fit(base, LABEL, BOOSTING_KEYS, binning, n_trees=10).losses
+    return spark.createDataFrame([(k, now < before) for (_, before), (k, now) in zip(losses, losses[1:])], "trees int, falls boolean")
+
+
 def q_fold_balance(spark, sf):
     base = _base(spark, sf)
     return V.fold_balance(base, V.assign_folds(base, GROUP, LABEL, 5, 42), GROUP, LABEL)
@@ -283,9 +310,6 @@ def q_feature_quality(spark, sf):
     return MP.rounded(K.feature_quality(base, FE.CAT_FEATURES, FE.NUM_FEATURES), {"null_frac"})
 
 
-KEPT = 8
-
-
 def q_categories(spark, sf):
     """(feature, category): the indicator columns of the fitted encoder."""
     p = Preprocessor(list(FE.CAT_FEATURES), [], KEPT).fit(portfolio(spark, sf).modelling_base())
@@ -368,6 +392,8 @@ def queries() -> dict:
         "model_logistic_scores": q_logistic_scores,
         "model_logistic_evidence": q_logistic_evidence,
         "model_trees_evidence": q_trees_evidence,
+        "model_boosting_splits": q_boosting_splits,
+        "model_boosting_loss": q_boosting_loss,
         "dashboard_ks_location": q_dashboard_ks_location,
         "dashboard_metric_history": q_metric_history,
         "dashboard_out_of_time": q_out_of_time,
