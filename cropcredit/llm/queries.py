@@ -249,8 +249,8 @@ FROM o JOIN b USING (key) LEFT JOIN o p ON p.key = o.parent
 """
 
 
-def _url_sql(rules=RULES, levels=url_templates.LEVELS) -> str:
-    """The template tree, one pair of common tables per level."""
+def _url_sql(rules=RULES, levels=16) -> str:
+    """The template tree, one pair of common tables per level, for paths of at most ``levels`` segments (the tables have 3)."""
     cases = {"rule": [], "verdict": []}
     for text, verdict in sorted(rules, key=lambda r: -len(r[0])):
         host, slash, path = text.partition("/")
@@ -265,13 +265,13 @@ h AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijkl
   regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM b),
 r AS (SELECT *, CASE {' '.join(cases['rule'])} END AS rule, CASE {' '.join(cases['verdict'])} END AS decided,
   list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: replace(x, '*', '%2A')) AS s FROM h),
-p0 AS (SELECT * EXCLUDE (s), CASE WHEN len(s) > {levels} THEN list_append(s[1:{levels - 1}], '**') ELSE s END AS s, '' AS template FROM r)"""
+p0 AS (SELECT *, '' AS template FROM r)"""
     for k in range(levels):
         sql += f""",
 k{k} AS (SELECT host, template, s[{k + 1}] AS t, count(*) AS n FROM p{k} WHERE s[{k + 1}] IS NOT NULL GROUP BY ALL),
 f{k} AS (SELECT * FROM (SELECT *, sum(n) OVER w AS pages, count(*) OVER w AS kinds FROM k{k} WINDOW w AS (PARTITION BY host, template))
-  WHERE n * {u.LITERALS} >= pages AND NOT (kinds > 2 AND kinds * 2 > pages) AND t <> '**'),
-p{k + 1} AS (SELECT p.* EXCLUDE (template), p.template || CASE WHEN s[{k + 1}] IS NULL THEN '' WHEN s[{k + 1}] = '**' THEN '/**'
+  WHERE n * {u.LITERALS} >= pages AND NOT (kinds > 2 AND kinds * 2 > pages)),
+p{k + 1} AS (SELECT p.* EXCLUDE (template), p.template || CASE WHEN s[{k + 1}] IS NULL THEN ''
   WHEN f.t IS NOT NULL THEN '/' || f.t ELSE '/*' END AS template
   FROM p{k} p LEFT JOIN f{k} f ON f.host = p.host AND f.template = p.template AND f.t = p.s[{k + 1}])"""
     return sql + f""",

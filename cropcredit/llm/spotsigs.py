@@ -33,10 +33,13 @@ from pyspark.sql import functions as F
 
 from cropcredit.llm.bytes_np import as_strings, blocks, first_of, mix, words
 from cropcredit.llm.common import block_units, components, map_arrow, materialize, ship
+from cropcredit.session import plan_size_bytes
 
 CHAIN = 3
 THIN = 16
 THRESHOLD = 0.8
+#: Stored bytes of one range of documents, about.
+RANGE_BYTES = 8 << 20
 #: Rows of one doc_id beyond which that id's rows are dealt over several ranges.
 HOT_ROWS = 20_000
 
@@ -177,9 +180,13 @@ def neighbours(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for
     every document."""
     spark = docs.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-plan_size_bytes(docs.select("doc_id", "text")) // RANGE_BYTES))
     rows = in_ranges(docs, ranges)
-    rows = rows.repartition(ranges, "r").sortWithinPartitions(
+    # each range has a partition of its own: numbered, not hashed
+    places = sorted(r["r"] for r in rows.select("r").distinct().collect())  # one row per range
+    numbered = spark.createDataFrame([(r, k) for k, r in enumerate(places)], "r long, place int")
+    rows = rows.join(F.broadcast(numbered), "r")
+    rows = rows.repartitionById(max(len(places), 1), "place").sortWithinPartitions(
         "r", "ghost", F.col("doc_id").desc_nulls_last(), "key", "text")
 
     def run(batches):

@@ -6,7 +6,7 @@ the longest wins. The pages that rules decide are the labelled examples for the
 1. Tree: level by level, each (host, template so far) counts its next segments. A segment stays
    literal if it has at least one page in ``LITERALS`` of its node's, unless the node's segments are
    mostly distinct (more than 2 kinds and over half as many kinds as pages); all others become the
-   wildcard ``*``. Segments beyond level ``LEVELS`` fold into one ``**``.
+   wildcard ``*``. Levels go on to the deepest path; a node whose pages all go on alike is finished at once.
 2. Merge: templates of a host that differ in their last literal segment alone are sorted by smoothed
    share of allowed pages; neighbours that a two-proportion test (|z| < ``Z``) does not tell apart are
    one branch; those without labels are one branch too.
@@ -14,7 +14,8 @@ the longest wins. The pages that rules decide are the labelled examples for the
    share over all hosts, itself smoothed by the share of all labelled pages. Templates below
    ``ACCEPT`` are rejected: their pages are blocked.
 
-Counts are map-side combined, so a hot host or path is no single task. A null url, or one without
+Counts are map-side combined and a node meets its distinct segments by broadcast or in salted places, so a
+hot host or path is no single task. A null url, or one without
 ``://``, has an empty host and path and is judged as template ``''``. Repeated rows are judged each.
 Without any label the share is 0.5, which accepts. An empty table gives no rows. Other columns are
 ignored.
@@ -28,10 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cropcredit.llm.common import join_small, materialize
+from cropcredit.llm.common import BROADCAST_ROWS, join_small, materialize
 
 LITERALS = 16
-LEVELS = 8
 Z = 1.64
 WEIGHT = 4
 ACCEPT = 0.5
@@ -57,26 +57,41 @@ def ruled(p: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     return p.withColumn("rule", rule).withColumn("decided", decided)
 
 
-def with_templates(p: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """Adds template."""
+def _with_nodes(tokens: DataFrame, nodes: DataFrame, salts: int = 32) -> DataFrame:
+    """tokens with their node's columns. Few nodes are broadcast; of many, each meets its segments in ``salts`` places, so
+    a node with very many distinct segments is no single task."""
+    if nodes.count() <= BROADCAST_ROWS:
+        return tokens.join(F.broadcast(nodes), ["host", "template"])
+    spread = nodes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return tokens.withColumn("_salt", F.pmod(F.xxhash64("_t"), F.lit(salts)).cast("int")).join(spread, ["host", "template", "_salt"]).drop("_salt")
+
+
+def with_templates(p: DataFrame) -> DataFrame:
+    """Adds template. Level by level to the deepest path; a path leaves the work where it ends, and where all pages of its
+    node go on alike (each further segment is then a literal)."""
     parts = F.filter(F.split("path", "/"), lambda x: x != "")
     p = p.withColumn("_s", F.transform(parts, lambda x: F.replace(x, F.lit("*"), F.lit("%2A"))))
-    p = p.withColumn("_s", F.when(F.size("_s") > levels, F.concat(F.slice("_s", 1, levels - 1), F.array(F.lit("**")))).otherwise(F.col("_s")))
-    p = p.withColumn("template", F.lit(""))
-    p = materialize(p, "pages")
-    depth = p.agg(F.max(F.size("_s"))).first()[0] or 0
-    for k in range(depth):
-        s = F.get("_s", F.lit(k))
-        tokens = p.where(s.isNotNull()).groupBy("host", "template", s.alias("_t")).agg(F.count("*").alias("_n"))
-        nodes = tokens.groupBy("host", "template").agg(F.sum("_n").alias("_all"), F.count("*").alias("_kinds"))
-        fixed = tokens.join(nodes, ["host", "template"]).where(
-            (F.col("_n") * LITERALS >= F.col("_all")) & ~((F.col("_kinds") > 2) & (F.col("_kinds") * 2 > F.col("_all"))) & (F.col("_t") != "**"))
-        fixed = materialize(fixed.select("host", "template", "_t", F.lit(True).alias("_fixed")), "literals")
+    out = p.columns[:-1] + ["template"]
+    p = materialize(p.withColumn("template", F.lit("")), "pages")
+    done, k = p.where(F.size("_s") == 0).select(*out), 0
+    p = p.where(F.size("_s") > 0)
+    while True:
+        s, rest = F.get("_s", F.lit(k)), F.array_join(F.slice("_s", k + 1, F.size("_s")), "/")
+        tokens = materialize(p.groupBy("host", "template", s.alias("_t")).agg(
+            F.count("*").alias("_n"), F.min(F.sha2(rest, 256)).alias("_lo"), F.max(F.sha2(rest, 256)).alias("_hi")), "tokens")
+        nodes = materialize(tokens.groupBy("host", "template").agg(
+            F.sum("_n").alias("_all"), F.count("*").alias("_kinds"), (F.min("_lo") == F.max("_hi")).alias("_alike")), "nodes")
+        literal = (F.col("_n") * LITERALS >= F.col("_all")) & ~((F.col("_kinds") > 2) & (F.col("_kinds") * 2 > F.col("_all")))
+        fixed = _with_nodes(tokens, nodes).where(F.col("_alike") | literal).select("host", "template", "_t", "_alike")
+        fixed = materialize(fixed, "literals")
         p = join_small(p.withColumn("_t", s), fixed, ["host", "template", "_t"], "left")
-        step = F.when(F.col("_t").isNull(), F.lit("")).when(F.col("_t") == "**", F.lit("/**")).when(
-            F.col("_fixed"), F.concat(F.lit("/"), F.col("_t"))).otherwise(F.lit("/*"))
-        p = p.withColumn("template", F.concat("template", step)).drop("_t", "_fixed")
-    return p.drop("_s")
+        step = F.when(F.col("_alike"), rest).when(F.col("_alike").isNotNull(), F.col("_t")).otherwise(F.lit("*"))
+        p = materialize(p.withColumn("template", F.concat("template", F.lit("/"), step)).withColumn(
+            "_end", F.coalesce("_alike", F.lit(False)) | (F.size("_s") == k + 1)).drop("_t", "_alike"), "pages")
+        done = done.unionByName(p.where("_end").select(*out))
+        p, k = p.where("not _end").drop("_end"), k + 1
+        if p.isEmpty():
+            return done
 
 
 def judged_templates(p: DataFrame) -> DataFrame:
