@@ -1,14 +1,21 @@
 """Validation schemes: stratified folds grouped by borrower, and walk-forward by crop year.
 
-Folds: one rule for every borrower, at any size. Borrowers are classed by their number of rows (its
-bit length) and their share of positives (in tenths); within a class they are ordered by a hash.
-Over all classes, largest first, they are dealt to the folds in snake order (0..k-1, k-1..0, ...), so
-folds get like numbers of rows and positives, and a borrower is never on both sides. Positions come
-from row numbers within (class, range of hashes) plus prefix sums, so no class is one task.
+Folds: one rule for every borrower, at any size. Borrowers of equal rows and positives are one type;
+types are classed by their number of rows (its bit length) and their share of positives (in tenths).
+Class by class, largest first, the borrowers are dealt in turn, in descending order of rows, to the folds
+in ascending order of the rows they hold by then. Dealing a descending run in turn gives no fold more
+than its largest borrower above another, and the emptiest fold is served first, so the largest and the
+smallest fold never differ by more than the largest borrower. A borrower is never on both sides.
+
+All this is decided on the histogram of types: the driver sees the rows that each class deals to each
+turn (at most 64 x 11 classes). A borrower's turn is a row number within (type, range of hashes) plus
+prefix sums over ranges, blocks of ranges and the types of a class, so neither a type nor a class is
+one task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -27,22 +34,47 @@ def _md5_int(seed: int, col: str):
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
 
 
+def _before(df: DataFrame, within: list[str], order: list, name: str) -> DataFrame:
+    """Adds ``name``: the sum of ``_m`` of the rows before, within ``within``."""
+    w = W.partitionBy(*within).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    return df.withColumn(name, F.coalesce(F.sum("_m").over(w), F.lit(0)))
+
+
+def _dealing(classes: list, k: int) -> list[tuple]:
+    """(_size, _rate, fold of each turn): the emptiest fold takes the first turn of the next class."""
+    held, plan = [0] * k, []
+    for c in sorted(classes, key=lambda c: (-c["_size"], -c["_rate"])):
+        folds = sorted(range(k), key=lambda f: (held[f], f))
+        for turn, f in enumerate(folds):
+            held[f] += c[f"t{turn}"]
+        plan.append((c["_size"], c["_rate"], folds))
+    return plan
+
+
 def assign_folds(df: DataFrame, group: str, label: str, k: int = 5, seed: int = 42,
                  range_groups: int = RANGE_GROUPS) -> DataFrame:
     """(group, fold) for every group of ``df``; the result is written once."""
-    g = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label)).alias("_pos"))
-    g = written(g.select(group, F.length(F.bin("_n")).alias("_size"), F.ceil(F.col("_pos") * 10 / F.col("_n")).alias("_rate"),
-                         _md5_int(seed, group).alias("_h")), "groups")
+    kind, klass = ["_n", "_pos"], ["_size", "_rate"]
+    g = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum(F.col(label).cast("long")), F.lit(0)).alias("_pos"))
+    g = written(g.withColumn("_h", _md5_int(seed, group)), "groups")
     ranges = 1 + g.count() // range_groups
-    g = g.withColumn("_range", F.shiftright(F.col("_h") * ranges, 32))
-    cell = ["_size", "_rate", "_range"]
-    before = W.orderBy(F.col("_size").desc(), F.col("_rate").desc(), "_range").rowsBetween(W.unboundedPreceding, -1)
-    base = g.groupBy(*cell).agg(F.count("*").alias("_m"))  # at most a few hundred classes times the ranges
-    base = base.select(*cell, F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_base"))
-    at = F.col("_base") + F.row_number().over(W.partitionBy(*cell).orderBy("_h", group)) - 1
-    r = g.join(base, cell).withColumn("_at", at)
-    lap, place = F.floor(F.col("_at") / k), F.col("_at") % k
-    return written(r.select(group, F.when(lap % 2 == 0, place).otherwise(k - 1 - place).cast("int").alias("fold")), "folds")
+    block = math.isqrt(ranges) + 1
+    g = g.withColumn("_range", F.shiftright(F.col("_h") * ranges, 32)).withColumn("_block", F.floor(F.col("_range") / block))
+    cells = written(g.groupBy(*kind, "_block", "_range").agg(F.count("*").alias("_m")), "fold-cells")
+    blocks = cells.groupBy(*kind, "_block").agg(F.sum("_m").alias("_m"))
+    types = blocks.groupBy(*kind).agg(F.sum("_m").alias("_m")).withColumns({
+        "_size": F.length(F.bin("_n")), "_rate": F.ceil(F.col("_pos") * 10 / F.col("_n")).cast("int")})
+    types = written(_before(types, klass, [F.col("_n").desc(), F.col("_pos").desc()], "_type"), "fold-types")
+    turns = [F.sum(F.col("_n") * (F.floor(F.col("_m") / k) + (F.pmod(F.lit(i) - F.col("_type"), F.lit(k)) < F.col("_m") % k).cast("long")))
+             .alias(f"t{i}") for i in range(k)]
+    plan = _dealing(types.groupBy(*klass).agg(*turns).collect(), k)  # at most 64 x 11 rows
+    plan = df.sparkSession.createDataFrame(plan, "_size int, _rate int, _folds array<int>")
+    base = (_before(cells, [*kind, "_block"], ["_range"], "_a").join(_before(blocks, kind, ["_block"], "_b").drop("_m"), [*kind, "_block"])
+            .join(types.drop("_m"), kind).join(F.broadcast(plan), klass)
+            .select(*kind, "_range", "_folds", (F.col("_a") + F.col("_b") + F.col("_type")).alias("_base")))
+    at = F.col("_base") + F.row_number().over(W.partitionBy(*kind, "_range").orderBy("_h", group)) - 1
+    r = g.join(base, [*kind, "_range"])
+    return written(r.select(group, F.get("_folds", (at % k).cast("int")).alias("fold")), "folds")
 
 
 def fold_balance(df: DataFrame, folds: DataFrame, group: str, label: str) -> DataFrame:

@@ -394,14 +394,36 @@ def _r(expr: str, name: str) -> str:
     return f"round({expr}, 9) AS {name}"
 
 
-FOLDS = """
+def _folds(k: int = 5) -> str:
+    """Folds by class, each dealt in turn to the folds in ascending order of the rows they hold by then."""
+    each = range(k)
+    turns = ", ".join(f"SUM(n) FILTER (turn = {i}) AS t{i}" for i in each)
+    rank = ", ".join(f"{' + '.join(f'CAST(l{g} < l{f} OR (l{g} = l{f} AND {g} < {f}) AS INTEGER)' for g in each)} AS r{f}" for f in each)
+    held = ", ".join(f"l{f} + COALESCE([{', '.join(f't{i}' for i in each)}][r{f} + 1], 0) AS l{f}" for f in each)
+    fold = " ".join(f"WHEN r{f} THEN {f}" for f in each)
+    ls, rs = ", ".join(f"l{f}" for f in each), ", ".join(f"r{f}" for f in each)
+    return f"""
 grp AS (
-  SELECT mutuario, length(bin(COUNT(*))) AS size_class, ceil(SUM(target_18m) * 10 / COUNT(*)) AS rate_class,
+  SELECT mutuario, COUNT(*) AS n, SUM(target_18m) AS pos, length(bin(COUNT(*))) AS size_class,
+         ceil(SUM(target_18m) * 10 / COUNT(*)) AS rate_class,
          ('0x' || substr(md5('42|' || CAST(mutuario AS VARCHAR)), 1, 8))::BIGINT AS h
   FROM sb GROUP BY mutuario
 ),
-dealt AS (SELECT mutuario, row_number() OVER (ORDER BY size_class DESC, rate_class DESC, h, mutuario) - 1 AS r FROM grp),
-folds AS (SELECT mutuario, CAST(CASE WHEN (r // 5) % 2 = 0 THEN r % 5 ELSE 4 - r % 5 END AS INTEGER) AS fold FROM dealt),
+dealt AS (
+  SELECT mutuario, n, dense_rank() OVER (ORDER BY size_class DESC, rate_class DESC) AS c,
+         (row_number() OVER (PARTITION BY size_class, rate_class ORDER BY n DESC, pos DESC, h, mutuario) - 1) % {k} AS turn
+  FROM grp
+),
+folds AS (
+  WITH RECURSIVE classes AS (SELECT c, {turns} FROM dealt GROUP BY c),
+  step AS (
+    SELECT CAST(0 AS BIGINT) AS c, {", ".join(f"CAST(0 AS HUGEINT) AS l{f}" for f in each)}, {", ".join(f"0 AS r{f}" for f in each)}
+    UNION ALL
+    SELECT c, {held}, {rs}
+    FROM (SELECT k.*, {ls}, {rank} FROM step s JOIN classes k ON k.c = s.c + 1)
+  )
+  SELECT mutuario, CASE turn {fold} END AS fold FROM dealt JOIN step USING (c)
+),
 fb AS (SELECT sb.*, folds.fold, COALESCE(uf, 'NA') AS seg FROM sb JOIN folds USING (mutuario)),
 own AS (SELECT fold, seg, SUM(target_18m) AS s, COUNT(*) AS n FROM fb GROUP BY 1, 2),
 frates AS (
@@ -417,6 +439,9 @@ oof AS (
 """
 
 
+FOLDS = _folds()
+
+
 def _grouped_core(src: str, key: str) -> str:
     return f"""
 gcnt AS (
