@@ -38,6 +38,8 @@ def build_session(
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(8 * 1024 * 1024),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # tables that are transformed at the same time share the cluster (bronze.transform_tables)
+        "spark.scheduler.mode": "FAIR",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
