@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cropcredit.config import DEFAULT_SITUATIONS, HORIZON, N_DELTAS, target_name
 from cropcredit.functions.columns import month_delta
+from cropcredit.operators.skew import PLACE, hot_keys, numbered, spread_join
 from cropcredit.session import sized_broadcast
 
 K = ("ref_bacen", "nu_ordem", "mutuario")
@@ -40,6 +41,7 @@ def flagged_balances(saldos: DataFrame, codes: DataFrame) -> DataFrame:
         "ANO_BASE",
         "MES_BASE",
         F.col("CD_SITUACAO_OPERACAO").alias("_status"),
+        *([PLACE] if PLACE in saldos.columns else []),
     )
     return s.join(c, s["_status"] == c["cod"], "left").select(
         "ref_bacen",
@@ -47,6 +49,7 @@ def flagged_balances(saldos: DataFrame, codes: DataFrame) -> DataFrame:
         "ANO_BASE",
         "MES_BASE",
         F.coalesce("_is_default", F.lit(0)).alias("situacao"),
+        *([PLACE] if PLACE in saldos.columns else []),
     )
 
 
@@ -68,11 +71,14 @@ def borrowers(mutuarios: DataFrame) -> DataFrame:
 
 def observation_base(saldos, operacao, mutuarios, situacao, situations=DEFAULT_SITUATIONS) -> DataFrame:
     """The original observation base: balance x operation x every borrower of the
-    contract (inner joins, deliberate fan-out), with month delta and default flag."""
-    fb = flagged_balances(saldos, default_codes(situacao, situations))
-    op = operations(operacao)
-    mut = mutuarios.select(F.col("REF_BACEN").alias("ref_bacen"), F.col("CD_CPF_CNPJ").alias("mutuario"))
-    j = fb.join(op, ["ref_bacen", "nu_ordem"], "inner").join(mut, "ref_bacen", "inner")
+    contract (inner joins, deliberate fan-out), with month delta and default flag.
+    Contracts and operations that hold many rows are cut into pieces (``operators.skew``)."""
+    balances = flagged_balances(numbered(saldos), default_codes(situacao, situations))
+    op = operations(numbered(operacao), [PLACE])
+    mut = numbered(mutuarios).select(F.col("REF_BACEN").alias("ref_bacen"), F.col("CD_CPF_CNPJ").alias("mutuario"), PLACE)
+    by_op, by_ref = ["ref_bacen", "nu_ordem"], ["ref_bacen"]
+    j = spread_join(balances, op, by_op, hot_keys(balances.select(*by_op), op.select(*by_op), by_op))
+    j = spread_join(j, mut, by_ref, hot_keys(balances.select(*by_ref), mut.select(*by_ref), by_ref))
     return j.select(
         "ref_bacen",
         "nu_ordem",
