@@ -621,7 +621,7 @@ def loading_queries(cons: str) -> dict[str, str]:
     """Ingestion, loading and preprocessing; ``cons``: common tables up to the modelling table."""
     cats, nums = FE.CAT_FEATURES, FE.NUM_FEATURES
     q = {}
-    q["consolidate_generic"] = cons + "\nSELECT ref_bacen, nu_ordem, mutuario, target_18m, uf, produto, tp_produtor FROM consolidated"
+    q["consolidate_generic"] = cons + "\nSELECT * FROM consolidated"
     q["loading_sample"] = _with(SILVER, LABEL_BASE, TARGET) + """
 SELECT * FROM target WHERE ('0x' || substr(md5('42|' || ref_bacen || '|' || nu_ordem || '|' || mutuario), 1, 8))::BIGINT / 4294967296.0
   < (SELECT CASE WHEN count(*) <= 2000 THEN 1.0 ELSE least(100, ceil(100 * 2000 / count(*))) / 100 END FROM target)"""

@@ -20,6 +20,7 @@ from cropcredit.operators import business as B
 from cropcredit.operators import features as FE
 from cropcredit.operators import labels as L
 from cropcredit.operators import vintage as VT
+from cropcredit.session import written
 
 BUSINESS_FEATURES = ("uf", "finalidade", "atividade", "produto")
 
@@ -102,6 +103,12 @@ class Portfolio:
         return FE.feature_table(name, self.op_labels.select("ref_bacen", "nu_ordem"), self.borrower_pairs,
                                 s["operacao_basica"], s["mutuarios"], s)
 
+    def feature_tables(self) -> dict:
+        """Every feature as a table of its own, by file name; the label keys they share are written once."""
+        s = self.silver
+        keys, pairs = written(self.op_labels.select("ref_bacen", "nu_ordem"), "label-keys"), written(self.borrower_pairs, "pairs")
+        return {f.file: FE.feature_table(f.name, keys, pairs, s["operacao_basica"], s["mutuarios"], s) for f in self.features}
+
     # --- business ------------------------------------------------------------------
     def operation_base(self) -> DataFrame:
         """Operations that made it into the modelling table (have a borrower), with the

@@ -283,14 +283,10 @@ def q_dashboard_ks_location(spark, sf):
     return MP.rounded(found, {"score", "cdf_pos", "cdf_neg", "gap"})
 
 
-GENERIC = ("uf", "produto", "tp_produtor")
-
-
 def q_consolidated_generic(spark, sf):
-    """Per-feature tables found and joined by the generic path."""
+    """All 19 per-feature tables, found and joined by the generic path in like buckets."""
     p = portfolio(spark, sf)
-    tables = {FE.BY_NAME[n].file: p.feature_table(n) for n in GENERIC}
-    return K.consolidate(p.target(), tables)
+    return K.consolidate(p.target(), p.feature_tables())
 
 
 SAMPLE_ROWS = 2000

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +78,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, keys: Sequence[str], name: str, dealt: bool = False) -> DataFrame:
+    """``df`` written once below the shared folder in ``spark.sql.shuffle.partitions`` buckets of ``keys``, sorted, and
+    read back: tables of equal keys join on them without an exchange. ``dealt``: ``df`` ends in a groupBy of just these
+    keys, whose shuffle deals rows as the buckets do; else rows are shuffled here. Either way a bucket is one file."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{table}"
+    rows = df if dealt else df.repartition(n, *keys)
+    rows.write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def counted_broadcast(df: DataFrame, limit_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast-hint ``df`` if its counted rows stay below ``limit_rows``; count something written,
     not a lineage."""
