@@ -621,6 +621,8 @@ def loading_queries(cons: str) -> dict[str, str]:
     """Ingestion, loading and preprocessing; ``cons``: common tables up to the modelling table."""
     cats, nums = FE.CAT_FEATURES, FE.NUM_FEATURES
     q = {}
+    q["recode_by_rules"] = _with(SILVER) + '\nSELECT "#CODIGO" AS codigo, ' + ", ".join(
+        f"{_class_sql(FE.BY_NAME[n], 'd')} AS {n}" for n in ("modalidade", "produto")) + " FROM empreendimento d"
     q["consolidate_generic"] = cons + "\nSELECT * FROM consolidated"
     q["loading_sample"] = _with(SILVER, LABEL_BASE, TARGET) + """
 SELECT * FROM target WHERE ('0x' || substr(md5('42|' || ref_bacen || '|' || nu_ordem || '|' || mutuario), 1, 8))::BIGINT / 4294967296.0

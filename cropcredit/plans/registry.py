@@ -17,6 +17,7 @@ from cropcredit.functions.columns import crop_year_label
 from cropcredit.operators import boosting as BO
 from cropcredit.operators import business as B
 from cropcredit.operators import consolidate as K
+from cropcredit.operators import rule_tables as RT
 from cropcredit.operators import dashboard as DB
 from cropcredit.operators import features as FE
 from cropcredit.operators import labels as L
@@ -289,6 +290,17 @@ def q_consolidated_generic(spark, sf):
     return K.consolidate(p.target(), p.feature_tables())
 
 
+def q_recode_by_rules(spark, sf):
+    """(codigo, modalidade, produto) of every enterprise code, from rule tables instead of compiled rules."""
+    codes = written(_silver(spark, sf)["empreendimento"], "codes")
+    out = codes.select("`#CODIGO`")
+    for name in ("modalidade", "produto"):
+        recode = FE.BY_NAME[name].recode
+        rows = codes.select("`#CODIGO`", *sorted(recode.columns()))
+        out = out.join(RT.classified(rows, RT.rule_table(spark, recode), ["#CODIGO"], name), "#CODIGO")
+    return out.withColumnRenamed("#CODIGO", "codigo")
+
+
 SAMPLE_ROWS = 2000
 
 
@@ -365,6 +377,7 @@ def queries() -> dict:
             q[f"metrics_{kind}_by_{by}"] = q_grouped_curve(kind, by)
     q.update({
         "features_consolidated": q_consolidated,
+        "recode_by_rules": q_recode_by_rules,
         "features_subset": q_subset,
         "feature_municipio": q_municipio,
         "business_crop_year": q_crop_year,
