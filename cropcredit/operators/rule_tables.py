@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropcredit.operators.recode import Keep, Not, Recode
-from cropcredit.session import sized_broadcast
+from cropcredit.session import BROADCAST_ROWS
 
 SCHEMA = "rank int, clause int, `column` string, value string, known boolean, banned boolean, class string, keep string"
 
@@ -48,6 +48,9 @@ def rule_table(spark: SparkSession, recode: Recode) -> DataFrame:
 def classified(df: DataFrame, rules: DataFrame, key: Sequence[str], name: str) -> DataFrame:
     """(key, ``name``) for every row of ``df``; ``key`` is not null and tells its rows apart. Rules over columns that ``df`` lacks
     never hold."""
+    # rules are read on the driver and have no estimate: counted. A shuffle by words would send the rows of one word to one task
+    small = rules.count() <= BROADCAST_ROWS
+    near = F.broadcast if small else lambda part: part
     words = rules.where("column is not null").dropDuplicates(["rank", "clause", "column", "value", "known", "banned"])
     # what a row must offer: the value, or that the column is known, or (null guard) that it is null
     token = F.when(F.col("known"), "known").when(F.col("value").isNull(), "null").otherwise("is")
@@ -57,13 +60,16 @@ def classified(df: DataFrame, rules: DataFrame, key: Sequence[str], name: str) -
               for c in df.columns if c not in key for x in (F.col(f"`{c}`").cast("string"),)
               for t, v, on in (("is", x, x.isNotNull()), ("known", F.lit(""), x.isNotNull()), ("null", F.lit(""), x.isNull()))]
     offered = df.select(*key, F.explode(F.array(*offers)).alias("o")).select(*key, "o.*").where("_on").drop("_on")
-    hits = offered.join(sized_broadcast(words), ["column", "_token", "_value"]).groupBy(*key, "rank", "clause").agg(
+    hits = offered.join(near(words), ["column", "_token", "_value"]).groupBy(*key, "rank", "clause").agg(
         F.count_if(~F.col("banned")).alias("_hits"), F.max("banned").alias("_banned"))
-    holds = hits.join(sized_broadcast(needs), ["rank", "clause"]).where((F.col("_hits") == F.col("_needs")) & ~F.col("_banned"))
-    first = holds.groupBy(*key).agg(F.min("rank").alias("rank"))
+    holds = hits.join(near(needs), ["rank", "clause"]).where((F.col("_hits") == F.col("_needs")) & ~F.col("_banned"))
     results = rules.groupBy("rank").agg(F.min("class").alias("class"), F.min("keep").alias("keep"))  # one row per rule
-    last = rules.where("column is null").agg(F.min("rank")).first()[0]
-    out = df.join(first, list(key), "left").withColumn("rank", F.coalesce("rank", F.lit(last)))
-    out = out.join(sized_broadcast(results), "rank", "left")
-    own = F.coalesce(F.lit(None).cast("string"), *[F.when(F.col("keep") == c, F.col(f"`{c}`").cast("string")) for c in df.columns if c not in key])
+    last, keeps = rules.agg(F.min(F.when(F.col("column").isNull(), F.col("rank"))), F.collect_set("keep")).first()  # at most all columns
+    # every row takes the default's rank along, with the values that a rule may keep: no join back to the rows
+    kept = {c: f"_keep{i}" for i, c in enumerate(c for c in df.columns if c in keeps and c not in key)}
+    rest = df.select(*key, F.lit(last).alias("rank"), *[F.col(f"`{c}`").cast("string").alias(k) for c, k in kept.items()])
+    ranks = rest.unionByName(holds.select(*key, "rank"), allowMissingColumns=True)
+    first = ranks.groupBy(*key).agg(F.min("rank").alias("rank"), *[F.max(k).alias(k) for k in kept.values()])
+    out = first.join(near(results), "rank", "left")
+    own = F.coalesce(F.lit(None).cast("string"), *[F.when(F.col("keep") == c, F.col(k)) for c, k in kept.items()])
     return out.select(*key, F.coalesce("class", own).alias(name))
