@@ -10,6 +10,11 @@ piece goes through the tokenizers library once per Python worker.
 With ``specials`` a special token of the file that stands in a text (``<|endoftext|>``) becomes its
 one id, as in the library's plain call; without, it is encoded as text. Special tokens of these
 files hold no white space and take none beside them, so the cuts hold either way.
+
+New pieces go through the library ``JOINED`` at a time, as one text with a special token of the file
+after each: the library cuts a text at its special tokens before anything else, so each piece is encoded
+as if it stood alone, and that token's id tells their ids apart. Pieces that hold a special token
+themselves, and files without a fit one, are encoded one by one.
 """
 
 from __future__ import annotations
@@ -24,6 +29,8 @@ from cropcredit.llm.bytes_np import as_strings, blocks, buffers, run_hashes
 
 #: Distinct pieces kept per Python worker; beyond it the memory is started anew.
 KEEP_PIECES = 2_000_000
+#: New pieces that are encoded as one text.
+JOINED = 64
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -62,7 +69,15 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
+        self.specials = specials
         self.tok.encode_special_tokens = not specials
+        added = self.tok.get_added_tokens_decoder()
+        self.marks = [t.content for t in added.values()]
+        # fit: takes nothing beside it and can't begin within itself
+        fit = [i for i, t in added.items() if not (t.normalized or t.lstrip or t.rstrip or t.single_word)
+               and not any(t.content.endswith(t.content[:k]) for k in range(1, len(t.content)))]
+        self.mark_id = fit[0] if fit and all(t.special for t in added.values()) else None
+        self.mark = added[fit[0]].content if self.mark_id is not None else None
         self.seed = int.from_bytes(os.urandom(7), "little")
         self.kind = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self._clear()
@@ -76,24 +91,46 @@ class Encoder:
         self.raw_size = np.zeros(0, np.int64)
         self.raw, self.raw_used = np.zeros(1 << 16, np.uint8), 0
 
+    def _one_by_one(self, pieces: list[str]):
+        """(ids of all pieces joined, number of ids of each)."""
+        got = [e.ids for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        n = np.fromiter(map(len, got), np.int32, len(got))
+        return np.fromiter(chain.from_iterable(got), self.kind, int(n.sum())), n
+
+    def _ids(self, raw: list[bytes]):
+        """(ids of all pieces joined, number of ids of each)."""
+        if self.mark is None:
+            return self._one_by_one([r.decode() for r in raw])
+        end = self.mark.encode()
+        groups = [raw[k: k + JOINED] for k in range(0, len(raw), JOINED)]
+        texts = [end.join([*g, b""]).decode() for g in groups]
+        held = [sum(map(t.count, self.marks)) for t in texts]  # more than the pieces: one stands in a piece
+        self.tok.encode_special_tokens = False
+        whole = iter(self.tok.encode_batch_fast([t for t, h, g in zip(texts, held, groups) if h == len(g)], add_special_tokens=False))
+        self.tok.encode_special_tokens = not self.specials
+        out = []
+        for g, h in zip(groups, held):
+            ids = np.array(next(whole).ids, self.kind) if h == len(g) else np.zeros(0, self.kind)
+            ends = np.flatnonzero(ids == self.mark_id)
+            out.append((np.delete(ids, ends), np.diff(ends, prepend=-1).astype(np.int32) - 1) if len(ends) == len(g)
+                       else self._one_by_one([r.decode() for r in g]))
+        return np.concatenate([ids for ids, _ in out]), np.concatenate([n for _, n in out])
+
     def _learn(self, keys: np.ndarray, raw: list[bytes]) -> None:
-        pieces = [r.decode() for r in raw]
         raw_size = np.fromiter(map(len, raw), np.int64, len(raw))
         raw_at = self.raw_used + np.cumsum(raw_size) - raw_size
         while self.raw_used + int(raw_size.sum()) > len(self.raw):
             self.raw = np.concatenate([self.raw, np.zeros_like(self.raw)])
         self.raw[self.raw_used: self.raw_used + int(raw_size.sum())] = np.frombuffer(b"".join(raw), np.uint8)
         self.raw_used += int(raw_size.sum())
-        at, size = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int32)
-        for lo in range(0, len(pieces), 4096):
-            got = [e.ids for e in self.tok.encode_batch_fast(pieces[lo: lo + 4096], add_special_tokens=False)]
-            n = np.fromiter(map(len, got), np.int32, len(got))
-            ids = np.fromiter(chain.from_iterable(got), self.kind, int(n.sum()))
+        at, size = np.zeros(len(raw), np.int64), np.zeros(len(raw), np.int32)
+        for lo in range(0, len(raw), 4096):
+            ids, n = self._ids(raw[lo: lo + 4096])
             while self.used + len(ids) > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
             self.flat[self.used: self.used + len(ids)] = ids
-            size[lo: lo + len(got)] = n
-            at[lo: lo + len(got)] = self.used + np.cumsum(n) - n
+            size[lo: lo + len(n)] = n
+            at[lo: lo + len(n)] = self.used + np.cumsum(n) - n
             self.used += len(ids)
         place = np.searchsorted(self.key, keys)
         self.key = np.insert(self.key, place, keys)
